@@ -13,13 +13,15 @@ def is_json_value(text: Column) -> Column:
 
     Spark's JSON functions accept trailing junk, so the text is placed as the
     first element of an array whose second element is a marker: the marker is
-    only reachable when the text is one complete value. Single-quoted strings,
-    which Spark also accepts, are refused.
+    only reachable when the text is one complete value. Single-quoted strings and
+    control characters inside strings, which Spark also accepts, are refused.
     """
     probe = F.concat(F.lit("["), text, F.lit(f',"{_MARK}"]'))
     complete = F.coalesce(F.get_json_object(probe, "$[1]") == _MARK, F.lit(False))
-    outside_strings = F.regexp_replace(text, r'"[^"\\]*+(?:\\.[^"\\]*+)*+"', "")
-    quoted_well = ~F.contains(text, F.lit("'")) | ~F.contains(outside_strings, F.lit("'"))
+    well_formed_string = r'"[^"\\\x00-\x1f]*+(?:\\[^\x00-\x1f][^"\\\x00-\x1f]*+)*+"'
+    # Quotes that are left over belong to single-quoted strings or to raw control characters.
+    outside_strings = F.regexp_replace(text, well_formed_string, "")
+    quoted_well = F.when(text.rlike(r"['\x00-\x1f]"), ~outside_strings.rlike("['\"]")).otherwise(F.lit(True))
     return F.coalesce(complete & quoted_well, F.lit(False))
 
 

@@ -16,6 +16,7 @@ def spark():
         "local[4]",
         spark__sql__shuffle__partitions="4",
         spark__ui__enabled="false",
+        spark__ui__showConsoleProgress="false",
         spark__driver__memory="6g",
         spark__driver__bindAddress="127.0.0.1",
     )
