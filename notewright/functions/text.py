@@ -16,10 +16,8 @@ WHITESPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-WHITESPACE_CLASS = (
-    r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-)
+# The same characters as a pattern: the Unicode property holds all but four of them.
+WHITESPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
 
 # Spreadsheet error results that count as empty.
 SHEET_ERRORS = ("#DIV/0!", "#VALUE!", "#REF!", "#NAME?", "#NUM!", "#NULL!", "#N/A")
@@ -38,15 +36,15 @@ def strip(text: Column) -> Column:
 
 def squeeze(text: Column) -> Column:
     """Turn every run of whitespace into one space and strip the ends."""
-    return strip(F.regexp_replace(text, WHITESPACE_CLASS + "+", " "))
+    return F.regexp_replace(strip(text), WHITESPACE_RUN, " ")
 
 
 def words(text: Column) -> Column:
-    return F.filter(F.split(text, WHITESPACE_CLASS + "+"), lambda word: word != "")
+    return F.split(strip(text), WHITESPACE_RUN)
 
 
 def word_count(text: Column) -> Column:
-    return F.size(words(text))
+    return F.when(strip(text) == "", F.lit(0)).otherwise(F.size(words(text)))
 
 
 def keeps_layout(header: str | Column):
@@ -67,7 +65,10 @@ def clean_lines(text: Column, keep_indent: bool = False) -> Column:
     """Tidy each line and drop blank ones. ``keep_indent`` keeps leading blanks of a line."""
 
     def tidy(line: Column) -> Column:
-        body = F.regexp_replace(strip(line), "[ \\t]+", " ")
+        body = strip(line)
+        # The substring tests are far cheaper than the pattern, and most lines need neither.
+        ragged = F.contains(body, F.lit("  ")) | F.contains(body, F.lit("\t"))
+        body = F.when(ragged, F.regexp_replace(body, "[ \\t]+", " ")).otherwise(body)
         if not keep_indent:
             return body
         return F.when(body == "", body).otherwise(F.concat(F.regexp_extract(line, "^[ \\t]*", 0), body))
@@ -75,6 +76,12 @@ def clean_lines(text: Column, keep_indent: bool = False) -> Column:
     return F.array_join(F.filter(F.transform(F.split(text, "\n"), tidy), lambda line: line != ""), "\n")
 
 
+def has_content(value: Column) -> Column:
+    """Whether ``clean_text`` leaves anything, decided without cleaning."""
+    text = strip(F.coalesce(value.cast("string"), F.lit("")))
+    return (text != "") & ~F.startswith(text, F.lit("=")) & ~text.isin(*SHEET_ERRORS)
+
+
 def clean_text(value: Column, header: str | Column, keep_indent: bool = False) -> Column:
     """Clean one cell; null, formulas and error results become the empty string."""
     raw = F.coalesce(value.cast("string"), F.lit(""))
@@ -118,7 +125,7 @@ def workbook_id(file_name: Column) -> Column:
 def safe_name(text: Column, limit: int) -> Column:
     """Name usable inside an id: word characters, hyphens and underscores, at most ``limit`` long."""
     kept = F.regexp_replace(text, r"(?U)[^\w\s\p{No}\x1c-\x1f-]", "")
-    return F.substring(F.regexp_replace(kept, WHITESPACE_CLASS + "+", "_"), 1, limit)
+    return F.substring(F.regexp_replace(kept, WHITESPACE_RUN, "_"), 1, limit)
 
 
 def sheet_name_for_id(text: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from notewright.functions.jsontext import has_key, is_json_object, last_wins_map
 from notewright.functions.text import (
     clean_text,
+    has_content,
     is_labeled,
     snake_key,
     strip,
@@ -51,21 +52,37 @@ def column_entries(columns: Sequence[str], keep_indent: bool = False) -> Column:
     ).cast(_ENTRY)
 
 
+def cell_content(cells: Column) -> Column:
+    """Whether any labeled cell of a workbook row has content."""
+    return F.exists(cells, lambda c: is_labeled(c["header"], c["numeric"]) & has_content(c["value"]))
+
+
+def column_content(columns: Sequence[str]) -> Column:
+    """Whether any of the table columns has content."""
+    found = F.lit(False)
+    for name in columns:
+        found = found | has_content(F.col(name))
+    return found
+
+
 def _total(values: Column, measure) -> Column:
     return F.aggregate(values, F.lit(0), lambda total, value: total + measure(value))
 
 
-def with_record(rows: DataFrame, entries: Column) -> DataFrame:
+def with_record(rows: DataFrame, entries: Column, content: Column) -> DataFrame:
     """Add ``text``, ``columns`` and the text part of the metadata; rows without content are dropped.
 
+    ``content`` tells whether any entry is non-empty. It is tested before cleaning: a filter
+    on the cleaned entries would be pushed below them and clean every row twice.
+
     Headers that read alike after title-casing share one key: the last value stays, but
     every non-empty cell is counted. ``columns`` holds all labeled cells under snake-case
     names, null where empty, apart from the metadata so that neither hides the other.
     """
     return (
-        rows.withColumn("__all", entries)
+        rows.filter(content)
+        .withColumn("__all", entries)
         .withColumn("__filled", F.filter("__all", lambda e: e["value"] != ""))
-        .filter(F.size("__filled") > 0)
         .withColumn("text", last_wins_map(F.col("__filled")))
         .withColumn(
             "columns",
@@ -89,7 +106,7 @@ def with_record(rows: DataFrame, entries: Column) -> DataFrame:
 
 def records_from_workbooks(rows: DataFrame, keep_indent: bool = False) -> DataFrame:
     """Workbook rows as records ``(file_path, ord, id, sheet, text, metadata, columns)``."""
-    built = with_record(rows, cell_entries(F.col("cells"), keep_indent))
+    built = with_record(rows, cell_entries(F.col("cells"), keep_indent), cell_content(F.col("cells")))
     order = F.shiftleft(F.col("sheet_index").cast("bigint"), 32).bitwiseOR(F.col("row_index").cast("bigint"))
     return built.select(
         "file_path",
@@ -126,7 +143,7 @@ def records_from_table(
     base = table.withColumn("ord", F.col(order).cast("bigint")).withColumn("id", id.cast("string"))
     base = base.withColumn("sheet", sheet.cast("string")).withColumn("dataset", F.lit(dataset))
     if clean:
-        built = with_record(base, column_entries(columns))
+        built = with_record(base, column_entries(columns), column_content(columns))
         return built.select(
             "dataset", "ord", "id", "sheet", "text", "columns", "columns_used", "total_labeled_columns",
             "non_empty_columns", "text_length", "word_count",
@@ -163,9 +180,7 @@ def trim_objects(objects: DataFrame, raw: str = "raw") -> DataFrame:
     return (
         objects.withColumn("__typed", typed)
         .withColumn("__text", F.from_json(value, "struct<text: string>")["text"])
-        .withColumn("trimmed", trimmed)
-        .drop("__typed", "__text")
-        .filter("trimmed is not null")
+        .select(*objects.columns, F.explode(F.array_compact(F.array(trimmed))).alias("trimmed"))
     )
 
 

@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from notewright.functions.text import SHEET_ERRORS, WHITESPACE_CLASS
+from notewright.functions.text import SHEET_ERRORS
+
+# Unicode whitespace spelled out, as DuckDB's ``\\s`` is ASCII only.
+WHITESPACE_CLASS = (
+    r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+)
 
 
 def strip_sql(x: str) -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notewright.functions.jsontext import has_key, is_json_object, is_json_value, last_wins_map
+from notewright.functions.jsontext import is_json_object, is_json_value, last_wins_map
 from notewright.functions.text import strip
 from notewright.operators.sizing import is_small, join_measured
 from notewright.sources.files import RECORD_FILES, dataset_name, decoded_path, relative_path
@@ -115,6 +115,10 @@ def scan_rejects(spark: SparkSession, path: str, pattern: str = RECORD_FILES) ->
     return lines.filter(~is_json_object(F.col("value")))
 
 
+def _has(name: str) -> Column:
+    return F.coalesce(F.array_contains("keys", name), F.lit(False))
+
+
 def parse_records(objects: DataFrame, raw: str = "raw") -> DataFrame:
     """Records from JSON text: adds ``id, sheet, text, metadata`` and key-presence flags.
 
@@ -124,6 +128,7 @@ def parse_records(objects: DataFrame, raw: str = "raw") -> DataFrame:
     text = F.col("record.text")
     return (
         objects.withColumn("record", record)
+        .withColumn("keys", F.json_object_keys(raw))
         .withColumn("text", F.when(text.isNotNull(), last_wins_map(F.map_entries(text))))
         .select(
             *objects.columns,
@@ -131,9 +136,9 @@ def parse_records(objects: DataFrame, raw: str = "raw") -> DataFrame:
             F.col("record.sheet").alias("sheet"),
             "text",
             F.col("record.metadata").alias("metadata"),
-            has_key(F.col(raw), "id").alias("has_id"),
-            has_key(F.col(raw), "sheet").alias("has_sheet"),
-            has_key(F.col(raw), "text").alias("has_text"),
+            _has("id").alias("has_id"),
+            _has("sheet").alias("has_sheet"),
+            _has("text").alias("has_text"),
         )
     )
 
