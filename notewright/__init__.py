@@ -1,5 +1,9 @@
 """Record search and corpus preparation on PySpark."""
 
+import sys
+
+from pyspark import cloudpickle
+
 from notewright.operators.search import Dataset
 from notewright.plans.corpus import (
     catalogue_folder,
@@ -14,6 +18,9 @@ from notewright.plans.embedding import embed_folder, numbered_texts
 from notewright.session import build_session
 from notewright.sources.jsonl import parse_records, read_records, scan_objects, scan_rejects
 
+# Functions that run in Python workers travel with the job, so executors need no installation.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 __all__ = [
     "Dataset",
     "build_session",

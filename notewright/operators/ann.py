@@ -12,6 +12,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans
+from pyspark.ml.feature import Normalizer
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,9 +40,8 @@ def build_index(
     distance, which k-means uses, is the order by cosine.
     """
     spark = corpus.sparkSession
-    norm = F.sqrt(F.aggregate(embedding, F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double")))
-    scaled = F.transform(embedding, lambda x: x.cast("double") / F.when(norm == 0, F.lit(1.0)).otherwise(norm))
-    training = corpus.select(array_to_vector(scaled).alias("features"))
+    vectors = corpus.select(array_to_vector(F.col(embedding).cast("array<double>")).alias("vector"))
+    training = Normalizer(inputCol="vector", outputCol="features").transform(vectors).select("features")
     model = KMeans(k=cells, seed=seed, maxIter=max_iter).fit(training)
     centres = np.asarray(model.clusterCenters())
 

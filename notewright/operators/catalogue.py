@@ -58,9 +58,9 @@ def compare_datasets(records: DataFrame, group: str = "dataset") -> DataFrame:
 def dataset_status(records: DataFrame, group: str = "dataset", order: str = "ord") -> DataFrame:
     """Per dataset: record count and the first record."""
     rest = [c for c in records.columns if c != group]
-    return records.groupBy(group).agg(
-        F.count(F.lit(1)).alias("total_records"), F.min_by(F.struct(*rest), order).alias("sample_record")
-    )
+    counts = records.groupBy(group).agg(F.count(F.lit(1)).alias("total_records"), F.min(order).alias(order))
+    first = join_measured(records, counts, [group, order], salts=1)
+    return first.select(group, "total_records", F.struct(*rest).alias("sample_record"))
 
 
 def _type_paths(text: str) -> list[str]:

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from notewright.session import shared_dir
+from notewright.session import materialised
 
 CHUNK_BITS = 17
 
@@ -68,11 +68,8 @@ def number_files(
         "__chunk", F.shiftright(F.col(order).cast("bigint"), chunk_bits)
     )
     chunk_key = [file, "__chunk"]
-    shared_dir(frame.sparkSession)
-    counts = (
-        chunked.groupBy(*chunk_key)
-        .agg(F.count(F.lit(1)).alias("__rows"), F.count_if("__kept").alias("__kept_rows"))
-        .checkpoint()
+    counts = materialised(
+        chunked.groupBy(*chunk_key).agg(F.count(F.lit(1)).alias("__rows"), F.count_if("__kept").alias("__kept_rows"))
     )
     in_file = counts.select(
         *chunk_key,
@@ -103,9 +100,8 @@ def _sorted_slices(frame: DataFrame, order: Sequence[str | Column]) -> DataFrame
     The checkpoint fixes the slices: range bounds come from sampling and could
     differ if the sort ran again.
     """
-    shared_dir(frame.sparkSession)
-    place = F.monotonically_increasing_id()
-    return frame.orderBy(*order).select("*", F.spark_partition_id().alias("__slice"), place.alias("__place")).checkpoint()
+    place = F.monotonically_increasing_id().alias("__place")
+    return materialised(frame.orderBy(*order).select("*", F.spark_partition_id().alias("__slice"), place))
 
 
 def running_total(frame: DataFrame, order: Sequence[str | Column], value: str, name: str) -> DataFrame:

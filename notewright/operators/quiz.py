@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from notewright.functions.arguments import within
 from notewright.operators.numbering import number_rows
 from notewright.operators.sizing import join_measured
+from notewright.session import materialised
 
 _HASH_DIGITS = 15
 SHORT_DATASET = 200_000
@@ -35,7 +36,7 @@ def value_ring(values: DataFrame, dataset: str, value: str, wrong: int, seed: in
     """
     distinct = values.select(dataset, value).filter(F.col(value).isNotNull()).distinct()
     keyed = distinct.withColumn("__hash", hash_number(F.concat(F.lit(f"{seed}|"), value)))
-    placed = number_rows(keyed, [dataset], "__hash", "__place", chunk_bits, tie_break=[value])
+    placed = materialised(number_rows(keyed, [dataset], "__hash", "__place", chunk_bits, tie_break=[value]))
     sizes = placed.groupBy(dataset).agg(F.count(F.lit(1)).alias("__size"))
     placed = join_measured(placed, sizes, dataset)
     steps = F.sequence(F.lit(1), F.least(F.lit(wrong).cast("bigint"), F.col("__size") - 1))
@@ -107,7 +108,7 @@ def cross_dataset_items(
         "dataset", order, "id", F.col("text")[prompt].alias("prompt"),
         hash_number(F.concat(F.lit(f"{seed}|"), F.col(order).cast("string"))).alias("__hash"),
     )
-    placed = number_rows(keyed, ["dataset"], "__hash", "__place", chunk_bits, tie_break=[order])
+    placed = materialised(number_rows(keyed, ["dataset"], "__hash", "__place", chunk_bits, tie_break=[order]))
     sizes = placed.groupBy("dataset").agg(F.count(F.lit(1)).alias("__size"))  # at most five rows
     items = placed.filter((F.col("dataset") == prompt_dataset) & F.col("prompt").isNotNull()).select(
         F.col(order).alias("item"), "prompt", F.col("__place").alias("__item_place")

@@ -30,8 +30,8 @@ def join_measured(
     Up to ``max_rows`` the small side is broadcast and the big side does not move.
     Beyond that both sides are hashed on the keys plus a salt: each big row takes
     the salt of its partition and the small side is repeated once per salt, so a
-    hot key is spread over ``salts`` tasks. ``how`` must keep the big side
-    (inner, left, left_semi or left_anti).
+    hot key is spread over ``salts`` tasks; 1 suits keys without repeats. ``how`` must
+    keep the big side (inner, left, left_semi or left_anti).
     """
     keys = [on] if isinstance(on, str) else list(on)
     small = small.persist(StorageLevel.MEMORY_AND_DISK)

@@ -21,6 +21,8 @@ from notewright.operators.vectors import (
     subfolders,
     with_payload,
 )
+from notewright.operators.search import first_per_id
+from notewright.operators.sizing import join_measured
 from notewright.plans.registry import query, table
 from notewright.plans.search_queries import part_records
 from notewright.session import scratch_path
@@ -123,7 +125,7 @@ def knn_exact(spark, sf_dir):
 )
 def knn_batch(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
-    queries = vectors.groupBy("label").agg(F.min_by("embedding", "vec_id").alias("embedding"))
+    queries = first_per_id(vectors, "vec_id", "label")
     found = nearest_batch(vectors, queries, 3, query_id="label")
     return found.select("query_id", "id", F.round("score", 6).alias("score"), F.col("rank").cast("bigint").alias("rank"))
 
@@ -134,9 +136,9 @@ def knn_batch(spark, sf_dir):
 )
 def cosine_to_first_of_label(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
-    first = vectors.groupBy("label").agg(F.min_by("embedding", "vec_id").alias("first"))
+    first = first_per_id(vectors, "vec_id", "label").select("label", F.col("embedding").alias("first"))
     score = cosine_similarity(F.col("embedding"), F.col("first"))
-    return vectors.join(F.broadcast(first), "label").select("vec_id", F.round(score, 6).alias("score"))
+    return join_measured(vectors, first, "label").select("vec_id", F.round(score, 6).alias("score"))
 
 
 @query()

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -41,3 +41,9 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder, never used before."""
     return f"{shared_dir(spark)}/notewright/{name}-{uuid.uuid4().hex}"
+
+
+def materialised(frame: DataFrame) -> DataFrame:
+    """The frame computed once and kept in the shared folder, for results that are read several times."""
+    shared_dir(frame.sparkSession)
+    return frame.checkpoint()
