@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _MARK = "\u241e"
 
@@ -57,6 +58,18 @@ def get_path(json_text: Column, dotted: str) -> Column:
     return F.get_json_object(json_text, path_literal(dotted))
 
 
+def last_at_path(json_text: Column, dotted: str) -> Column:
+    """As ``get_path``, but a repeated key gives its last value instead of its first."""
+    names = dotted.split(".")
+    kind: T.DataType = T.StringType()
+    for name in reversed(names):
+        kind = T.StructType([T.StructField(name, kind)])
+    value = F.from_json(json_text, kind)
+    for name in names:
+        value = value.getField(name)
+    return value
+
+
 def has_key(json_text: Column, name: str) -> Column:
     """Key presence, which tells a JSON null from a missing key."""
     return F.coalesce(F.array_contains(F.json_object_keys(json_text), name), F.lit(False))

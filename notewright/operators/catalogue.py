@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from notewright.functions.jsontext import get_path, path_literal
+from notewright.functions.jsontext import last_at_path, path_literal
 from notewright.operators.sizing import join_measured
 
 
@@ -154,5 +154,5 @@ def child_keys(objects: DataFrame, parent: str, raw: str = "raw") -> DataFrame:
     value = F.col(raw)
     tree = F.try_parse_json(value)
     keys = F.map_keys(F.try_variant_get(tree, F.lit(path_literal(parent)), "map<string,variant>"))
-    keys = F.when(tree.isNotNull(), keys).otherwise(F.json_object_keys(get_path(value, parent)))
+    keys = F.when(tree.isNotNull(), keys).otherwise(F.json_object_keys(last_at_path(value, parent)))
     return objects.select(F.explode(keys).alias("key")).distinct()

@@ -8,8 +8,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from notewright.functions.jsontext import get_path, path_literal
-
 _RESULT = "raw string, changed boolean"
 
 
@@ -48,17 +46,27 @@ def _swap_members(node, key: str, search: str, replacement: str) -> bool:
     return changed
 
 
-def _swap_at_path(node, path: list[str], search: str, replacement: str) -> bool:
-    """Replace in the string at one path of object keys."""
+def _holder(node, path: list[str]) -> dict | None:
+    """The object that holds the last key of a path, or None when the path does not exist."""
     for name in path[:-1]:
         node = node.get(name) if isinstance(node, dict) else None
-    value = node.get(path[-1]) if isinstance(node, dict) else None
+    return node if isinstance(node, dict) and path[-1] in node else None
+
+
+def _swap_at_path(node, path: list[str], search: str, replacement: str) -> bool:
+    """Replace in the string at one path of object keys."""
+    holder = _holder(node, path)
+    value = holder[path[-1]] if holder else None
     if not isinstance(value, str) or search not in value:
         return False
-    node[path[-1]] = value.replace(search, replacement)
+    holder[path[-1]] = value.replace(search, replacement)
     return True
 
 
+def _compact(node) -> str:
+    return json.dumps(node, ensure_ascii=False, separators=(",", ":"))
+
+
 def replace_in_json(raw: Column, key: str, search: str, replacement: str) -> Column:
     """Struct ``(raw, changed)``: JSON text after the replacement, compact where it changed.
 
@@ -82,7 +90,7 @@ def replace_in_json(raw: Column, key: str, search: str, replacement: str) -> Col
                 changed = _swap_at_path(node, path, search, replacement)
             else:
                 changed = _swap_members(node, key, search, replacement)
-            rows.append((json.dumps(node, ensure_ascii=False, separators=(",", ":")) if changed else None, changed))
+            rows.append((_compact(node) if changed else None, changed))
         return pd.DataFrame(rows, columns=["raw", "changed"])
 
     # Without escapes in the object, its raw text shows the searched text as it is.
@@ -102,20 +110,21 @@ def rewrite_objects(objects: DataFrame, key: str, search: str, replacement: str,
 
 
 def set_path(raw: Column, dotted: str, value: str) -> Column:
-    """JSON text with the string at a dotted path set to ``value``; unchanged when the path is absent.
-
-    Covers objects whose members are text; the member is found by its path and its
-    nearest parent is rebuilt.
-    """
-    parent, _, name = dotted.rpartition(".")
-    holder = get_path(raw, parent) if parent else raw
-    members = F.from_json(holder, "map<string,variant>")
-    return F.when(
-        F.map_contains_key(members, name),
-        F.to_json(
-            F.transform_values(members, lambda k, v: F.when(k == name, F.parse_json(F.to_json(F.array(F.lit(value))))).otherwise(v))
-        ),
-    ).otherwise(raw)
+    """JSON text with the value at a dotted path set to a string; as it was when the path is absent."""
+    path = dotted.split(".")
+
+    @F.pandas_udf("string")
+    def put(values: pd.Series) -> pd.Series:
+        out = []
+        for text in values:
+            node = None if text is None else json.loads(text)
+            holder = _holder(node, path)
+            if holder is not None:
+                holder[path[-1]] = value
+            out.append(text if holder is None else _compact(node))
+        return pd.Series(out, dtype=object)
+
+    return put(raw)
 
 
 def replace_tally(rewritten: DataFrame, group: str = "dataset", grand_total: bool = False) -> DataFrame:

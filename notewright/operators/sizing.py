@@ -9,12 +9,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 256 * 1024 * 1024
 SALTS = 64
 
 
-def is_small(frame: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether the frame holds at most ``max_rows`` rows; counting stops one row past the bound."""
-    return frame.limit(max_rows + 1).count() <= max_rows
+def is_small(frame: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether the frame is within both bounds; reading stops one row past the first."""
+    size = F.octet_length(F.to_json(F.struct(*frame.columns)))
+    rows, total = frame.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    return rows <= max_rows and total <= max_bytes
 
 
 def join_measured(
@@ -27,7 +30,7 @@ def join_measured(
 ) -> DataFrame:
     """Join ``big`` to ``small`` on keys that may be very skewed in ``big``.
 
-    Up to ``max_rows`` the small side is broadcast and the big side does not move.
+    Up to ``max_rows`` (and ``BROADCAST_BYTES``) the small side is broadcast and the big side does not move.
     Beyond that both sides are hashed on the keys plus a salt: each big row takes
     the salt of its partition and the small side is repeated once per salt, so a
     hot key is spread over ``salts`` tasks; 1 suits keys without repeats. ``how`` must

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from notewright.functions.jsontext import last_wins_map
 from notewright.functions.text import parent_path
 from notewright.operators.encoders import BATCH_SIZE, Encoder
+from notewright.operators.sizing import join_measured
 
 QUERY_BLOCK = 4096
 _SCORES_AT_ONCE = 4_000_000
@@ -47,8 +48,10 @@ def embedding_text_of_json(raw: Column) -> Column:
     stands for itself.
     """
     text = F.from_json(raw, "struct<text: string>")["text"]
-    kind = F.schema_of_variant(F.from_json(raw, "struct<text: variant>")["text"])
+    typed = F.from_json(raw, "struct<text: variant>")["text"]
     members = F.from_json(text, "map<string,variant>")
+    # The variant parser refuses a repeated key; such a text can only be an object.
+    is_object = F.coalesce(F.startswith(F.schema_of_variant(typed), F.lit("OBJECT")), members.isNotNull())
     values = F.transform(
         F.map_entries(last_wins_map(F.map_entries(members))),
         lambda e: F.struct(e["key"].alias("key"), _python_text(e["value"]).alias("value")),
@@ -56,8 +59,7 @@ def embedding_text_of_json(raw: Column) -> Column:
     parts = F.transform(
         F.filter(values, lambda e: e["value"].isNotNull()), lambda e: F.concat(e["key"], F.lit(": "), e["value"])
     )
-    plain = _python_text(F.from_json(raw, "struct<text: variant>")["text"])
-    return F.coalesce(F.when(F.startswith(kind, F.lit("OBJECT")), F.array_join(parts, " | ")).otherwise(plain), F.lit(""))
+    return F.coalesce(F.when(is_object, F.array_join(parts, " | ")).otherwise(_python_text(typed)), F.lit(""))
 
 
 def embedding_metadata(numbered: DataFrame, source_file: Column, text: str) -> DataFrame:
@@ -193,9 +195,9 @@ def nearest_batch(
 
 
 def with_payload(hits: DataFrame, corpus: DataFrame, id: str = "vec_id", payload: Sequence[str] = ("text",)) -> DataFrame:
-    """Hits with further columns of the corpus. At most ``k`` rows per query are broadcast."""
+    """Hits with further columns of the corpus; few hits travel to the corpus, many are joined by id."""
     rows = corpus.select(F.col(id).cast("bigint").alias("id"), *payload)
-    return rows.join(F.broadcast(hits), "id")
+    return join_measured(rows, hits, "id", salts=1)
 
 
 def hit_display(hits: DataFrame, text: str = "text") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,12 +22,16 @@ RECORD = f"struct<id string, sheet string, text map<string,string>, metadata {ME
 MODES = ("prefix", "lines", "pretty", ACCUMULATE, TOLERANT, "auto")
 
 
-def _text_rows(spark: SparkSession, path: str, pattern: str, line_sep: str | None = None) -> DataFrame:
+def _text_rows(
+    spark: SparkSession, path: str, pattern: str, line_sep: str | None = None, above_bytes: int = 0
+) -> DataFrame:
     reader = spark.read.format("text").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
     if line_sep:
         reader = reader.option("lineSep", line_sep)
-    meta = F.col("_metadata")
-    return reader.load(path).select(
+    rows, meta = reader.load(path), F.col("_metadata")
+    if above_bytes:
+        rows = rows.filter(meta["file_size"] > above_bytes)  # decided per file, before any is opened
+    return rows.select(
         decoded_path(meta["file_path"]).alias("file_path"),
         meta["file_block_start"].alias("block"),
         (meta["file_block_length"] < meta["file_size"]).alias("partial"),
@@ -34,6 +40,18 @@ def _text_rows(spark: SparkSession, path: str, pattern: str, line_sep: str | Non
     )
 
 
+def _bytes(setting: str) -> int:
+    """Bytes of a setting such as ``128m`` or ``134217728b``."""
+    number, unit = re.fullmatch(r"(\d+)([kmgt]?)b?", setting.strip().lower()).groups()
+    return int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
+
+
+def _never_split_bytes(spark: SparkSession) -> int:
+    """Size up to which Spark never cuts a file."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    return min(_bytes(spark.conf.get(name)) for name in names)
+
+
 def _order_key(block: Column, place: Column) -> Column:
     """File order without counting rows: split start (in 4 KiB steps), then row of the task."""
     return F.shiftleft(F.shiftright(block, 12), 31).bitwiseOR(place.bitwiseAND(F.lit((1 << 31) - 1)))
@@ -46,13 +64,19 @@ def scan_lines(spark: SparkSession, path: str, pattern: str = RECORD_FILES, line
 
 
 def _braced(spark: SparkSession, path: str, pattern: str, mode: str, only: DataFrame | None = None) -> DataFrame:
-    text = _text_rows(spark, path, pattern).withColumn("value", F.col("value").cast("binary"))
-    if only is not None:
-        only = only.select("file_path")
-        text = join_measured(text, only, "file_path", "left_semi")
-        if not is_small(only):  # the salted join moved the lines, the matcher needs them in order
-            text = text.sortWithinPartitions("file_path", "block", "place")
-    return find_objects(text, mode).filter(is_json_object(F.col("raw")))
+    def lines(above_bytes: int) -> DataFrame:
+        text = _text_rows(spark, path, pattern, above_bytes=above_bytes)
+        text = text.withColumn("value", F.col("value").cast("binary"))
+        if only is None:
+            return text
+        files = only.select("file_path")
+        text = join_measured(text, files, "file_path", "left_semi")
+        if is_small(files):
+            return text
+        # The salted join moved the lines, and the matcher needs them in order.
+        return text.sortWithinPartitions("file_path", "block", "place")
+
+    return find_objects(lines(0), lines(_never_split_bytes(spark)), mode).filter(is_json_object(F.col("raw")))
 
 
 def _line_status(lines: DataFrame) -> DataFrame:

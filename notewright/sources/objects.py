@@ -207,22 +207,26 @@ def _attach(text: DataFrame, states: DataFrame, how: str, max_rows: int) -> Data
     return text.join(states.hint("merge"), _SPLIT, how).sortWithinPartitions(*_SPLIT, "place")
 
 
-def find_objects(text: DataFrame, mode: str = TOLERANT, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def find_objects(
+    text: DataFrame, large: DataFrame | None = None, mode: str = TOLERANT, max_rows: int = BROADCAST_ROWS
+) -> DataFrame:
     """``(file_path, ord, raw)``: brace-matched candidates, not yet checked to be valid JSON.
 
     ``text`` holds lines as ``(file_path, block, place, partial, value)`` straight from a
     text scan, with ``value`` binary and ``partial`` telling a split from a whole file.
+    ``large`` may hold the same for only those files that can have several splits.
     """
+    large = text if large is None else large
     if mode not in (ACCUMULATE, TOLERANT):
         raise ValueError(f"unknown mode: {mode}")
-    summaries = text.filter("partial").select(*_SPLIT, "value").mapInPandas(_summarise, _SUMMARY)
+    summaries = large.filter("partial").select(*_SPLIT, "value").mapInPandas(_summarise, _SUMMARY)
     states = summaries.groupBy("file_path").applyInPandas(_fold(mode), _STATE).persist(StorageLevel.MEMORY_AND_DISK)
     # One row per split of a large file: input bytes / spark.sql.files.maxPartitionBytes at most.
     if states.isEmpty():
         empty = [F.lit(None).cast(part.split()[1]).alias(part.split()[0]) for part in _STATE.split(", ")[2:]]
         return text.select("*", *empty).mapInPandas(_emit(mode, True), _PIECE).select("file_path", "ord", "raw")
     whole = _attach(text, states, "left", max_rows).mapInPandas(_emit(mode, True), _PIECE)
-    crossing = _attach(text.filter("partial"), states, "inner", max_rows).mapInPandas(_emit(mode, False), _PIECE)
+    crossing = _attach(large.filter("partial"), states, "inner", max_rows).mapInPandas(_emit(mode, False), _PIECE)
     joined = crossing.groupBy("file_path", "ord").agg(
         F.array_join(
             F.transform(F.array_sort(F.collect_list(F.struct("block", "raw"))), lambda piece: piece["raw"]), "\n"
