@@ -59,7 +59,7 @@ def dataset_status(records: DataFrame, group: str = "dataset", order: str = "ord
     """Per dataset: record count and the first record."""
     rest = [c for c in records.columns if c != group]
     counts = records.groupBy(group).agg(F.count(F.lit(1)).alias("total_records"), F.min(order).alias(order))
-    first = join_measured(records, counts, [group, order], salts=1)
+    first = join_measured(records, counts, [group, order], skewed=False)
     return first.select(group, "total_records", F.struct(*rest).alias("sample_record"))
 
 

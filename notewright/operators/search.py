@@ -58,7 +58,7 @@ def first_per_id(records: DataFrame, order: str = "ord", id: str = "id") -> Data
     keep those at a first place, never sorted.
     """
     firsts = records.groupBy(id).agg(F.min(order).alias(order))
-    return join_measured(records, firsts, [id, order], "left_semi", salts=1)
+    return join_measured(records, firsts, [id, order], "left_semi", skewed=False)
 
 
 def invalid_field_names(requested: Column, available: Column) -> Column:

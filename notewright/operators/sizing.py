@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 256 * 1024 * 1024
-SALTS = 64
+HOT_ROWS = 1_000_000
 
 
 def is_small(frame: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -26,20 +26,29 @@ def join_measured(
     on: str | Sequence[str],
     how: str = "inner",
     max_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
+    hot_rows: int = HOT_ROWS,
+    skewed: bool = True,
 ) -> DataFrame:
     """Join ``big`` to ``small`` on keys that may be very skewed in ``big``.
 
-    Up to ``max_rows`` (and ``BROADCAST_BYTES``) the small side is broadcast and the big side does not move.
-    Beyond that both sides are hashed on the keys plus a salt: each big row takes
-    the salt of its partition and the small side is repeated once per salt, so a
-    hot key is spread over ``salts`` tasks; 1 suits keys without repeats. ``how`` must
-    keep the big side (inner, left, left_semi or left_anti).
+    Up to ``max_rows`` (and ``BROADCAST_BYTES``) the small side is broadcast and the big
+    side does not move. Beyond that the sides are sorted and merged, except for hot keys:
+    those with more than ``hot_rows`` big rows. Such keys are few by definition, so their
+    small rows are broadcast to the big rows, which stay where they are. ``skewed=False``
+    says that no key repeats much. ``how`` must keep the big side (inner, left,
+    left_semi or left_anti), and a key should appear once in ``small``.
     """
     keys = [on] if isinstance(on, str) else list(on)
     small = small.persist(StorageLevel.MEMORY_AND_DISK)
     if is_small(small, max_rows):
         return big.join(F.broadcast(small), keys, how)
-    salted_small = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted_big = big.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
-    return salted_big.join(salted_small.hint("merge"), [*keys, "__salt"], how).drop("__salt")
+    merged = small.hint("merge")
+    if not skewed:
+        return big.join(merged, keys, how)
+    hot = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > hot_rows).select(*keys).persist()
+    if hot.isEmpty():
+        return big.join(merged, keys, how)
+    hot_small = small.join(F.broadcast(hot), keys, "left_semi")
+    in_place = big.join(F.broadcast(hot), keys, "left_semi").join(F.broadcast(hot_small), keys, how)
+    moved = big.join(F.broadcast(hot), keys, "left_anti").join(merged, keys, how)
+    return in_place.unionByName(moved)

@@ -197,7 +197,7 @@ def nearest_batch(
 def with_payload(hits: DataFrame, corpus: DataFrame, id: str = "vec_id", payload: Sequence[str] = ("text",)) -> DataFrame:
     """Hits with further columns of the corpus; few hits travel to the corpus, many are joined by id."""
     rows = corpus.select(F.col(id).cast("bigint").alias("id"), *payload)
-    return join_measured(rows, hits, "id", salts=1)
+    return join_measured(rows, hits, "id", skewed=False)
 
 
 def hit_display(hits: DataFrame, text: str = "text") -> DataFrame:

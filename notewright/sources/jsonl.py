@@ -73,7 +73,7 @@ def _braced(spark: SparkSession, path: str, pattern: str, mode: str, only: DataF
         text = join_measured(text, files, "file_path", "left_semi")
         if is_small(files):
             return text
-        # The salted join moved the lines, and the matcher needs them in order.
+        # The other join moves lines, and the matcher needs them in order.
         return text.sortWithinPartitions("file_path", "block", "place")
 
     return find_objects(lines(0), lines(_never_split_bytes(spark)), mode).filter(is_json_object(F.col("raw")))

@@ -157,9 +157,10 @@ def test_join_measured_beyond_the_bound(spark):
     small = spark.range(8).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     for how in ("inner", "left", "left_semi", "left_anti"):
         plain = sorted(map(tuple, big.join(small, "k", how).collect()), key=str)
-        salted = join_measured(big, small, "k", how, max_rows=3, salts=4)
-        assert sorted(map(tuple, salted.select(*big.join(small, "k", how).columns).collect()), key=str) == plain
-        assert "SortMergeJoin" in salted._jdf.queryExecution().executedPlan().toString()
+        for hot_rows, skewed in ((500, True), (10**6, True), (10**6, False)):
+            other = join_measured(big, small, "k", how, max_rows=3, hot_rows=hot_rows, skewed=skewed)
+            assert sorted(map(tuple, other.select(*big.join(small, "k", how).columns).collect()), key=str) == plain
+            assert "SortMergeJoin" in other._jdf.queryExecution().executedPlan().toString()
 
 
 def test_deep_page_equals_shallow_page(spark, monkeypatch):

@@ -11,8 +11,8 @@ CASES = [
     ("definition", "  A \t b\n c ", "A b c"),
     ("desc", "Hello  World", "hello world"),
     ("description", "Hello  World", "Hello World"),
-    ("description", "a b", "a b"),
-    ("definition", "a b", "a b"),
+    ("description", "a\u00a0b", "a\u00a0b"),
+    ("definition", "a\u00a0b", "a b"),
     ("examples", "if x\n{\n    y  z\n\n}", "if x\n{\ny z\n}"),
     ("any", "=SUM(A1)", ""),
     ("any", "#REF!", ""),
@@ -61,13 +61,13 @@ def test_names(spark):
     assert one(X.title_case(lit("first_name-of  (if any) ARGS"))) == "First Name Of (if Any) Args"
     assert one(X.snake_key(lit("File Name-x"))) == "file_name_x"
     assert one(X.normal_header(lit("-1.7"), lit(True))) == "-1"
-    assert one(X.normal_header(lit(" a "), lit(False))) == "a"
+    assert one(X.normal_header(lit(" a\u00a0"), lit(False))) == "a"
     names = {"A_references.xlsx": "A", "B.XLSX": "B", "C_references.xls": "C_references.xls", "_references": ""}
     for name, expected in names.items():
         assert one(X.workbook_id(lit(name))) == expected
     assert one(X.sheet_name_for_id(lit("Ab c!  (d)-é²" + "x" * 60))) == ("Ab_c_d-é²" + "x" * 60)[:50]
     assert one(X.value_for_id(lit("y" * 40))) == "y" * 30
-    assert one(X.word_count(lit("a b \x1c c\n"))) == 3
+    assert one(X.word_count(lit("a\u00a0b \x1c c\n"))) == 3
     assert one(X.ellipsis(lit("x" * 101), 100)) == "x" * 100 + "..."
     assert one(X.ellipsis(lit("x" * 100), 100)) == "x" * 100
     assert one(X.file_stem(lit("a/b.c/d.e.jsonl"))) == "d.e"
