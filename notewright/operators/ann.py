@@ -53,10 +53,8 @@ def build_index(
             yield pd.Series((squares - 2 * unit @ centres.T).argmin(axis=1))
 
     rows = corpus.withColumn("cell", cell_of(embedding))
-    # A cell may hold much more than its share, so its rows are spread over several files.
-    rows.repartition("cell", F.pmod(F.xxhash64(id), F.lit(16))).write.mode("overwrite").partitionBy("cell").parquet(
-        f"{path}/cells"
-    )
+    # Rebalancing gathers the rows of a cell and still cuts a cell that holds far more than its share.
+    rows.hint("rebalance", "cell").write.mode("overwrite").partitionBy("cell").parquet(f"{path}/cells")
     table = [(i, [float(x) for x in centre]) for i, centre in enumerate(centres)]
     spark.createDataFrame(table, "cell int, centre array<double>").coalesce(1).write.mode("overwrite").parquet(
         f"{path}/centres"

@@ -32,14 +32,18 @@ def attach_catalogue(records: DataFrame, catalogue: DataFrame, group: str = "dat
 def record_counts(records: DataFrame, group: str = "dataset", grand_total: bool = False) -> DataFrame:
     """Total, valid and failed records; valid means that ``text`` is an object.
 
+    Records read from files also count as embeddable when they carry ``id`` and ``text``.
     ``grand_total`` adds a row over all datasets, under a null name.
     """
     grouped = records.rollup(group) if grand_total else records.groupBy(group)
-    return grouped.agg(
+    counts = [
         F.count(F.lit(1)).alias("total"),
         F.count_if(F.col("text").isNotNull()).alias("valid"),
         F.count_if(F.col("text").isNull()).alias("failed"),
-    )
+    ]
+    if "has_id" in records.columns:
+        counts.append(F.count_if(F.col("has_id") & F.col("has_text")).alias("embeddable"))
+    return grouped.agg(*counts)
 
 
 def compare_datasets(records: DataFrame, group: str = "dataset") -> DataFrame:
@@ -131,7 +135,7 @@ def _json_paths(node, prefix: str = "") -> Iterator[str]:
 def _shape_paths(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         found: set[str] = set()
-        for shape in batch["shape"]:
+        for shape in batch["shape"].dropna():
             found.update(_json_paths(json.loads(shape)) if shape.startswith("{") else _type_paths(shape))
         yield pd.DataFrame({"path": sorted(found)})
 
@@ -145,7 +149,8 @@ def nested_key_paths(objects: DataFrame, raw: str = "raw") -> DataFrame:
     """
     value = F.col(raw)
     shape = F.coalesce(F.schema_of_variant(F.try_parse_json(value)), F.when(value.rlike(r"^\s*\{"), F.ltrim(value)))
-    shapes = objects.select(shape.alias("shape")).filter("shape is not null").distinct()
+    # No filter on the shape here: it would be pushed below and parse every object twice.
+    shapes = objects.select(shape.alias("shape")).distinct()
     return shapes.mapInPandas(_shape_paths, "path string").distinct()
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from notewright.functions.text import is_labeled, normal_header
@@ -12,39 +12,43 @@ from notewright.operators.numbering import number_sorted
 from notewright.operators.sizing import join_measured
 
 
-def labeled_headers(cells: Column) -> Column:
-    """Normalised names of the labeled header cells, in column order."""
-    labeled = F.filter(cells, lambda c: is_labeled(c["header"], c["numeric"]))
-    return F.transform(labeled, lambda c: normal_header(c["header"], c["numeric"]))
-
-
 def sheet_columns(headers: DataFrame) -> DataFrame:
-    """Header rows with ``columns`` (labeled names) and ``unlabeled`` (how many were left out)."""
-    columns = labeled_headers(F.col("cells"))
-    return headers.withColumn("columns", columns).withColumn("unlabeled", F.size("cells") - F.size("columns"))
+    """Header rows with their labeled headers and the number of the others.
+
+    ``labels`` are the headers as they stand, ``columns`` the same normalised for comparison.
+    """
+    labeled = F.filter("cells", lambda c: is_labeled(c["header"], c["numeric"]))
+    return (
+        headers.withColumn("__labeled", labeled)
+        .withColumn("labels", F.transform("__labeled", lambda c: c["header"]))
+        .withColumn("columns", F.transform("__labeled", lambda c: normal_header(c["header"], c["numeric"])))
+        .withColumn("unlabeled", F.size("cells") - F.size("__labeled"))
+        .drop("__labeled")
+    )
 
 
 def rank_patterns(sheets: DataFrame, first_seen: Sequence[str] = ("file_name", "sheet_index")) -> DataFrame:
-    """``(rank, columns, count)``: how many sheets share an ordered header list.
+    """``(rank, labels, count)``: how many sheets share an ordered header list.
 
     Ranked by count, ties by the first sheet seen. The sheets of a pattern are rows of
     ``pattern_sheets``, never a list inside one row.
     """
-    patterns = sheets.groupBy("columns").agg(
+    patterns = sheets.groupBy("labels").agg(
         F.count(F.lit(1)).alias("count"), F.min(F.struct(*first_seen)).alias("first_seen")
     )
     ranked = number_sorted(patterns, [F.desc("count"), F.asc("first_seen")], "rank")
-    return ranked.select((F.col("rank") + 1).alias("rank"), "columns", "count")
+    return ranked.select((F.col("rank") + 1).alias("rank"), "labels", "count")
 
 
 def pattern_sheets(sheets: DataFrame, ranks: DataFrame) -> DataFrame:
     """Every sheet with the rank of its pattern."""
-    return join_measured(sheets, ranks.select("rank", "columns"), "columns")
+    return join_measured(sheets, ranks.select("rank", "labels"), "labels")
 
 
-def sheets_like(sheets: DataFrame, columns: Sequence[str]) -> DataFrame:
+def sheets_like(sheets: DataFrame, columns: Sequence[str | int | float]) -> DataFrame:
     """Sheets whose labeled headers equal the given list, order included."""
-    return sheets.filter(F.col("columns") == F.array(*[F.lit(str(c).strip()) for c in columns]))
+    names = [str(int(c)) if isinstance(c, (int, float)) else str(c).strip() for c in columns]
+    return sheets.filter(F.col("columns") == F.array(*[F.lit(name) for name in names]).cast("array<string>"))
 
 
 def target_rows(rows: DataFrame, targets: DataFrame, keys: Sequence[str] = ("file_name", "sheet")) -> DataFrame:

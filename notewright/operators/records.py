@@ -206,7 +206,7 @@ def _salvage(value: Column) -> Column:
     def unescaped(group: int) -> Column:
         return F.regexp_replace(F.regexp_extract(value, located, group), r"(?s)\\(.)", "$1")
 
-    text = F.regexp_extract(value, located, 3)
+    text = F.regexp_replace(F.regexp_extract(value, located, 3), r"[\r\n]+[ \t]*", "")
     head = F.to_json(F.struct(unescaped(1).alias("id"), unescaped(2).alias("sheet")))
     whole = F.concat(F.substr(head, F.lit(1), F.length(head) - 1), F.lit(',"text":'), text, F.lit("}"))
     return F.when(is_json_object(text), whole)

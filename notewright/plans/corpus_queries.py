@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from notewright.functions.jsontext import is_json_object
 from notewright.operators.catalogue import (
     child_keys,
     compare_datasets,
@@ -98,13 +99,8 @@ def _uneven_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
        FROM part WHERE p_size % 7 <> 4 GROUP BY ROLLUP (p_type)"""
 )
 def records_valid(spark, sf_dir):
-    from notewright.functions.jsontext import is_json_object
-
     objects = _uneven_objects(spark, sf_dir).filter(is_json_object(F.col("raw")))
-    records = parse_records(objects)
-    counts = record_counts(records, grand_total=True)
-    usable = records.rollup("dataset").agg(F.count_if(F.col("has_id") & F.col("has_text")).alias("embeddable"))
-    return counts.join(usable, counts["dataset"].eqNullSafe(usable["dataset"])).select(counts["*"], "embeddable")
+    return record_counts(parse_records(objects), grand_total=True)
 
 
 @query(

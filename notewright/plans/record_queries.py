@@ -315,19 +315,19 @@ def _part_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _PATTERN_SQL = """SELECT row_number() OVER (ORDER BY n DESC, first_seen) AS rank, columns, n FROM
     (SELECT columns, count(*) AS n, min((brand, key)) AS first_seen FROM
-       (SELECT array_to_string(list_concat(string_split(p_name, ' '), [p_type]), '|') AS columns,
+       (SELECT array_to_string(list_concat(string_split(p_name, ' '), [' ' || p_type]), '|') AS columns,
                p_brand AS brand, p_partkey AS key FROM part) GROUP BY columns)"""
 
 
 @query(f"SELECT rank, columns, n AS count FROM ({_PATTERN_SQL})")
 def column_pattern_census(spark, sf_dir):
     ranks = rank_patterns(_part_sheets(spark, sf_dir))
-    return ranks.withColumn("columns", F.array_join("columns", "|"))
+    return ranks.select("rank", F.array_join("labels", "|").alias("columns"), "count")
 
 
 @query(
     f"""SELECT rank, p_brand AS file_name, 'sheet ' || p_partkey AS sheet FROM part
-        JOIN ({_PATTERN_SQL}) q ON q.columns = array_to_string(list_concat(string_split(p_name, ' '), [p_type]), '|')"""
+        JOIN ({_PATTERN_SQL}) q ON q.columns = array_to_string(list_concat(string_split(p_name, ' '), [' ' || p_type]), '|')"""
 )
 def column_pattern_sheets(spark, sf_dir):
     sheets = _part_sheets(spark, sf_dir)

@@ -1,7 +1,9 @@
 """Record files, catalogues and flat exports.
 
 Writers never touch their input. A partition column gives the folder layout, and rows
-are ordered inside each task before writing, so no shuffle is needed.
+are ordered inside each task before writing, so no shuffle is needed. Where every task
+holds rows of many datasets, ``rebalance`` gathers them first, into files of even size
+however unequal the datasets are.
 """
 
 from __future__ import annotations
@@ -21,8 +23,9 @@ def compact_json(value: Column) -> Column:
     return F.to_json(value, KEEP_NULLS)
 
 
-def _write_text(frame: DataFrame, path: str, folder: str, order: str | None, text: Column, mode: str) -> None:
+def _write_text(frame: DataFrame, path: str, folder: str, order: str | None, text: Column, mode: str, rebalance: bool) -> None:
     named = frame.withColumn("dataset", F.col(folder)).withColumn("value", text)
+    named = named.hint("rebalance", "dataset") if rebalance else named
     named = named.sortWithinPartitions("dataset", *([order] if order else []))
     named.select("dataset", "value").write.mode(mode).partitionBy("dataset").text(path)
 
@@ -34,9 +37,10 @@ def write_pretty(
     order: str | None = "ord",
     fields: tuple[str, ...] = ("id", "sheet", "text", "metadata"),
     mode: str = "errorifexists",
+    rebalance: bool = False,
 ) -> None:
     """Pretty records, one folder per workbook id (or another column)."""
-    _write_text(records, path, folder, order, pretty_json(F.struct(*fields)), mode)
+    _write_text(records, path, folder, order, pretty_json(F.struct(*fields)), mode, rebalance)
 
 
 def write_compact(
@@ -46,9 +50,10 @@ def write_compact(
     order: str | None = "ord",
     fields: tuple[str, ...] = ("id", "sheet", "text"),
     mode: str = "errorifexists",
+    rebalance: bool = False,
 ) -> None:
     """Compact records, one object per line, one folder per dataset."""
-    _write_text(records, path, folder, order, compact_json(F.struct(*fields)), mode)
+    _write_text(records, path, folder, order, compact_json(F.struct(*fields)), mode, rebalance)
 
 
 def write_json_text(
@@ -58,9 +63,10 @@ def write_json_text(
     folder: str = "dataset",
     order: str | None = "ord",
     mode: str = "errorifexists",
+    rebalance: bool = False,
 ) -> None:
     """JSON that is text already, one object per line, one folder per dataset."""
-    _write_text(objects, path, folder, order, F.col(json), mode)
+    _write_text(objects, path, folder, order, F.col(json), mode, rebalance)
 
 
 def write_catalogues(catalogue: DataFrame, path: str, mode: str = "errorifexists") -> None:

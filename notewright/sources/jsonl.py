@@ -82,7 +82,7 @@ def _braced(spark: SparkSession, path: str, pattern: str, mode: str, only: DataF
 def _line_status(lines: DataFrame) -> DataFrame:
     """Per file with a bad line: order of its first line and of its first bad line."""
     return (
-        lines.filter(strip(F.col("value")) != "")
+        lines.filter("value != ''")
         .groupBy("file_path")
         .agg(
             F.min("ord").alias("first_line"),
@@ -116,7 +116,7 @@ def scan_objects(
         closed = F.when(F.endswith("value", F.lit("\n}")), F.col("value")).otherwise(F.concat("value", F.lit("\n}")))
         found = pieces.select("file_path", "ord", closed.alias("raw")).filter(is_json_object(F.col("raw")))
     else:
-        lines = scan_lines(spark, path, pattern)
+        lines = scan_lines(spark, path, pattern).withColumn("value", strip(F.col("value")))
         objects = lines.filter(is_json_object(F.col("value"))).withColumnRenamed("value", "raw")
         if mode == "lines":
             found = objects
@@ -135,7 +135,7 @@ def scan_objects(
 
 def scan_rejects(spark: SparkSession, path: str, pattern: str = RECORD_FILES) -> DataFrame:
     """``(file_path, ord, value)`` of the non-blank lines that are not one JSON object."""
-    lines = scan_lines(spark, path, pattern).filter(strip(F.col("value")) != "")
+    lines = scan_lines(spark, path, pattern).withColumn("value", strip(F.col("value"))).filter("value != ''")
     return lines.filter(~is_json_object(F.col("value")))
 
 

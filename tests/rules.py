@@ -36,7 +36,7 @@ def by_line(content, keep_prefix):
         if not line.strip():
             continue
         try:
-            value = json.loads(line)
+            value = json.loads(line.strip())
         except ValueError:
             if keep_prefix:
                 break

@@ -10,6 +10,7 @@ from notewright.operators.rewrite import replace_tally, rewrite_objects, set_pat
 from notewright.operators.search import Dataset, page_rows
 from notewright.operators.sizing import join_measured
 from notewright.plans.corpus import catalogue_folder, rewrite_folder, trim_folder
+from notewright.sinks.records import write_compact
 from notewright.sources.catalogue_files import catalogue_fields, read_catalogues
 from notewright.sources.jsonl import parse_records, read_records
 
@@ -66,6 +67,7 @@ def test_trim_and_salvage(spark):
         {"id": "a", "sheet": "b"},
         '{"id": "q\\"1", "sheet": "s", "text": {"k": "v } {", "m": {"n": "o"}}, "metadata": {bad}',
         '{"id": "a", "sheet": 5, "text": {bad}',
+        '{"id": "m",\n "sheet": "s",\n "text": {\n  "k": "a\\nb"\n },\n "metadata": {bad}',
         {"id": 5, "sheet": "s", "text": "plain \"text\""},
     ]
     rows = trim_objects(objects(spark, values)).orderBy("ord").collect()
@@ -73,8 +75,10 @@ def test_trim_and_salvage(spark):
     assert got == {
         0: {"id": "é", "sheet": None, "text": {"b": 1, "a": None, "n": {"z": 1, "y": [1, 2]}}},
         2: {"id": 'q"1', "sheet": "s", "text": {"k": "v } {", "m": {"n": "o"}}},
-        4: {"id": 5, "sheet": "s", "text": 'plain "text"'},
+        4: {"id": "m", "sheet": "s", "text": {"k": "a\nb"}},
+        5: {"id": 5, "sheet": "s", "text": 'plain "text"'},
     }
+    assert all("\n" not in r["trimmed"] for r in rows)
     assert rows[0]["trimmed"].startswith('{"id":"é","sheet":null,"text":{"b":1,"a":null,')
 
 
@@ -125,6 +129,15 @@ def test_folder_jobs(spark, tmp_path):
     assert json.loads((source / "a.jsonl").read_text().split("\n}\n")[0] + "}") == record  # input untouched
 
 
+def test_rebalanced_files(spark, tmp_path):
+    rows = [("hot" if i % 3 else f"d{i % 5}", i, f"r{i}", "S", {"K": str(i)}) for i in range(500)]
+    frame = spark.createDataFrame(rows, "dataset string, ord bigint, id string, sheet string, text map<string,string>")
+    write_compact(frame.repartition(9), str(tmp_path / "out"), rebalance=True)
+    back = read_records(spark, str(tmp_path / "out"), "lines").collect()
+    assert {(r["dataset"], r["id"], r["text"]["K"]) for r in back} == {(d, i, t["K"]) for d, _, i, _, t in rows} and len(back) == 500
+    assert len(list((tmp_path / "out").rglob("part-*"))) < 9 * 6
+
+
 def test_set_path(spark):
     frame = objects(spark, [{"a": {"k": 1, "j": 2}}, {"b": "x"}, {"a": {"j": 3}}])
     rows = frame.select("ord", set_path(F.col("raw"), "a.k", "n").alias("raw")).orderBy("ord").collect()

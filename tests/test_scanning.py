@@ -28,6 +28,7 @@ CASES = {
     "open_string": line(1) + '\n{"a": "no end\n' + line(2) + "\n" + line(3),
     "non_objects": "1\n" + line(1) + '\n"text"\n' + line(2),
     "single_quotes": "{'a': 1}\n" + line(1),
+    "odd_blanks": "\u00a0" + line(1) + "\x1c\n\u2003\n" + line(2),
     "trailing_junk": line(1) + " junk\n" + line(2),
 }
 

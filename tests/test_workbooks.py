@@ -75,12 +75,13 @@ def test_key_order(corpus):
 
 def test_patterns(spark, corpus, folder):
     ranks = corpus.patterns.orderBy("rank").collect()
-    assert [(r["rank"], r["columns"], r["count"]) for r in ranks][0] == (1, ["Function", "Returns"], 2)
+    assert [(r["rank"], r["labels"], r["count"]) for r in ranks][0] == (1, ["Function", "Returns"], 2)
     assert [r["rank"] for r in ranks] == [1, 2, 3, 4] and {r["count"] for r in ranks[1:]} == {1}
-    assert [] in [r["columns"] for r in ranks]
+    assert [] in [r["labels"] for r in ranks]
     sheets = pattern_sheets(corpus.sheets, rank_patterns(corpus.sheets)).filter("rank = 1")
     assert {(r["file_name"], r["sheet"]) for r in sheets.collect()} == {("A_references.xlsx", "Other"), ("B.XLSX", "S1")}
     assert sheets_like(corpus.sheets, ["Returns", "Function"]).count() == 1
+    assert sheets_like(corpus.sheets, []).count() == 1 and sheets_like(corpus.sheets, ["first name", "first_name", -1, 0.0, "File Name", "description"]).count() == 1
     found = records_of_pattern(corpus, ["Function", "Returns"]).collect()
     assert {r["text"]["Function"] for r in found} == {"f()", "g()", "h()"}
 
