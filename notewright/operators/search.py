@@ -6,16 +6,16 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from notewright.functions.arguments import clamp, requested_fields, split_filters, within
 from notewright.functions.text import ellipsis, has_text
-from notewright.operators.numbering import number_rows
+from notewright.operators.numbering import CHUNK_BITS
 from notewright.operators.sizing import join_measured
 
-# Up to here a page is a top-k; a deeper one is found by row number.
+# Up to here a page is a plain top-k.
 SHALLOW_ROWS = 50_000
 
 
@@ -43,12 +43,26 @@ def restrict_text(fields: Sequence[str], text: str = "text") -> Column:
     return F.map_from_arrays(present, F.transform(present, lambda f: F.col(text)[f]))
 
 
-def page_rows(frame: DataFrame, order: str, offset: int, limit: int) -> DataFrame:
-    """Rows ``[offset, offset + limit)`` in the order of an integer column."""
-    if offset + limit <= SHALLOW_ROWS:
-        return frame.orderBy(order).offset(offset).limit(limit)
-    numbered = number_rows(frame, [], order, "__at")
-    return numbered.filter(F.col("__at").between(offset, offset + limit - 1)).orderBy("__at").drop("__at")
+def page_rows(frame: DataFrame, order: str, offset: int, limit: int, chunk_bits: int = CHUNK_BITS) -> DataFrame:
+    """Rows ``[offset, offset + limit)`` in the order of an integer column.
+
+    A shallow page is a top-k. For a deep one the rows per chunk of order values are counted
+    first; the page is then a top-k over the few chunks it touches, and the range of orders
+    reaches the scan as a filter.
+    """
+    if offset + limit > SHALLOW_ROWS:
+        chunks = frame.groupBy(F.shiftright(F.col(order).cast("bigint"), chunk_bits).alias("chunk")).agg(
+            F.count(F.lit(1)).alias("rows"), F.min(order).alias("low"), F.max(order).alias("high")
+        )
+        before = F.sum("rows").over(Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1))
+        touched = chunks.withColumn("before", F.coalesce(before, F.lit(0))).filter(
+            (F.col("before") < offset + limit) & (F.col("before") + F.col("rows") > offset)
+        )
+        low, high, skipped = touched.agg(F.min("low"), F.max("high"), F.min("before")).first()
+        if low is None:
+            return frame.filter(F.lit(False))
+        frame, offset = frame.filter(F.col(order).between(low, high)), offset - skipped
+    return frame.orderBy(order).offset(offset).limit(limit)
 
 
 def first_per_id(records: DataFrame, order: str = "ord", id: str = "id") -> DataFrame:

@@ -15,6 +15,7 @@ from notewright.operators.rewrite import replace_tally, rewrite_objects
 from notewright.operators.search import Dataset
 from notewright.sinks.records import write_catalogues, write_json_text, write_pretty
 from notewright.sources.catalogue_files import catalogue_fields, read_catalogues
+from notewright.sources.files import written_folder
 from notewright.sources.jsonl import parse_records, read_records, scan_objects
 from notewright.sources.objects import TOLERANT
 from notewright.sources.workbook import MAX_MB, data_rows, header_rows, read_cells, reject_rows
@@ -89,11 +90,12 @@ def rewrite_folder(
 def load_dataset(spark: SparkSession, path: str, dataset: str, catalogues: str | None = None, mode: str = "prefix") -> Dataset:
     """One record file with its catalogue, ready for queries.
 
-    ``path`` is the folder, ``dataset`` the file without its ending. Without the sidecar the
-    load fails.
+    ``path`` is the folder, ``dataset`` the file without its ending, or the dataset as written
+    by this library. Without the catalogue the load fails.
     """
     fields = catalogue_fields(read_catalogues(spark, catalogues or path), dataset)
-    objects = scan_objects(spark, f"{path.rstrip('/')}/{dataset}.jsonl", mode)
+    place = f"{path.rstrip('/')}/{{{dataset}.jsonl,{written_folder(dataset)}}}"
+    objects = scan_objects(spark, place, mode)
     records = parse_records(objects.withColumn("dataset", F.lit(dataset)))
     records = records.select("dataset", "ord", "id", "sheet", "text", "metadata")
     return Dataset(records, dataset, fields, ("id", "sheet", "metadata"))

@@ -14,7 +14,7 @@ from notewright.functions.text import (
     title_case,
     workbook_id,
 )
-from notewright.operators.census import pattern_sheets, rank_patterns, sheet_columns, sheets_by_file, target_rows
+from notewright.operators.census import pattern_sheets, rank_patterns, sheet_columns, sheets_by_file, sheets_like, target_rows
 from notewright.operators.records import records_from_table, records_from_workbooks
 from notewright.operators.stats import data_overview, distinct_files, length_statistics, processing_summary, quality_rates
 from notewright.plans.registry import query, table
@@ -334,6 +334,16 @@ def column_pattern_sheets(spark, sf_dir):
     return pattern_sheets(sheets, rank_patterns(sheets)).select("rank", "file_name", "sheet")
 
 
+@query(
+    """SELECT p_brand AS file_name, 'sheet ' || p_partkey AS sheet FROM part WHERE (p_name, p_type) IN
+         (SELECT (p_name, p_type) FROM part ORDER BY p_partkey LIMIT 1)"""
+)
+def exact_columns(spark, sf_dir):
+    sheets = _part_sheets(spark, sf_dir)
+    first = sheets.orderBy("sheet_index").first()["columns"]
+    return sheets_like(sheets, first).select("file_name", "sheet")
+
+
 @query("SELECT p_brand AS file_name, count(*) AS n_sheets FROM part GROUP BY p_brand")
 def sheet_counts_by_file(spark, sf_dir):
     return sheets_by_file(_part_sheets(spark, sf_dir))

@@ -36,6 +36,13 @@ def dataset_name(below: Column) -> Column:
     return F.when(folder != "", written).otherwise(F.regexp_replace(below, r"\.[^./]*\z", ""))
 
 
+def written_folder(dataset: str) -> str:
+    """Folder that a writer gives a dataset: Spark's partition folder, with its escapes."""
+    # The characters Spark escapes in a partition folder.
+    special = set("\"#%'*/:=?\\\x7f{[]^") | {chr(code) for code in range(1, 32)}
+    return "dataset=" + "".join(f"%{ord(c):02X}" if c in special else c for c in dataset)
+
+
 def list_files(spark: SparkSession, folder: str, pattern: str = RECORD_FILES, recursive: bool = False) -> DataFrame:
     """``(file_path, relative_path, folder, file_name, stem, size)`` of matching files.
 

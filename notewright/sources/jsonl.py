@@ -22,9 +22,24 @@ RECORD = f"struct<id string, sheet string, text map<string,string>, metadata {ME
 MODES = ("prefix", "lines", "pretty", ACCUMULATE, TOLERANT, "auto")
 
 
+def _fix_splits(spark: SparkSession) -> None:
+    """Make Spark cut the same files the same way for the rest of the session.
+
+    The size of a split follows the number of cores when it is not set otherwise, and that
+    number changes while executors come and go. Orders and split states found by one job are
+    used by the next, so it is set once, where the session leaves it open.
+    """
+    name = "spark.sql.files.minPartitionNum"
+    if spark.conf.get(name, None) is None:
+        # Orders need splits of 4 KiB at least, which the cost of opening a file assures by default.
+        open_cost = _bytes(spark.conf.get("spark.sql.files.openCostInBytes"))
+        spark.conf.set(name, str(max(200, spark.sparkContext.defaultParallelism) if open_cost >= 4096 else 1))
+
+
 def _text_rows(
     spark: SparkSession, path: str, pattern: str, line_sep: str | None = None, above_bytes: int = 0
 ) -> DataFrame:
+    _fix_splits(spark)
     reader = spark.read.format("text").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
     if line_sep:
         reader = reader.option("lineSep", line_sep)
@@ -76,7 +91,8 @@ def _braced(spark: SparkSession, path: str, pattern: str, mode: str, only: DataF
         # The other join moves lines, and the matcher needs them in order.
         return text.sortWithinPartitions("file_path", "block", "place")
 
-    return find_objects(lines(0), lines(_never_split_bytes(spark)), mode).filter(is_json_object(F.col("raw")))
+    found = find_objects(lines(0), lines(_never_split_bytes(spark)), mode)
+    return found.withColumn("raw", strip(F.col("raw"))).filter(is_json_object(F.col("raw")))
 
 
 def _line_status(lines: DataFrame) -> DataFrame:

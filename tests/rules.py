@@ -27,7 +27,7 @@ def strung(content, tolerant):
             if depth == 0:
                 found.append(content[start : token.end()])
                 start = token.end()
-    return [json.loads(text) for text in found if is_object(text)]
+    return [json.loads(text.strip()) for text in found if is_object(text.strip())]
 
 
 def by_line(content, keep_prefix):

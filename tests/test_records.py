@@ -1,5 +1,6 @@
 import json
 
+import pytest
 import rules
 from pyspark.sql import functions as F
 
@@ -9,7 +10,7 @@ from notewright.operators.records import records_from_table, trim_objects
 from notewright.operators.rewrite import replace_tally, rewrite_objects, set_path
 from notewright.operators.search import Dataset, page_rows
 from notewright.operators.sizing import join_measured
-from notewright.plans.corpus import catalogue_folder, rewrite_folder, trim_folder
+from notewright.plans.corpus import catalogue_folder, load_dataset, rewrite_folder, trim_folder
 from notewright.sinks.records import write_compact
 from notewright.sources.catalogue_files import catalogue_fields, read_catalogues
 from notewright.sources.jsonl import parse_records, read_records
@@ -122,6 +123,8 @@ def test_folder_jobs(spark, tmp_path):
     catalogue_folder(spark, out, str(tmp_path / "cat"))
     catalogues = read_catalogues(spark, str(tmp_path / "cat"))
     assert catalogue_fields(catalogues, "sub/a") == ["Other"]
+    nested = load_dataset(spark, out, "sub/a", str(tmp_path / "cat"))
+    assert nested.page_info().first()["total"] == 1 and nested.search("x").first()["text"] == {"Other": "x"}
     tally = rewrite_folder(spark, str(source), str(tmp_path / "fixed"), "text.Function", "teh", "the")
     assert {(r["dataset"], r["changes"]) for r in tally.collect()} == {("a", 2), ("sub/a", 0), (None, 2)}
     fixed = read_records(spark, str(tmp_path / "fixed"), "lines").orderBy("dataset", "ord").collect()
@@ -176,12 +179,15 @@ def test_join_measured_beyond_the_bound(spark):
             assert "SortMergeJoin" in other._jdf.queryExecution().executedPlan().toString()
 
 
-def test_deep_page_equals_shallow_page(spark, monkeypatch):
+@pytest.mark.parametrize("bits", [2, 6, 17])
+def test_deep_page_equals_shallow_page(spark, monkeypatch, bits):
     frame = spark.range(400).select((F.col("id") * 3).alias("ord")).repartition(5)
     shallow = [r["ord"] for r in page_rows(frame, "ord", 120, 10).collect()]
     monkeypatch.setattr("notewright.operators.search.SHALLOW_ROWS", 50)
-    deep = page_rows(frame, "ord", 120, 10)
+    deep = page_rows(frame, "ord", 120, 10, bits)
     assert [r["ord"] for r in deep.collect()] == shallow == [3 * i for i in range(120, 130)]
+    assert [r["ord"] for r in page_rows(frame, "ord", 395, 10, bits).collect()] == [3 * i for i in range(395, 400)]
+    assert page_rows(frame, "ord", 400, 10, bits).count() == 0
 
 
 def test_search_stays_in_the_jvm(spark, small_sf):

@@ -75,9 +75,24 @@ def test_pretty_without_python(spark, folder):
         assert "Python" not in frame._jdf.queryExecution().toString()
 
 
+@pytest.fixture
+def tiny_splits(spark):
+    settings = {"maxPartitionBytes": "4096", "openCostInBytes": "0", "minPartitionNum": "1"}
+    names = {f"spark.sql.files.{name}": value for name, value in settings.items()}
+    before = {name: spark.conf.get(name, None) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        if value is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, value)
+
+
 @pytest.mark.parametrize("mode", ["accumulate", "tolerant"])
 @pytest.mark.parametrize("limit", [None, 0])
-def test_objects_across_splits(spark, tmp_path, mode, limit, monkeypatch):
+def test_objects_across_splits(spark, tiny_splits, tmp_path, mode, limit, monkeypatch):
     """Files cut into many splits give what one pass over the whole text gives."""
     if limit is not None:
         monkeypatch.setattr("notewright.sources.objects.is_small", lambda frame, rows: False)
@@ -100,34 +115,26 @@ def test_objects_across_splits(spark, tmp_path, mode, limit, monkeypatch):
             parts.append(rng.choice(["", "\n", "\n\n"]))
         contents[name] = "".join(parts)
         (tmp_path / f"{name}.jsonl").write_text(contents[name], encoding="utf-8")
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
-    try:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
-        spark.conf.set("spark.sql.files.openCostInBytes", "0")
-        frame = scan_objects(spark, str(tmp_path), mode)
-        got = found(frame)
-        assert scan_lines(spark, str(tmp_path)).rdd.getNumPartitions() > 20
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
-        spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+    got = found(scan_objects(spark, str(tmp_path), mode))
+    assert scan_lines(spark, str(tmp_path)).rdd.getNumPartitions() > 20
     for name, content in contents.items():
         assert got.get(name, []) == rules.strung(content, mode == "tolerant"), name
 
 
-def test_line_order_is_unique_and_rising(spark, tmp_path):
+def test_line_order_is_unique_and_rising(spark, tiny_splits, tmp_path):
     lines = [line(i) for i in range(3000)]
     (tmp_path / "a.jsonl").write_text("\n".join(lines))
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
-    spark.conf.set("spark.sql.files.openCostInBytes", "0")
-    try:
-        rows = scan_lines(spark, str(tmp_path)).orderBy("ord").collect()
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-        spark.conf.unset("spark.sql.files.openCostInBytes")
+    rows = scan_lines(spark, str(tmp_path)).orderBy("ord").collect()
     assert [r["value"] for r in rows] == lines
     assert len({r["ord"] for r in rows}) == len(lines)
 
 
+def test_splits_stay_the_same_in_a_session(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text(line(1))
+    scan_lines(spark, str(tmp_path))
+    assert spark.conf.get("spark.sql.files.minPartitionNum", None) is not None
+
+
 def test_rejects(spark, folder):
     rows = scan_rejects(spark, str(folder / "bad_third_line.jsonl")).collect()
     assert [r["value"] for r in rows] == ["{bad"]
