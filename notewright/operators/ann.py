@@ -33,14 +33,20 @@ def build_index(
     embedding: str = "embedding",
     seed: int = 0,
     max_iter: int = 10,
+    training_rows: int = 1_000_000,
 ) -> None:
     """Write the corpus below ``path``, partitioned by cell, and the centres next to it.
 
+    Every vector is stored. Only the centres are fitted on about ``training_rows`` vectors,
+    as more do not move them noticeably.
+
     Vectors are scaled to unit length first: on the unit sphere the order by Euclidean
     distance, which k-means uses, is the order by cosine.
     """
     spark = corpus.sparkSession
-    vectors = corpus.select(array_to_vector(F.col(embedding).cast("array<double>")).alias("vector"))
+    share = min(1.0, training_rows / max(1, corpus.count()))
+    sample = corpus if share == 1.0 else corpus.sample(share, seed)
+    vectors = sample.select(array_to_vector(F.col(embedding).cast("array<double>")).alias("vector"))
     training = Normalizer(inputCol="vector", outputCol="features").transform(vectors).select("features")
     model = KMeans(k=cells, seed=seed, maxIter=max_iter).fit(training)
     centres = np.asarray(model.clusterCenters())

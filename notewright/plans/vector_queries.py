@@ -23,9 +23,11 @@ from notewright.operators.vectors import (
 )
 from notewright.operators.search import first_per_id
 from notewright.operators.sizing import join_measured
+from notewright.plans.embedding import embed_folder
 from notewright.plans.registry import query, table
 from notewright.plans.search_queries import part_records
 from notewright.session import scratch_path
+from notewright.sinks.records import write_compact
 from notewright.sinks.vectors import write_collection, write_embeddings
 from notewright.sources.vectors import join_vectors, read_collection, read_embeddings
 
@@ -189,3 +191,19 @@ def vector_roundtrip(spark, sf_dir):
         "local_index",
         "sheet",
     )
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS original_id, lang AS sheet, md5('Text: ' || text) AS digest, 32 AS dimension FROM documents")
+def embed_folder_set(spark, sf_dir):
+    source, out = scratch_path(spark, "notes"), scratch_path(spark, "note-vectors")
+    records = table(spark, sf_dir, "documents").select(
+        F.col("source").alias("dataset"),
+        F.col("doc_id").alias("ord"),
+        F.col("doc_id").cast("string").alias("id"),
+        F.col("lang").alias("sheet"),
+        F.create_map(F.lit("Text"), "text").alias("text"),
+    )
+    write_compact(records, source)
+    embed_folder(spark, source, out, hashing_encoder(32), "hashing", 32)
+    stored = read_embeddings(spark, out)
+    return stored.select("original_id", "sheet", F.md5("text").alias("digest"), F.size("embedding").alias("dimension"))
