@@ -109,7 +109,7 @@ def title_case(header: Column) -> Column:
 
 def normal_header(header: Column, numeric: Column) -> Column:
     """Comparable header name: numbers lose their fraction, text is stripped."""
-    return F.when(numeric, header.try_cast("double").cast("bigint").cast("string")).otherwise(strip(header))
+    return F.when(numeric, header.try_cast("double").try_cast("bigint").cast("string")).otherwise(strip(header))
 
 
 def snake_key(header: Column) -> Column:

@@ -32,7 +32,8 @@ class HashingEncoder:
             if not codes:
                 codes = [zlib.crc32(text.encode(), self.seed)]
             code = np.array(codes, dtype=np.int64)
-            np.add.at(row, (code >> 1) % self.dimension, np.where(code & 1, 1.0, -1.0))
+            signs = np.where(code & 1, 1.0, -1.0)
+            row += np.bincount((code >> 1) % self.dimension, weights=signs, minlength=self.dimension)
             length = np.linalg.norm(row)
             if length:
                 row /= length

@@ -15,7 +15,7 @@ HOT_ROWS = 1_000_000
 
 def is_small(frame: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
     """Whether the frame is within both bounds; reading stops one row past the first."""
-    size = F.octet_length(F.to_json(F.struct(*frame.columns)))
+    size = F.octet_length(F.to_json(F.struct(*[f"`{name}`" for name in frame.columns])))
     rows, total = frame.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
     return rows <= max_rows and total <= max_bytes
 

@@ -15,7 +15,7 @@ from notewright.functions.text import parent_path
 from notewright.operators.encoders import BATCH_SIZE, Encoder
 from notewright.operators.sizing import join_measured
 
-QUERY_BLOCK = 4096
+QUERY_BLOCK = 16_384
 _SCORES_AT_ONCE = 4_000_000
 TEXT_LIMIT = 4096
 

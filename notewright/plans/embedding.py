@@ -9,6 +9,7 @@ from notewright.operators.encoders import BATCH_SIZE, DIMENSION, MODEL_NAME, Enc
 from notewright.operators.numbering import number_files
 from notewright.operators.records import valid_for_embedding
 from notewright.operators.vectors import embed, embedding_metadata, embedding_text_of_json
+from notewright.session import stored
 from notewright.sinks.vectors import write_embeddings
 from notewright.sources.files import relative_path
 from notewright.sources.jsonl import read_records
@@ -16,12 +17,16 @@ from notewright.sources.objects import ACCUMULATE
 
 
 def numbered_texts(spark: SparkSession, folder: str, mode: str = ACCUMULATE) -> DataFrame:
-    """Metadata rows of all documents below a folder that have a text to embed."""
+    """Metadata rows of all documents below a folder that have a text to embed.
+
+    The parsed documents are stored once; numbering then reads two narrow columns of them
+    to count and all of them to number.
+    """
     records = valid_for_embedding(read_records(spark, folder, mode))
     documents = records.withColumn("embedding_text", embedding_text_of_json(F.col("raw"))).withColumn(
         "source_file", relative_path(F.col("file_path"), folder)
     )
-    documents = documents.select("source_file", "ord", "id", "sheet", "metadata", "embedding_text")
+    documents = stored(documents.select("source_file", "ord", "id", "sheet", "metadata", "embedding_text"), "documents")
     numbered = number_files(documents, "source_file", "ord", F.col("embedding_text") != "")
     return embedding_metadata(numbered, F.col("source_file"), "embedding_text")
 

@@ -47,3 +47,10 @@ def materialised(frame: DataFrame) -> DataFrame:
     """The frame computed once and kept in the shared folder, for results that are read several times."""
     shared_dir(frame.sparkSession)
     return frame.checkpoint()
+
+
+def stored(frame: DataFrame, name: str) -> DataFrame:
+    """The frame as a table in the shared folder, for large results of which later steps read few columns."""
+    path = scratch_path(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.parquet(path)
