@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notewright.llm import chat, packing
+from notewright.llm import chat, packing, secrets, spans
+from notewright.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -79,3 +80,17 @@ select conv_id, count(*) as n_turns,
         + length(replace(text, '<|', '<||')) + 11) as bigint) as formatted_chars
 from turns group by conv_id
 """
+
+
+def _count(kind: str, of: str = "findings") -> Column:
+    return F.size(F.filter(of, lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
+@_query
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(docs, scratch_path(spark, "secret-ledger"))
+    kinds = [rule.name for rule in secrets.RULES]
+    text = spans.written(F.col("findings"), kinds, by_kind=False)
+    counts = [_count(kind) for kind in kinds]
+    return found.select("doc_id", *counts, F.sha2(text, 256).alias("base_sha256"), text.alias("spans"))
