@@ -66,7 +66,7 @@ def tree_paths(nodes: DataFrame) -> DataFrame:
         higher = found.join(jump, on).select(
             "tree", "leaf", F.col("up").alias("node"), (F.col("above") + 2**k).alias("above")
         )
-        found = found.unionByName(higher)
+        found = materialised(found.unionByName(higher))  # each round refers to it twice
     return found
 
 
