@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notewright.llm import chat, packing, secrets, spans
+from notewright.llm import chat, packing, pii, secrets, spans
 from notewright.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,12 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = spans.written(F.col("findings"), kinds, by_kind=False)
     counts = [_count(kind) for kind in kinds]
     return found.select("doc_id", *counts, F.sha2(text, 256).alias("base_sha256"), text.alias("spans"))
+
+
+@_query
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.with_spans(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = spans.written(F.filter("pii_spans", lambda x: x["kind"] != pii.TERM), pii.KINDS, by_kind=True)
+    everything = spans.written(F.col("pii_spans"), [*pii.KINDS, pii.TERM], by_kind=True)
+    counts = [_count(kind, "pii_spans") for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), everything.alias("spans"))

@@ -8,14 +8,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def matches(text: Column, pattern: str, kind: str) -> Column:
+def matches(text: Column, pattern: str | Column, kind: str) -> Column:
     """The leftmost non-overlapping matches: an array of (start, end, kind, hit), code points, end exclusive.
 
     The pieces between the matches and the matches themselves alternate, so the lengths of
     both, added up, are the positions. ``pattern`` must not match the empty string.
     """
+    pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
     between = F.transform(F.split(text, pattern, -1), F.length)
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    hits = F.regexp_extract_all(text, pattern, F.lit(0))
     pairs = F.arrays_zip(between.alias("gap"), hits.alias("hit"))
     return F.aggregate(
         F.filter(pairs, lambda x: x["hit"].isNotNull()),
@@ -76,16 +77,18 @@ def replaced(text: Column, spans: Column, label: Callable[[Column], Column]) ->
     cut = F.aggregate(
         ordered,
         F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")),
-        lambda acc, x: F.when(
-            x["start"] >= acc["at"],
-            F.struct(
-                (-x["back"]).alias("at"),
+        lambda acc, x: F.struct(
+            F.greatest(acc["at"], -x["back"]).alias("at"),
+            F.when(
+                x["start"] >= acc["at"],
                 F.concat(
                     acc["out"],
                     F.array(F.substr(text, acc["at"] + 1, x["start"] - acc["at"]), label(x["kind"])),
-                ).alias("out"),
-            ),
-        ).otherwise(F.struct(F.greatest(acc["at"], -x["back"]).alias("at"), acc["out"].alias("out"))),
+                ),
+            )
+            .otherwise(acc["out"])
+            .alias("out"),
+        ),
         lambda acc: F.array_join(F.concat(acc["out"], F.array(F.substr(text, acc["at"] + 1))), ""),
     )
     return F.when(F.size(spans) > 0, cut).otherwise(text)
