@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notewright.llm import chat, packing, pii, secrets, spans
+from notewright.llm import chat, minhash, packing, pii, secrets, spans
 from notewright.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,18 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     everything = spans.written(F.col("pii_spans"), [*pii.KINDS, pii.TERM], by_kind=True)
     counts = [_count(kind, "pii_spans") for kind in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), everything.alias("spans"))
+
+
+@_query
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = minhash.compare_edits(_table(spark, sf_dir, "documents").select("doc_id", "text"), parts)
+    return found.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        "near_edited",
+        "near_next",
+    )
