@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notewright.llm import chat, minhash, packing, pii, secrets, spans
+from notewright.llm import chat, decontaminate, minhash, packing, pii, secrets, spans
 from notewright.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,3 +118,28 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "near_edited",
         "near_next",
     )
+
+
+@_query
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return decontaminate.contaminated(docs.select("doc_id", "text"), benchmark)
+
+
+SQL["op6_decontamination"] = r"""
+with w as (
+    select 'd' as side, doc_id as id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), x -> x <> '') as w
+    from documents
+    union all
+    select 'i', item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), x -> x <> '')
+    from benchmark
+), s as (
+    select distinct side, id, unnest(case when len(w) >= 5
+        then list_transform(generate_series(1, len(w) - 4), i -> array_to_string(w[i:i + 4], ' '))
+        when len(w) > 0 then ['short ' || array_to_string(w, ' ')] else [] end) as shingle
+    from w
+), n as (select id, count(*) as n_item from s where side = 'i' group by id)
+select d.id as doc_id, i.id as item_id, count(*) / any_value(n_item) as containment
+from s d join s i on d.shingle = i.shingle and d.side = 'd' and i.side = 'i' join n on n.id = i.id
+group by d.id, i.id having count(*) * 10 >= any_value(n_item) * 8
+"""
