@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notewright.llm import chat, decontaminate, minhash, packing, pii, secrets, spans
+from notewright.llm import chat, decontaminate, minhash, packing, pii, quality, secrets, spans
 from notewright.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,3 +143,21 @@ select d.id as doc_id, i.id as item_id, count(*) / any_value(n_item) as containm
 from s d join s i on d.shingle = i.shingle and d.side = 'd' and i.side = 'i' join n on n.id = i.id
 group by d.id, i.id having count(*) * 10 >= any_value(n_item) * 8
 """
+
+
+def _remainder(n: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
+def scored_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``docs`` with score and predicted; the model sees only labels whose rows are not held out."""
+    labels = _table(spark, sf_dir, "labels").filter(_remainder(4) != 2)
+    model = quality.fit(_table(spark, sf_dir, "documents"), labels)
+    return quality.score(docs, model).withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+@_query
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(_remainder(4) == 2, F.lit(False)).alias("held_out")
+    return scored_quality(spark, docs, sf_dir).select("doc_id", held_out, "score", "predicted")
