@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notewright.llm import chat, decontaminate, minhash, packing, pii, quality, secrets, spans
+from notewright.llm import chat, decontaminate, minhash, packing, pages, pii, quality, secrets, spans
 from notewright.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -161,3 +161,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.coalesce(_remainder(4) == 2, F.lit(False)).alias("held_out")
     return scored_quality(spark, docs, sf_dir).select("doc_id", held_out, "score", "predicted")
+
+
+@_query
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = pages.extract(found, pages.fit(found))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
