@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notewright.llm import chat, decontaminate, minhash, packing, pages, pii, quality, secrets, spans
+from notewright.llm import chat, decontaminate, lm, minhash, packing, pages, pii, quality, secrets, spans
 from notewright.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -168,3 +168,19 @@ def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
     found = pages.extract(found, pages.fit(found))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@_query
+def op1_hpylm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(_remainder(7) == 2, F.lit(False))
+    model = lm.fit(docs.filter(~held_out).select("text"))
+    return lm.score(docs, model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(int(model.totals.tokens)).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
