@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notewright.llm import chat, decontaminate, lm, minhash, packing, pages, pii, quality, secrets, spans
+from notewright.llm import chat, decontaminate, lm, minhash, ngram_join, packing, pages, pii, quality, secrets, spans
 from notewright.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -184,3 +184,8 @@ def op1_hpylm(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_score",
         "score",
     )
+
+
+@_query
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"))
