@@ -5,12 +5,45 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from notewright.llm import queries
+from notewright.llm import decontaminate, ngram_join, pii, queries
 from notewright.session import scratch_path
 
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the line model takes for good."""
+    scored = queries.scored_quality(spark, docs, sf_dir, fit_on=docs)
+    return scored.filter("predicted = 1").select(*docs.columns)
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, by word 5-grams at a Jaccard similarity of 0.8."""
+    return ngram_join.one_of_each(docs, shingle=5, percent=80)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data in their texts generalised."""
+    clean = pii.sanitise(docs)
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else clean
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of training sequences."""
+    return queries.packed(docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("packing", lambda spark, docs, sf_dir: queries.packed(docs)),
+    ("quality classifier", good_quality),
+    ("n-gram Jaccard join", without_near_copies),
+    ("benchmark decontamination", without_benchmark),
+    ("PII", without_personal_data),
+    ("packing", packed),
 ]
 
 #: The stages rest on a fitted model and on tokenizer ids, which SQL does not have.

@@ -17,9 +17,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from notewright.llm.graph import components
 from notewright.llm.shingles import WordHashes, mixed, shingle_set
+from notewright.operators.sizing import join_measured
 from notewright.session import materialised, stored
 
 SHINGLE, PERCENT = 4, 85
@@ -251,6 +253,21 @@ def links(docs: DataFrame, facts: DataFrame, shingle: int, percent: int) -> Data
     return first.unionByName(_verified(rest, docs, orders, shingle, percent))
 
 
+def _placed(docs: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Rows with words as (doc_id, n_shingles, key, component, component_id), and the others as (doc_id, n_shingles)."""
+    facts = stored(_facts(docs, shingle), "shingle-facts")
+    rows = facts.filter("n is not null").select("doc_id", F.col("n").alias("n_shingles"), "key")
+    found = components(materialised(links(docs, facts, shingle, percent)))
+    placed = rows.filter("key is not null").join(found.withColumnRenamed("node", "key"), "key", "left")
+    placed = placed.withColumn("component", F.coalesce("component", "key"))
+    names = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    return placed.join(names, "component"), rows.filter("key is null").drop("key")
+
+
+def _of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+
+
 def join_documents(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT
 ) -> DataFrame:
@@ -262,24 +279,46 @@ def join_documents(
     a text of fewer words than a shingle is one shingle. An empty table gives no rows; other
     columns are ignored.
     """
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    facts = stored(_facts(docs, shingle), "shingle-facts")
-    rows = facts.filter("n is not null").select("doc_id", F.col("n").alias("n_shingles"), "key")
-    found = components(materialised(links(docs, facts, shingle, percent)))
-    placed = rows.filter("key is not null").join(found.withColumnRenamed("node", "key"), "key", "left")
-    placed = placed.withColumn("component", F.coalesce("component", "key"))
-    names = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    alone = rows.filter("key is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return placed.join(names, "component").select("doc_id", "n_shingles", "component_id").unionByName(alone)
+    placed, alone = _placed(_of(docs, id_col, text_col), shingle, percent)
+    alone = alone.withColumn("component_id", F.col("doc_id"))
+    return placed.select("doc_id", "n_shingles", "component_id").unionByName(alone)
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """``docs`` with one row of each group of linked rows kept, the one with the smallest id; same columns.
+def one_of_each(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT
+) -> DataFrame:
+    """``docs`` with one row of each group of linked rows, that with the smallest id; same columns.
 
-    Of several rows with that id the one with the least text is kept; rows with a null id or
-    without words are all kept.
+    Where several rows of a group have that id, the one with the least text stays. Rows
+    without words are in no group and stay, and so do rows without an id.
     """
-    found = join_documents(docs, id_col, text_col, **how)
-    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("__id")).distinct()
-    kept = docs.join(gone, F.col(id_col) == F.col("__id"), "left_anti")
-    return kept
+    placed, _ = _placed(_of(docs, id_col, text_col), shingle, percent)
+    placed = placed.filter("doc_id is not null").select("doc_id", "key", "component", "component_id")
+    placed = stored(placed, "placed-rows")
+    several = placed.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("doc_id")
+    gone = placed.filter("doc_id <> component_id").select("doc_id").unionByName(several).distinct()
+    one = F.col(id_col).cast("long").alias("__id")
+    kept = join_measured(docs.withColumn("__id", one), gone.withColumnRenamed("doc_id", "__id"), "__id", "left_anti")
+    # Ids on several rows are rare; their rows are told apart by their texts' sets.
+    again = join_measured(docs.withColumn("__id", one), several.withColumnRenamed("doc_id", "__id"), "__id", "left_semi")
+    keyed = _keyed(again, text_col, shingle)
+    parts = placed.join(several, "doc_id", "left_semi").dropDuplicates(["doc_id", "key"])
+    parts = parts.select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"), "component", "component_id")
+    told = keyed.join(parts.withColumnsRenamed({"component": "__component", "component_id": "__first"}), ["__id", "__key"], "left")
+    order = f"row_number() over (partition by __id, __component order by `{text_col}`)"
+    told = told.withColumn("__nth", F.expr(order))
+    chosen = told.filter("__key is null or (__nth = 1 and __id = __first)")
+    return kept.select(*docs.columns).unionByName(chosen.select(*docs.columns))
+
+
+def _keyed(docs: DataFrame, text_col: str, shingle: int) -> DataFrame:
+    """``docs`` with ``__key``, the class of each text; null without words."""
+    text_at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = WordHashes()
+        for batch in batches:
+            keys = [class_key(shingle_set(text, shingle, cache)) for text in batch.column(text_at).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.int64())], [*batch.schema.names, "__key"])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("__key", LongType())]))

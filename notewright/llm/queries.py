@@ -149,10 +149,10 @@ def _remainder(n: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % n
 
 
-def scored_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def scored_quality(spark: SparkSession, docs: DataFrame, sf_dir: str, fit_on: DataFrame | None = None) -> DataFrame:
     """``docs`` with score and predicted; the model sees only labels whose rows are not held out."""
     labels = _table(spark, sf_dir, "labels").filter(_remainder(4) != 2)
-    model = quality.fit(_table(spark, sf_dir, "documents"), labels)
+    model = quality.fit(_table(spark, sf_dir, "documents") if fit_on is None else fit_on, labels)
     return quality.score(docs, model).withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
 
 

@@ -78,6 +78,14 @@ def test_null_ids_and_empty_table(spark, docs_of):
     assert sorted(r.doc_id for r in kept) == [0, 2, 3, 4]
 
 
+def test_one_of_each_with_ids_on_several_rows(spark, docs_of):
+    rows = [(7, "a b c d"), (7, "a b c d"), (7, "A  b c d"), (7, "other words here now"), (9, "a b c d"), (7, ""), (None, "a b c d")]
+    kept = ngram_join.one_of_each(docs_of([t for _, t in rows], [i for i, _ in rows]))
+    assert kept.columns == docs_of([]).columns
+    got = sorted((r.doc_id or 0, r.text) for r in kept.collect())
+    assert got == [(0, "a b c d"), (7, ""), (7, "A  b c d"), (7, "other words here now")]
+
+
 def test_components_of_chains_and_stars(spark):
     draw = random.Random(4)
     edges = [(k, k + 1) for k in range(60)] + [(100, k) for k in range(101, 130)] + [(200, 200)]
