@@ -17,6 +17,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from notewright.operators.sizing import join_measured
 from notewright.operators.vectors import nearest
 
 
@@ -28,25 +29,24 @@ def _unit(matrix: np.ndarray) -> np.ndarray:
 def build_index(
     corpus: DataFrame,
     path: str,
-    cells: int = 64,
+    cells: int | None = None,
     id: str = "vec_id",
     embedding: str = "embedding",
     seed: int = 0,
     max_iter: int = 10,
-    training_rows: int = 1_000_000,
 ) -> None:
     """Write the corpus below ``path``, partitioned by cell, and the centres next to it.
 
-    Every vector is stored. Only the centres are fitted on about ``training_rows`` vectors,
-    as more do not move them noticeably.
+    Every vector is stored, and the centres are fitted on all of them. Without ``cells`` their number is the square
+    root of the number of vectors, so that a probe reads a shrinking share as the corpus grows.
 
     Vectors are scaled to unit length first: on the unit sphere the order by Euclidean
     distance, which k-means uses, is the order by cosine.
     """
     spark = corpus.sparkSession
-    share = min(1.0, training_rows / max(1, corpus.count()))
-    sample = corpus if share == 1.0 else corpus.sample(share, seed)
-    vectors = sample.select(array_to_vector(F.col(embedding).cast("array<double>")).alias("vector"))
+    if cells is None:
+        cells = max(1, round(corpus.count() ** 0.5))
+    vectors = corpus.select(array_to_vector(F.col(embedding).cast("array<double>")).alias("vector"))
     training = Normalizer(inputCol="vector", outputCol="features").transform(vectors).select("features")
     model = KMeans(k=cells, seed=seed, maxIter=max_iter).fit(training)
     centres = np.asarray(model.clusterCenters())
@@ -76,16 +76,20 @@ def search_index(
     id: str = "vec_id",
     embedding: str = "embedding",
 ) -> DataFrame:
-    """``(id, score, rank)`` of the ``k`` best rows among the ``probes`` nearest cells."""
+    """``(id, score, rank)`` of the ``k`` best rows among the ``probes`` nearest cells, and further ones until ``k`` are found."""
     centres = spark.read.parquet(f"{path}/centres").collect()  # one row per cell, fixed when built
     unit = _unit(np.asarray(query, dtype=np.float64))
     by_distance = sorted(centres, key=lambda row: float(((np.asarray(row["centre"]) - unit) ** 2).sum()))
-    cells = [row["cell"] for row in by_distance[:probes]]
-    rows = spark.read.parquet(f"{path}/cells").filter(F.col("cell").isin(*cells))
-    return nearest(rows, query, k, id, embedding)
+    stored = spark.read.parquet(f"{path}/cells")
+    while True:
+        cells = [row["cell"] for row in by_distance[:probes]]
+        rows = stored.filter(F.col("cell").isin(*cells))
+        if probes >= len(by_distance) or rows.count() >= k:  # counted from the files' footers
+            return nearest(rows, query, k, id, embedding)
+        probes *= 2
 
 
 def recall(approximate: DataFrame, exact: DataFrame) -> DataFrame:
     """One row: share of the exact neighbours that the approximate search found."""
-    found = exact.select("id").join(F.broadcast(approximate.select("id", F.lit(True).alias("hit"))), "id", "left")
+    found = join_measured(exact.select("id"), approximate.select("id", F.lit(True).alias("hit")), "id", "left")
     return found.agg((F.count_if("hit") / F.greatest(F.count(F.lit(1)), F.lit(1))).alias("recall"))

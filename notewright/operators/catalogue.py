@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -59,11 +59,13 @@ def compare_datasets(records: DataFrame, group: str = "dataset") -> DataFrame:
     )
 
 
-def dataset_status(records: DataFrame, group: str = "dataset", order: str = "ord") -> DataFrame:
-    """Per dataset: record count and the first record."""
+def dataset_status(records: DataFrame, group: str = "dataset", order: str | Sequence[str] = "ord") -> DataFrame:
+    """Per dataset: record count and the first record, by columns that differ between records."""
     rest = [c for c in records.columns if c != group]
-    counts = records.groupBy(group).agg(F.count(F.lit(1)).alias("total_records"), F.min(order).alias(order))
-    first = join_measured(records, counts, [group, order], skewed=False)
+    columns = [order] if isinstance(order, str) else list(order)
+    total, first = F.count(F.lit(1)).alias("total_records"), F.min(F.struct(*columns)).alias("__first")
+    counts = records.groupBy(group).agg(total, first).select(group, "total_records", "__first.*")
+    first = join_measured(records, counts, [group, *columns], skewed=False)
     return first.select(group, "total_records", F.struct(*rest).alias("sample_record"))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Callable, Sequence
+from functools import lru_cache
 
 import numpy as np
 
@@ -42,24 +43,11 @@ class HashingEncoder:
         return matrix
 
 
-def hashing_encoder(dimension: int = DIMENSION, seed: int = 0) -> Encoder:
-    return lambda: HashingEncoder(dimension, seed)
-
-
-def sentence_transformer(model_name: str = MODEL_NAME) -> Encoder:
-    """Encoder factory for a sentence-transformer model; the package must be on the executors."""
+@lru_cache(maxsize=8)
+def _hashing(dimension: int, seed: int) -> HashingEncoder:
+    return HashingEncoder(dimension, seed)
 
-    def load():
-        try:
-            from sentence_transformers import SentenceTransformer
-        except ImportError as missing:
-            raise RuntimeError("sentence-transformers is not installed; pass another encoder") from missing
-        model = SentenceTransformer(model_name)
 
-        class Model:
-            def encode(self, texts, batch_size=BATCH_SIZE):
-                return model.encode(list(texts), batch_size=batch_size, convert_to_numpy=True, show_progress_bar=False)
-
-        return Model()
-
-    return load
+def hashing_encoder(dimension: int = DIMENSION, seed: int = 0) -> Encoder:
+    """Factory of the hashing encoder, built once per Python worker."""
+    return lambda: _hashing(dimension, seed)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from notewright.functions.arguments import clamp, requested_fields, split_filters, within
+from notewright.functions.arguments import requested_fields, split_filters, within
 from notewright.functions.text import ellipsis, has_text
 from notewright.operators.numbering import CHUNK_BITS
 from notewright.operators.sizing import join_measured
@@ -43,36 +43,53 @@ def restrict_text(fields: Sequence[str], text: str = "text") -> Column:
     return F.map_from_arrays(present, F.transform(present, lambda f: F.col(text)[f]))
 
 
-def page_rows(frame: DataFrame, order: str, offset: int, limit: int, chunk_bits: int = CHUNK_BITS) -> DataFrame:
-    """Rows ``[offset, offset + limit)`` in the order of an integer column.
+def order_columns(order: str | Sequence[str]) -> list[str]:
+    """Columns that together put records in file order, such as the file and the place in it."""
+    return [order] if isinstance(order, str) else list(order)
+
+
+def page_rows(
+    frame: DataFrame, order: str | Sequence[str], offset: int, limit: int, chunk_bits: int = CHUNK_BITS
+) -> DataFrame:
+    """Rows ``[offset, offset + limit)`` in the order of an integer column, or of columns of which the last is one.
 
     A shallow page is a top-k. For a deep one the rows per chunk of order values are counted
     first; the page is then a top-k over the few chunks it touches, and the range of orders
-    reaches the scan as a filter.
+    reaches the scan as a filter. Rows must differ in their order.
     """
+    columns = order_columns(order)
     if offset + limit > SHALLOW_ROWS:
-        chunks = frame.groupBy(F.shiftright(F.col(order).cast("bigint"), chunk_bits).alias("chunk")).agg(
-            F.count(F.lit(1)).alias("rows"), F.min(order).alias("low"), F.max(order).alias("high")
+        leading, last = columns[:-1], columns[-1]
+        chunks = frame.groupBy(*leading, F.shiftright(F.col(last).cast("bigint"), chunk_bits).alias("chunk")).agg(
+            F.count(F.lit(1)).alias("rows"), F.min(last).alias("low"), F.max(last).alias("high")
         )
-        before = F.sum("rows").over(Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1))
-        touched = chunks.withColumn("before", F.coalesce(before, F.lit(0))).filter(
+        window = Window.orderBy(*leading, "chunk").rowsBetween(Window.unboundedPreceding, -1)
+        touched = chunks.withColumn("before", F.coalesce(F.sum("rows").over(window), F.lit(0))).filter(
             (F.col("before") < offset + limit) & (F.col("before") + F.col("rows") > offset)
         )
-        low, high, skipped = touched.agg(F.min("low"), F.max("high"), F.min("before")).first()
+        first = F.struct(*leading, F.col("low").alias(last))
+        final = F.struct(*leading, F.col("high").alias(last))
+        low, high, skipped = touched.agg(F.min(first), F.max(final), F.min("before")).first()
         if low is None:
             return frame.filter(F.lit(False))
-        frame, offset = frame.filter(F.col(order).between(low, high)), offset - skipped
-    return frame.orderBy(order).offset(offset).limit(limit)
+        for name in leading:
+            frame = frame.filter(F.col(name).between(low[name], high[name]))
+        place = F.struct(*columns)
+        bounds = [F.struct(*[F.lit(row[name]).alias(name) for name in columns]) for row in (low, high)]
+        inside = F.col(last).between(low[last], high[last]) if not leading else (place >= bounds[0]) & (place <= bounds[1])
+        frame, offset = frame.filter(inside), offset - skipped
+    return frame.orderBy(*columns).offset(offset).limit(limit)
 
 
-def first_per_id(records: DataFrame, order: str = "ord", id: str = "id") -> DataFrame:
+def first_per_id(records: DataFrame, order: str | Sequence[str] = "ord", id: str = "id") -> DataFrame:
     """First record of every id.
 
-    Finding the first place reads two narrow columns; whole records are only touched to
+    Finding the first place reads narrow columns; whole records are only touched to
     keep those at a first place, never sorted.
     """
-    firsts = records.groupBy(id).agg(F.min(order).alias(order))
-    return join_measured(records, firsts, [id, order], "left_semi", skewed=False)
+    columns = order_columns(order)
+    firsts = records.groupBy(id).agg(F.min(F.struct(*columns)).alias("__first")).select(id, "__first.*")
+    return join_measured(records, firsts, [id, *columns], "left_semi", skewed=False)
 
 
 def invalid_field_names(requested: Column, available: Column) -> Column:
@@ -88,7 +105,7 @@ class Dataset:
     name: str
     text_fields: Sequence[str]
     metadata_fields: Sequence[str] = ("id", "sheet")
-    order: str = "ord"
+    order: str | Sequence[str] = "ord"
 
     def matching(self, query: str | None = None, filters: Mapping[str, Any] | None = None) -> DataFrame:
         """Records that meet all filters and the full-text query. Unknown filter names are ignored."""
@@ -144,8 +161,9 @@ class Dataset:
         )
 
     def find(self, query: str = "", filters: Mapping[str, Any] | None = None, limit: int = 5) -> DataFrame:
-        """Whole records, first ``limit`` (pulled into 1 to 50) in file order."""
-        return self.matching(query, filters).orderBy(self.order).limit(clamp(limit, 1, 50))
+        """Whole records, first ``limit`` in file order."""
+        within("limit", limit, 1)
+        return self.matching(query, filters).orderBy(*order_columns(self.order)).limit(limit)
 
     def by_id(self, record_id: str) -> DataFrame:
         """First record with exactly this id, formatted; empty when there is none."""
@@ -153,21 +171,23 @@ class Dataset:
 
     def full_record(self, record_id: str) -> DataFrame:
         """First record with exactly this id, whole; empty when there is none."""
-        return self.records.filter(F.col("id") == record_id).orderBy(self.order).limit(1)
+        return self.records.filter(F.col("id") == record_id).orderBy(*order_columns(self.order)).limit(1)
 
     def id_pattern(self, pattern: str, limit: int = 10) -> DataFrame:
         """Whole records whose id holds the pattern, in any case."""
         found = self.records.filter(has_text(F.col("id"), pattern))
-        return found.orderBy(self.order).limit(clamp(limit, 1, 50))
+        within("limit", limit, 1)
+        return found.orderBy(*order_columns(self.order)).limit(limit)
 
     def preview(self, limit: int = 10) -> DataFrame:
         """First records with their metadata and the start of the catalogue's first field."""
+        within("limit", limit, 1)
         columns = [F.coalesce("id", F.lit("N/A")).alias("id")]
         columns += [F.col(name) for name in self.metadata_fields if name != "id"]
         if self.text_fields:
             first = self.text_fields[0]
             columns.append(ellipsis(F.col("text")[first], 100).alias(f"{first}_preview"))
-        return self.records.orderBy(self.order).limit(clamp(limit, 1, 100)).select(*columns)
+        return self.records.orderBy(*order_columns(self.order)).limit(limit).select(*columns)
 
     def project(self, names: Mapping[str, str]) -> DataFrame:
         """Chosen text fields of all records as columns: ``{column: field}``."""
@@ -180,5 +200,5 @@ class Dataset:
             F.array(*[F.lit(f) for f in self.text_fields]).cast("array<string>").alias("text_fields"),
             F.array(*[F.lit(f) for f in self.metadata_fields]).cast("array<string>").alias("metadata_fields"),
             F.count(F.lit(1)).alias("total_records"),
-            F.min_by(F.struct(*self.records.columns), self.order).alias("sample_record"),
+            F.min_by(F.struct(*self.records.columns), F.struct(*order_columns(self.order))).alias("sample_record"),
         )

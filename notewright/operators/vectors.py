@@ -17,7 +17,6 @@ from notewright.operators.sizing import join_measured
 
 QUERY_BLOCK = 16_384
 _SCORES_AT_ONCE = 4_000_000
-TEXT_LIMIT = 4096
 
 
 def embedding_text(text: str | Column = "text") -> Column:

@@ -13,10 +13,9 @@ from notewright.session import stored
 from notewright.sinks.vectors import write_embeddings
 from notewright.sources.files import relative_path
 from notewright.sources.jsonl import read_records
-from notewright.sources.objects import ACCUMULATE
 
 
-def numbered_texts(spark: SparkSession, folder: str, mode: str = ACCUMULATE) -> DataFrame:
+def numbered_texts(spark: SparkSession, folder: str, mode: str = "auto") -> DataFrame:
     """Metadata rows of all documents below a folder that have a text to embed.
 
     The parsed documents are stored once; numbering then reads two narrow columns of them
@@ -39,7 +38,7 @@ def embed_folder(
     model_name: str = MODEL_NAME,
     dimension: int = DIMENSION,
     batch_size: int = BATCH_SIZE,
-    mode: str = ACCUMULATE,
+    mode: str = "auto",
 ) -> None:
     """Embed every document below a folder and write the embedding set."""
     rows = numbered_texts(spark, folder, mode).withColumn("embedding", embed(encoder, "text", batch_size))

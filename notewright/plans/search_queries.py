@@ -113,7 +113,7 @@ def first_record_per_id(spark, sf_dir):
 
 @query(
     """SELECT doc_id AS ord, source AS id, lang AS sheet FROM documents
-       WHERE contains(lower(source), 'src1') ORDER BY doc_id LIMIT 50"""
+       WHERE contains(lower(source), 'src1') ORDER BY doc_id LIMIT 80"""
 )
 def id_pattern(spark, sf_dir):
     return documents(spark, sf_dir).id_pattern("SRC1", 80).select("ord", "id", "sheet")

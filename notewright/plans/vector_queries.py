@@ -181,7 +181,7 @@ def vector_roundtrip(spark, sf_dir):
     rows = _metadata(spark, sf_dir).withColumn("embedding", embed(hashing_encoder(64), "text"))
     write_embeddings(rows, out, "hashing", 64, "conversations")
     stored = read_embeddings(spark, out)
-    write_collection(stored, collection, 64)
+    write_collection(stored, collection, 64, text_limit=4096)
     metadata = stored.select("global_index", "local_index", "sheet")
     vectors = read_collection(spark, collection).withColumnRenamed("id", "global_index")
     return join_vectors(metadata, vectors).select(

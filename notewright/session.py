@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,12 +27,17 @@ def build_session(master: str | None = None, app_name: str = "notewright", **set
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Shared folder named by the cluster; a local one only where none is set."""
+    """Shared folder named by the cluster; where none is set, one in the warehouse, which all executors see.
+
+    A warehouse on the driver's own disk will do only where everything runs in one process.
+    """
     context = spark.sparkContext
     folder = spark.conf.get(_CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if not folder:
-        folder = tempfile.mkdtemp(prefix="notewright-")
-    if not context.getCheckpointDir():
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/notewright-shared"
+        if folder.startswith(("file:", "/")) and not context.master.startswith("local"):
+            raise ValueError(f"set {_CHECKPOINT_DIR} to a folder that all executors share")
+    if not context.getCheckpointDir():  # checkpoint() looks nowhere else
         context.setCheckpointDir(folder)
     return folder.rstrip("/")
 

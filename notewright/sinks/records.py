@@ -1,9 +1,10 @@
 """Record files, catalogues and flat exports.
 
-Writers never touch their input. A partition column gives the folder layout, and rows
-are ordered inside each task before writing, so no shuffle is needed. Where every task
-holds rows of many datasets, ``rebalance`` gathers them first, into files of even size
-however unequal the datasets are.
+Writers never touch their input. A partition column gives the folder layout. Rows are dealt
+to tasks by ranges of dataset and order, into even shares however unequal the datasets are,
+and ordered inside each task, so the part files of a dataset follow each other in record
+order: file name and place in the file give the order back. Without an order rows are
+written where they are.
 """
 
 from __future__ import annotations
@@ -23,10 +24,14 @@ def compact_json(value: Column) -> Column:
     return F.to_json(value, KEEP_NULLS)
 
 
-def _write_text(frame: DataFrame, path: str, folder: str, order: str | None, text: Column, mode: str, rebalance: bool) -> None:
+Order = str | tuple[str, ...] | None
+
+
+def _write_text(frame: DataFrame, path: str, folder: str, order: Order, text: Column, mode: str) -> None:
     named = frame.withColumn("dataset", F.col(folder)).withColumn("value", text)
-    named = named.hint("rebalance", "dataset") if rebalance else named
-    named = named.sortWithinPartitions("dataset", *([order] if order else []))
+    columns = ["dataset", *([order] if isinstance(order, str) else order or ())]
+    named = named.repartitionByRange(*columns) if order else named
+    named = named.sortWithinPartitions(*columns)
     named.select("dataset", "value").write.mode(mode).partitionBy("dataset").text(path)
 
 
@@ -34,26 +39,24 @@ def write_pretty(
     records: DataFrame,
     path: str,
     folder: str = "id",
-    order: str | None = "ord",
+    order: Order = "ord",
     fields: tuple[str, ...] = ("id", "sheet", "text", "metadata"),
     mode: str = "errorifexists",
-    rebalance: bool = False,
 ) -> None:
     """Pretty records, one folder per workbook id (or another column)."""
-    _write_text(records, path, folder, order, pretty_json(F.struct(*fields)), mode, rebalance)
+    _write_text(records, path, folder, order, pretty_json(F.struct(*fields)), mode)
 
 
 def write_compact(
     records: DataFrame,
     path: str,
     folder: str = "dataset",
-    order: str | None = "ord",
+    order: Order = "ord",
     fields: tuple[str, ...] = ("id", "sheet", "text"),
     mode: str = "errorifexists",
-    rebalance: bool = False,
 ) -> None:
     """Compact records, one object per line, one folder per dataset."""
-    _write_text(records, path, folder, order, compact_json(F.struct(*fields)), mode, rebalance)
+    _write_text(records, path, folder, order, compact_json(F.struct(*fields)), mode)
 
 
 def write_json_text(
@@ -61,12 +64,11 @@ def write_json_text(
     path: str,
     json: str,
     folder: str = "dataset",
-    order: str | None = "ord",
+    order: Order = "ord",
     mode: str = "errorifexists",
-    rebalance: bool = False,
 ) -> None:
     """JSON that is text already, one object per line, one folder per dataset."""
-    _write_text(objects, path, folder, order, F.col(json), mode, rebalance)
+    _write_text(objects, path, folder, order, F.col(json), mode)
 
 
 def write_catalogues(catalogue: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from notewright.functions.text import utc_now_text
-from notewright.operators.vectors import TEXT_LIMIT, run_info, subfolders
+from notewright.operators.vectors import run_info, subfolders
 from notewright.sources.vectors import read_embeddings
 
 
@@ -31,13 +31,17 @@ def write_collection(
     id: str = "global_index",
     embedding: str = "embedding",
     text: str = "text",
+    text_limit: int | None = None,
 ) -> None:
-    """Replace a vector collection by ``(id, embedding, text)``; a vector of another length is an error."""
+    """Replace a vector collection by ``(id, embedding, text)``; a vector of another length is an error.
+
+    Texts are whole unless ``text_limit`` gives the characters to keep.
+    """
     size = F.size(embedding)
     complaint = F.concat(F.lit(f"vector length is not {dimension}: "), size.cast("string"))
     checked = F.when(size == dimension, F.col(embedding)).otherwise(F.raise_error(complaint).cast("array<float>"))
     embedded.select(
         F.col(id).cast("bigint").alias("id"),
         checked.alias("embedding"),
-        F.substring(text, 1, TEXT_LIMIT).alias("text"),
+        (F.col(text) if text_limit is None else F.substring(text, 1, text_limit)).alias("text"),
     ).write.mode("overwrite").parquet(path)

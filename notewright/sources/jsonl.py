@@ -155,6 +155,17 @@ def scan_rejects(spark: SparkSession, path: str, pattern: str = RECORD_FILES) ->
     return lines.filter(~is_json_object(F.col("value")))
 
 
+def other_lines(spark: SparkSession, path: str, mode: str = "auto", pattern: str = RECORD_FILES) -> DataFrame:
+    """``(dataset, file_path, ord, raw)`` of the lines that ``scan_objects`` passes over in files it reads line by line."""
+    rejects = scan_rejects(spark, path, pattern)
+    if mode == "auto":
+        lines = scan_lines(spark, path, pattern).withColumn("value", strip(F.col("value")))
+        status = _line_status(lines).select("file_path", (F.col("first_bad") > F.col("first_line")).alias("by_line"))
+        rejects = join_measured(rejects, status, "file_path", "left").filter("coalesce(by_line, true)")
+    dataset = dataset_name(relative_path(F.col("file_path"), path))
+    return rejects.select(dataset.alias("dataset"), "file_path", "ord", F.col("value").alias("raw"))
+
+
 def _has(name: str) -> Column:
     return F.coalesce(F.array_contains("keys", name), F.lit(False))
 

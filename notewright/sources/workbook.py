@@ -10,7 +10,7 @@ from __future__ import annotations
 import io
 import re
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from datetime import datetime, timedelta
 from xml.etree import ElementTree
 
@@ -22,7 +22,7 @@ from notewright.functions.text import file_name
 from notewright.sources.files import WORKBOOK_FILES, admit_by_size, list_files
 
 HEADER_ROW = -1
-MAX_MB = 100.0
+MAX_MB = None  # no bound; an admission limit is the caller's choice
 
 CELL_ROWS = (
     "file_path string, file_name string, sheet_index int, sheet string, row_index int, "
@@ -170,7 +170,10 @@ def _sheet_rows(book: zipfile.ZipFile, part: str, shared: list[str], dates: list
 
 
 def _workbook_rows(content: bytes) -> Iterator[tuple]:
-    """``(sheet_index, sheet, row_index, cells, error)``; an unreadable sheet yields one error row."""
+    """``(sheet_index, sheet, row_index, cells, error)``; a sheet that breaks off anywhere yields one error row and no other.
+
+    A sheet is read through once before any of its rows is given out, so that no part of a broken one stays.
+    """
     with zipfile.ZipFile(io.BytesIO(content)) as book:
         sheets = _sheets(book)
         if not sheets:
@@ -182,10 +185,13 @@ def _workbook_rows(content: bytes) -> Iterator[tuple]:
         dates = _date_styles(book)
         for index, (sheet, part) in enumerate(sheets):
             try:
-                for row_index, cells in _sheet_rows(book, part, shared, dates):
-                    yield index, sheet, row_index, cells, None
+                for _ in _sheet_rows(book, part, shared, dates):
+                    pass
             except Exception as problem:
                 yield index, sheet, None, None, f"Cannot read sheet: {problem}"
+                continue
+            for row_index, cells in _sheet_rows(book, part, shared, dates):
+                yield index, sheet, row_index, cells, None
 
 
 def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -209,8 +215,17 @@ def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 yield frame(rows)
 
 
-def read_cells(spark: SparkSession, folder: str, max_mb: float = MAX_MB, pattern: str = WORKBOOK_FILES) -> DataFrame:
-    """Rows of every sheet of the workbooks in a folder; larger files are left out and listed as rejects.
+def read_cells(
+    spark: SparkSession,
+    folder: str,
+    max_mb: float | None = MAX_MB,
+    pattern: str = WORKBOOK_FILES,
+    columns: Sequence[str] | None = None,
+) -> DataFrame:
+    """Rows of every sheet of the workbooks in a folder; files over ``max_mb`` are left out and listed as rejects.
+
+    With ``columns`` only cells under these headers are kept, in sheet order; a sheet that lacks one of
+    them keeps those it has.
 
     ``row_index`` counts from 0 below the header, blank rows included; the header itself is
     row ``HEADER_ROW``. Rows with ``error`` tell of a file or sheet that could not be read.
@@ -219,11 +234,14 @@ def read_cells(spark: SparkSession, folder: str, max_mb: float = MAX_MB, pattern
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
         .load(folder)
-        .filter(F.col("length") <= int(max_mb * 1024 * 1024))
+        .filter(F.lit(True) if max_mb is None else F.col("length") <= int(max_mb * 1024 * 1024))
         .select(F.col("path").alias("file_path"), file_name(F.col("path")).alias("file_name"), "content")
         .filter(~F.startswith("file_name", F.lit("~$")))
     )
-    return files.mapInPandas(_decode, CELL_ROWS)
+    rows = files.mapInPandas(_decode, CELL_ROWS)
+    if columns is not None:
+        rows = rows.withColumn("cells", F.filter("cells", lambda c: c["header"].isin(*columns)))
+    return rows
 
 
 def data_rows(cells: DataFrame, missing: tuple[str, ...] = MISSING) -> DataFrame:
@@ -246,9 +264,11 @@ def header_rows(cells: DataFrame) -> DataFrame:
     return cells.filter(F.col("row_index") == HEADER_ROW).drop("row_index", "error")
 
 
-def reject_rows(spark: SparkSession, folder: str, cells: DataFrame, max_mb: float = MAX_MB) -> DataFrame:
+def reject_rows(spark: SparkSession, folder: str, cells: DataFrame, max_mb: float | None = MAX_MB) -> DataFrame:
     """``(file_name, sheet, reason)`` of files and sheets that were not admitted or not readable."""
+    unreadable = cells.filter("error is not null").select("file_name", "sheet", F.col("error").alias("reason"))
+    if max_mb is None:
+        return unreadable
     listed = admit_by_size(list_files(spark, folder, WORKBOOK_FILES), max_mb).filter(~F.col("admitted"))
     too_large = listed.select("file_name", F.lit(None).cast("string").alias("sheet"), "reason")
-    unreadable = cells.filter("error is not null").select("file_name", "sheet", F.col("error").alias("reason"))
     return too_large.unionByName(unreadable)

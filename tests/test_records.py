@@ -4,11 +4,18 @@ import pytest
 import rules
 from pyspark.sql import functions as F
 
-from notewright.operators.catalogue import child_keys, compare_datasets, field_catalogue, nested_key_paths, record_counts
+from notewright.operators.catalogue import (
+    child_keys,
+    compare_datasets,
+    dataset_status,
+    field_catalogue,
+    nested_key_paths,
+    record_counts,
+)
 from notewright.operators.numbering import number_files, number_rows, number_sorted, running_total
 from notewright.operators.records import records_from_table, trim_objects
 from notewright.operators.rewrite import replace_tally, rewrite_objects, set_path
-from notewright.operators.search import Dataset, page_rows
+from notewright.operators.search import Dataset, first_per_id, page_rows
 from notewright.operators.sizing import join_measured
 from notewright.plans.corpus import catalogue_folder, load_dataset, rewrite_folder, trim_folder
 from notewright.sinks.records import write_compact
@@ -129,18 +136,44 @@ def test_folder_jobs(spark, tmp_path):
     assert {(r["dataset"], r["changes"]) for r in tally.collect()} == {("a", 2), ("sub/a", 0), (None, 2)}
     fixed = read_records(spark, str(tmp_path / "fixed"), "lines").orderBy("dataset", "ord").collect()
     assert [r["text"] for r in fixed] == [{"Function": "the one"}] * 2 + [{"Other": "x"}]
+    (source / "b.jsonl").write_text(json.dumps(record) + "\nnot json teh\n17\n")
+    rewrite_folder(spark, str(source), str(tmp_path / "again"), "text.Function", "teh", "the")
+    lines = spark.read.text(str(tmp_path / "again") + "/dataset=b").collect()
+    assert [r["value"][:12] for r in lines][1:] == ["not json teh", "17"] and '"the one"' in lines[0]["value"]
     assert json.loads((source / "a.jsonl").read_text().split("\n}\n")[0] + "}") == record  # input untouched
 
 
-def test_rebalanced_files(spark, tmp_path):
+def test_part_files_follow_record_order(spark, tmp_path):
     rows = [("hot" if i % 3 else f"d{i % 5}", i, f"r{i}", "S", {"K": str(i)}) for i in range(500)]
     frame = spark.createDataFrame(rows, "dataset string, ord bigint, id string, sheet string, text map<string,string>")
-    write_compact(frame.repartition(9), str(tmp_path / "out"), rebalance=True)
-    back = read_records(spark, str(tmp_path / "out"), "lines").collect()
+    write_compact(frame.repartition(9), str(tmp_path / "out"))
+    back = read_records(spark, str(tmp_path / "out"), "lines").orderBy("dataset", "file_path", "ord").collect()
+    assert [r["id"] for r in back if r["dataset"] == "hot"] == [i for d, _, i, _, _ in rows if d == "hot"]
     assert {(r["dataset"], r["id"], r["text"]["K"]) for r in back} == {(d, i, t["K"]) for d, _, i, _, t in rows} and len(back) == 500
     assert len(list((tmp_path / "out").rglob("part-*"))) < 9 * 6
 
 
+def test_dataset_in_several_part_files(spark, tmp_path):
+    rows = [("d", i, f"r{i % 90}", "S", {"K": str(i)}) for i in range(400)]
+    frame = spark.createDataFrame(rows, "dataset string, ord bigint, id string, sheet string, text map<string,string>")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_compact(frame.repartition(7), str(tmp_path / "out"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    catalogue_folder(spark, str(tmp_path / "out"), str(tmp_path / "cat"))
+    dataset = load_dataset(spark, str(tmp_path / "out"), "d", str(tmp_path / "cat"))
+    assert dataset.records.select("file_path").distinct().count() > 1
+    paged = [r["text"]["K"] for page in range(1, 41) for r in dataset.page(page, 10).collect()]
+    assert paged == [str(i) for i in range(400)]
+    firsts = first_per_id(dataset.records, dataset.order).collect()
+    assert sorted(int(r["text"]["K"]) for r in firsts) == list(range(90))
+    (status,) = dataset_status(dataset.records, order=dataset.order).collect()
+    assert status["total_records"] == 400 and status["sample_record"]["text"] == {"K": "0"}
+    deep = page_rows(dataset.records, dataset.order, 395, 10**6, chunk_bits=3).collect()
+    assert [r["text"]["K"] for r in deep] == [str(i) for i in range(395, 400)]
+
+
 def test_set_path(spark):
     frame = objects(spark, [{"a": {"k": 1, "j": 2}}, {"b": "x"}, {"a": {"j": 3}}])
     rows = frame.select("ord", set_path(F.col("raw"), "a.k", "n").alias("raw")).orderBy("ord").collect()

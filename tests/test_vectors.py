@@ -154,7 +154,8 @@ def test_folder_to_neighbours(spark, tmp_path):
     with pytest.raises(Exception, match="vector length is not 384"):
         write_collection(stored, str(tmp_path / "wrong"), 384)
     write_collection(stored, collection, 48)
-    write_collection(stored, collection, 48)  # a second load replaces the first
+    assert read_collection(spark, collection).agg(F.max(F.length("text"))).first()[0] > 4096
+    write_collection(stored, collection, 48, text_limit=4096)  # a second load replaces the first
     corpus = read_collection(spark, collection)
     assert corpus.count() == 4 and corpus.agg(F.max(F.length("text"))).first()[0] == 4096
     query = HashingEncoder(48).encode(["Function: draw a sprite"])[0].tolist()
