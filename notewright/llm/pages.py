@@ -349,13 +349,11 @@ def fit(
     changed copies, in which those elements have other names and surroundings stand inside
     them, so that no single tag decides. None if no such page is found.
     """
-    rows = (
-        pages.select(F.col(id_col).alias("id"), F.col(html_col).alias("html"))
-        .filter(F.length("html").between(1, sample_chars))
-        .orderBy(F.xxhash64("id"), "id", F.xxhash64("html"))
-        .limit(sample_pages)
-        .collect()
-    )
+    mark = F.xxhash64(id_col, html_col)
+    usable = pages.filter(F.length(html_col).between(1, sample_chars))
+    chosen = usable.select(mark.alias("mark")).orderBy("mark").limit(sample_pages)  # only marks are sorted and gathered
+    found = usable.select(mark.alias("mark"), F.col(html_col).alias("html")).join(F.broadcast(chosen), "mark", "left_semi")
+    rows = sorted(found.dropDuplicates(["mark"]).collect())
     draw = random.Random(5)
     roots = [parse(row.html) for row in rows]
     spare = [t for t in (block_text(f, np.ones(len(f.nodes), bool)) for f in map(Flat.of, roots)) if t]
@@ -371,13 +369,27 @@ def fit(
     return fit_trees(np.vstack(x), np.concatenate(y)) if x else None
 
 
-def main_text(html: str, trees: Trees | None) -> str:
-    """The main text of one page; without trees, all of its text."""
-    flat = Flat.of(parse(html))
-    kept = np.ones(len(flat.nodes), bool)
-    if trees is not None and len(flat.nodes) > 1:
-        kept = decode(trees.log_odds(node_features(flat)), flat.parent)
-    return block_text(flat, kept)
+def main_texts(pages: list[str], trees: Trees | None) -> list[str]:
+    """The main text of each page; without trees, all of its text. The trees see the nodes of all pages at once."""
+    flats = [Flat.of(parse(html)) for html in pages]
+    if trees is None or not flats:
+        return [block_text(flat, np.ones(len(flat.nodes), bool)) for flat in flats]
+    odds = trees.log_odds(np.vstack([node_features(flat) for flat in flats]))
+    ends = np.cumsum([len(flat.nodes) for flat in flats])
+    return [block_text(f, decode(part, f.parent)) for f, part in zip(flats, np.split(odds, ends[:-1]), strict=True)]
+
+
+def _grouped(pages: list[str]) -> Iterator[list[str]]:
+    """Runs of pages of about a megabyte, a longer page by itself."""
+    group, size = [], 0
+    for html in pages:
+        if group and size + len(html) > 1 << 20:
+            yield group
+            group, size = [], 0
+        group.append(html)
+        size += len(html)
+    if group:
+        yield group
 
 
 def extract(pages: DataFrame, trees: Trees | None, html_col: str = "html", into: str = "text") -> DataFrame:
@@ -392,7 +404,8 @@ def extract(pages: DataFrame, trees: Trees | None, html_col: str = "html", into:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(html or "", trees) for html in batch.column(len(others)).to_pylist()]
+            sources = [html or "" for html in batch.column(len(others)).to_pylist()]
+            texts = [text for group in _grouped(sources) for text in main_texts(group, trees)]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(others)], pa.array(texts, pa.string())], [*others, into])
 
     return pages.select(*others, html_col).mapInArrow(run, schema)

@@ -41,7 +41,7 @@ def test_surroundings_inside_and_outside(trees):
         <div class="comments"><p>Reader says this is a long comment, with words.</p></div></main>
         <footer>Copyright</footer></body></html>"""
     want = "Title & more\n" + "\n".join(f"Sentence number {k}, with a few more words in it, to be read." for k in range(6))
-    assert pages.main_text(page, trees) == want
+    assert pages.main_texts([page, page], trees) == [want, want]
 
 
 def test_decoding_is_the_best_consistent_choice():
@@ -79,4 +79,4 @@ def test_odd_pages(spark, sf_of):
     assert all(r.text is not None and r.n_chars == len(r.text) for r in got.values())
     assert got[9].text.count("\n") == 4999
     assert QUERIES["op5_html"](spark, sf_of(pages=rows.limit(0))).count() == 0
-    assert pages.main_text("a<br>b&nbsp;c &lt;&#233;", None) == "a b c <é"
+    assert pages.main_texts(["a<br>b&nbsp;c &lt;&#233;"], None) == ["a b c <é"]
