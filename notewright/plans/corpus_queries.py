@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notewright.functions.jsontext import is_json_object
+from notewright.functions.jsontext import get_path, is_json_object
+from notewright.functions.text import value_for_id
 from notewright.operators.catalogue import (
     child_keys,
     compare_datasets,
@@ -15,15 +16,23 @@ from notewright.operators.catalogue import (
     record_counts,
 )
 from notewright.operators.records import trim_objects
-from notewright.operators.rewrite import replace_column, replace_field, replace_tally, rewrite_objects
+from notewright.operators.rewrite import replace_column, replace_field, replace_tally, rewrite_objects, set_path
 from notewright.plans.registry import query, table
 from notewright.plans.search_queries import document_records
 from notewright.session import scratch_path
-from notewright.sinks.records import write_catalogues, write_compact, write_flat, write_json_text, write_pretty
+from notewright.sinks.records import (
+    compact_json,
+    pretty_json,
+    write_catalogues,
+    write_compact,
+    write_flat,
+    write_json_text,
+    write_pretty,
+)
 from notewright.sources.catalogue_files import read_catalogues
 from notewright.sources.files import admit_by_size, distinct_files, files_by_folder, list_files, outside_folder
-from notewright.sources.jsonl import parse_records, read_records
-from notewright.sources.nested import flatten_sets
+from notewright.sources.jsonl import other_lines, parse_records, read_records
+from notewright.sources.nested import flatten_sets, read_cards
 
 
 def language_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,29 +241,105 @@ def _read_back(spark: SparkSession, path: str, mode: str) -> DataFrame:
     )
 
 
-@query(_ROUND_TRIP)
+def _broken(spark: SparkSession, sf_dir: str, name: str, pretty: bool) -> str:
+    """Record files, one per source, with a line of junk in place of every seventh document from number 100 on."""
+    path = scratch_path(spark, name)
+    record = F.struct(
+        F.col("doc_id").cast("string").alias("id"),
+        F.col("lang").alias("sheet"),
+        F.create_map(F.lit("Text"), "text").alias("text"),
+    )
+    junk = (F.col("doc_id") % 7 == 3) & (F.col("doc_id") >= 100)
+    value = F.when(junk, F.lit("neither object nor value")).otherwise(pretty_json(record) if pretty else compact_json(record))
+    rows = table(spark, sf_dir, "documents").select(F.col("source").alias("dataset"), "doc_id", value.alias("value"))
+    ordered = rows.repartition("dataset").sortWithinPartitions("dataset", "doc_id")
+    ordered.select("dataset", "value").write.partitionBy("dataset").text(path)
+    return path
+
+
+_JUNK = "(doc_id % 7 = 3 AND doc_id >= 100)"
+_FOUND = "SELECT source AS dataset, doc_id, lang AS sheet, length(text) AS chars, md5(text) AS digest"
+_WHOLE = f"{_FOUND} FROM documents WHERE NOT {_JUNK}"
+_BEFORE_JUNK = f"""{_FOUND} FROM (SELECT *, min(CASE WHEN {_JUNK} THEN doc_id END) OVER (PARTITION BY source) AS first_bad FROM documents)
+    WHERE doc_id < coalesce(first_bad, doc_id + 1)"""
+_NOT_AFTER_JUNK = f"""{_FOUND} FROM (SELECT *, coalesce(lag({_JUNK}) OVER (PARTITION BY source ORDER BY doc_id), false) AS after_junk
+    FROM documents) WHERE NOT {_JUNK} AND NOT after_junk"""
+
+
+@query(_WHOLE)
 def scan_lines_file(spark, sf_dir):
-    return _read_back(spark, _written(spark, sf_dir, "lines", pretty=False), "lines")
+    return _read_back(spark, _broken(spark, sf_dir, "lines", pretty=False), "lines")
 
 
-@query(_ROUND_TRIP)
+@query(_WHOLE)
+def scan_auto_file(spark, sf_dir):
+    return _read_back(spark, _broken(spark, sf_dir, "auto", pretty=False), "auto")
+
+
+@query(_BEFORE_JUNK)
 def scan_prefix_file(spark, sf_dir):
-    return _read_back(spark, _written(spark, sf_dir, "prefix", pretty=False), "prefix")
+    return _read_back(spark, _broken(spark, sf_dir, "prefix", pretty=False), "prefix")
 
 
-@query(_ROUND_TRIP)
+@query(_NOT_AFTER_JUNK)
 def scan_pretty_file(spark, sf_dir):
-    return _read_back(spark, _written(spark, sf_dir, "pretty", pretty=True), "pretty")
+    return _read_back(spark, _broken(spark, sf_dir, "pretty", pretty=True), "pretty")
 
 
-@query(_ROUND_TRIP)
+@query(_NOT_AFTER_JUNK)
 def scan_accumulate_file(spark, sf_dir):
-    return _read_back(spark, _written(spark, sf_dir, "accumulate", pretty=True), "accumulate")
+    return _read_back(spark, _broken(spark, sf_dir, "accumulate", pretty=True), "accumulate")
 
 
-@query(_ROUND_TRIP)
+@query(_WHOLE)
 def scan_tolerant_file(spark, sf_dir):
-    return _read_back(spark, _written(spark, sf_dir, "tolerant", pretty=True), "tolerant")
+    return _read_back(spark, _broken(spark, sf_dir, "tolerant", pretty=True), "tolerant")
+
+
+@query(_ROUND_TRIP)
+def record_roundtrip(spark, sf_dir):
+    return _read_back(spark, _written(spark, sf_dir, "round-trip", pretty=True), "pretty")
+
+
+@query(f"SELECT source AS dataset, count(*) AS rejects FROM documents WHERE {_JUNK} GROUP BY source")
+def scan_rejected_lines(spark, sf_dir):
+    rejects = other_lines(spark, _broken(spark, sf_dir, "rejects", pretty=False))
+    return rejects.groupBy("dataset").agg(F.count(F.lit(1)).alias("rejects"))
+
+
+@query("""SELECT doc_id AS ord, CASE WHEN lang <> 'de' THEN lang END AS lang, CASE WHEN lang <> 'de' THEN 'xx' END AS changed, source FROM documents""")
+def json_paths(spark, sf_dir):
+    """Values at dotted paths, read, and set where the path is there."""
+    info = F.when(F.col("lang") != "de", F.struct("lang", "n_chars"))
+    raw = F.to_json(F.struct("source", info.alias("info")))
+    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("ord"), raw.alias("raw"))
+    rows = rows.withColumn("after", set_path(F.col("raw"), "info.lang", "xx"))
+    return rows.select(
+        "ord",
+        get_path(F.col("raw"), "info.lang").alias("lang"),
+        get_path(F.col("after"), "info.lang").alias("changed"),
+        get_path(F.col("after"), "source").alias("source"),
+    )
+
+
+@query("SELECT c_custkey AS id, c_mktsegment AS set_code FROM customer WHERE c_custkey % 3 <> 0")
+def card_payloads(spark, sf_dir):
+    """Payload files of up to 500 cards each, read back as sets; every third card has none."""
+    path = scratch_path(spark, "cards")
+    sets = F.when(F.col("c_custkey") % 3 != 0, F.array(F.struct(F.col("c_mktsegment").alias("set_code"))))
+    card = F.struct(F.col("c_custkey").alias("id"), sets.alias("card_sets"))
+    payloads = table(spark, sf_dir, "customer").groupBy(F.floor(F.col("c_custkey") / 500)).agg(F.collect_list(card).alias("data"))
+    payloads.select(F.to_json(F.struct("data"))).write.option("maxRecordsPerFile", 1).text(path)
+    return flatten_sets(read_cards(spark, path))
+
+
+@query(
+    r"""SELECT p_partkey AS id, left(regexp_replace(regexp_replace(p_name || ' / ' || p_type, '[^\w\s-]', '', 'g'), '\s+', '_', 'g'), 30) AS part
+        FROM part"""
+)
+def value_ids(spark, sf_dir):
+    name = F.concat("p_name", F.lit(" / "), "p_type")
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), value_for_id(name).alias("part"))
 
 
 @query(
