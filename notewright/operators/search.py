@@ -24,10 +24,15 @@ def text_filter(field: str, needle: str, text: str = "text") -> Column:
     return has_text(F.col(text)[field], needle)
 
 
+def record_value(records: DataFrame, field: str) -> Column:
+    """A column of the records, or a key that the reader found beside the known ones."""
+    return F.col(field) if field in records.columns or "other" not in records.columns else F.col("other")[field]
+
+
 def metadata_filter(records: DataFrame, field: str, needle: str) -> Column:
     """Metadata value, as text, holds the needle; nested values are searched as JSON."""
-    value = F.col(field)
-    if isinstance(records.schema[field].dataType, (T.StructType, T.MapType, T.ArrayType)):
+    value = record_value(records, field)
+    if field in records.columns and isinstance(records.schema[field].dataType, (T.StructType, T.MapType, T.ArrayType)):
         value = F.to_json(value)
     return has_text(value.cast("string"), needle)
 
@@ -120,7 +125,7 @@ class Dataset:
     def formatted(self, found: DataFrame, fields: Sequence[str] | None = None) -> DataFrame:
         """``id, sheet, text, metadata`` with text cut to the requested (else all known) fields."""
         other = [name for name in self.metadata_fields if name not in ("id", "sheet")]
-        metadata = F.struct(*other) if other else F.lit(None).cast("map<string,string>")
+        metadata = F.struct(*[record_value(found, name).alias(name) for name in other]) if other else F.lit(None).cast("map<string,string>")
         return found.select("id", "sheet", restrict_text(fields or self.text_fields).alias("text"), metadata.alias("metadata"))
 
     def search(
@@ -183,7 +188,7 @@ class Dataset:
         """First records with their metadata and the start of the catalogue's first field."""
         within("limit", limit, 1)
         columns = [F.coalesce("id", F.lit("N/A")).alias("id")]
-        columns += [F.col(name) for name in self.metadata_fields if name != "id"]
+        columns += [record_value(self.records, name).alias(name) for name in self.metadata_fields if name != "id"]
         if self.text_fields:
             first = self.text_fields[0]
             columns.append(ellipsis(F.col("text")[first], 100).alias(f"{first}_preview"))

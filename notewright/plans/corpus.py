@@ -111,11 +111,13 @@ def load_dataset(spark: SparkSession, path: str, dataset: str, catalogues: str |
 
     ``path`` is the folder, ``dataset`` the file without its ending, or the dataset as written
     by this library, whose part files follow each other in record order. Without the
-    catalogue the load fails.
+    catalogue the load fails. Further keys of the first record can be filtered and are shown.
     """
     fields = catalogue_fields(read_catalogues(spark, catalogues or path), dataset)
     place = f"{path.rstrip('/')}/{{{dataset}.jsonl,{written_folder(dataset)}}}"
     objects = scan_objects(spark, place, mode)
     records = parse_records(objects.withColumn("dataset", F.lit(dataset)))
-    records = records.select("dataset", "file_path", "ord", "id", "sheet", "text", "metadata")
-    return Dataset(records, dataset, fields, ("id", "sheet", "metadata"), ("file_path", "ord"))
+    records = records.select("dataset", "file_path", "ord", "id", "sheet", "text", "metadata", "other")
+    first = records.orderBy("file_path", "ord").select(F.map_keys("other").alias("names")).first()
+    found = tuple(first["names"]) if first and first["names"] else ()
+    return Dataset(records, dataset, fields, ("id", "sheet", "metadata", *found), ("file_path", "ord"))

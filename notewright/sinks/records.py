@@ -40,10 +40,16 @@ def write_pretty(
     path: str,
     folder: str = "id",
     order: Order = "ord",
-    fields: tuple[str, ...] = ("id", "sheet", "text", "metadata"),
+    fields: tuple[str, ...] | None = None,
     mode: str = "errorifexists",
 ) -> None:
-    """Pretty records, one folder per workbook id (or another column)."""
+    """Pretty records, one folder per workbook id (or another column).
+
+    Without ``fields`` a record has id, sheet, text and metadata, and its per-column values
+    under ``columns`` where the frame has them.
+    """
+    if fields is None:
+        fields = ("id", "sheet", "text", "metadata", *(["columns"] if "columns" in records.columns else []))
     _write_text(records, path, folder, order, pretty_json(F.struct(*fields)), mode)
 
 

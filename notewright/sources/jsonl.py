@@ -17,7 +17,9 @@ METADATA = (
     "struct<file_name string, file_path string, sheet_name string, row_index int, total_labeled_columns int, "
     "non_empty_columns int, columns_used array<string>, text_length int, word_count int, processing_timestamp string>"
 )
-RECORD = f"struct<id string, sheet string, text map<string,string>, metadata {METADATA}>"
+RECORD = f"struct<id string, sheet string, text map<string,string>, metadata {METADATA}, columns map<string,string>>"
+_KNOWN = ("id", "sheet", "text", "metadata", "columns")
+_METADATA_NAMES = [part.split()[0] for part in METADATA.removeprefix("struct<").split(", ")]
 
 MODES = ("prefix", "lines", "pretty", ACCUMULATE, TOLERANT, "auto")
 
@@ -171,11 +173,20 @@ def _has(name: str) -> Column:
 
 
 def parse_records(objects: DataFrame, raw: str = "raw") -> DataFrame:
-    """Records from JSON text: adds ``id, sheet, text, metadata`` and key-presence flags.
+    """Records from JSON text: adds ``id, sheet, text, metadata, columns, other`` and key-presence flags.
 
     ``text`` is null when it is missing or not an object. Repeated keys keep the last value.
+    ``other`` holds whatever else the record has: further keys of its own under their names, and
+    further keys of its metadata as ``metadata.name``; values that are no strings as JSON text.
     """
     record = F.from_json(raw, RECORD)
+    own = last_wins_map(F.map_entries(F.from_json(raw, "map<string,string>")))
+    own = F.map_filter(own, lambda key, _: ~key.isin(*_KNOWN))
+    inner = F.from_json(raw, "struct<metadata: map<string,string>>")["metadata"]
+    inner = F.map_filter(last_wins_map(F.map_entries(inner)), lambda key, _: ~key.isin(*_METADATA_NAMES))
+    nothing = F.create_map().cast("map<string,string>")
+    named = F.transform_keys(inner, lambda key, _: F.concat(F.lit("metadata."), key))
+    other = F.map_concat(F.coalesce(F.map_filter(own, lambda key, _: ~F.startswith(key, F.lit("metadata."))), nothing), F.coalesce(named, nothing))
     text = F.col("record.text")
     return (
         objects.withColumn("record", record)
@@ -187,6 +198,8 @@ def parse_records(objects: DataFrame, raw: str = "raw") -> DataFrame:
             F.col("record.sheet").alias("sheet"),
             "text",
             F.col("record.metadata").alias("metadata"),
+            F.when(F.col("record.columns").isNotNull(), last_wins_map(F.map_entries("record.columns"))).alias("columns"),
+            other.alias("other"),
             _has("id").alias("has_id"),
             _has("sheet").alias("has_sheet"),
             _has("text").alias("has_text"),

@@ -106,6 +106,8 @@ def test_convert_catalogue_and_load(spark, folder, tmp_path):
     want = {(r["id"], r["sheet"], str(sorted(r["text"].items()))) for r in corpus.records.collect()}
     assert {(r["id"], r["sheet"], str(sorted(r["text"].items()))) for r in back.collect()} == want
     assert {r["dataset"] for r in back.select("dataset").distinct().collect()} == {"A", "B"}
+    written = {str(sorted(r["columns"].items(), key=str)) for r in corpus.records.collect()}
+    assert {str(sorted(r["columns"].items(), key=str)) for r in back.collect()} == written
     write_catalogues(field_catalogue(back), catalogues)
     stats = length_statistics(back, F.col("metadata.text_length")).first()
     lengths = sorted(r["metadata"]["text_length"] for r in back.collect())
@@ -123,6 +125,15 @@ def test_load_dataset_needs_its_catalogue(spark, tmp_path):
     (tmp_path / "N_text_texted.txt").write_text('{"text": {"text_fields": ["Function", "Returns"]}}')
     data = load_dataset(spark, str(tmp_path), "N_text")
     assert data.text_fields == ["Function", "Returns"] and data.page_info().first()["total"] == 2
+    (tmp_path / "Odd_text.jsonl").write_text(
+        '{"id":"N","sheet":"S","text":{"A":"x"},"category":"Blue","metadata":{"row_index":1,"first_name":"Ann"},"n":[1]}\n'
+        '{"id":"M","sheet":"S","text":{"A":"y"},"category":"red"}\n'
+    )
+    (tmp_path / "Odd_text_texted.txt").write_text('{"text": {"text_fields": ["A"]}}')
+    odd = load_dataset(spark, str(tmp_path), "Odd_text")
+    assert set(odd.metadata_fields) == {"id", "sheet", "metadata", "category", "n", "metadata.first_name"}
+    assert [r["id"] for r in odd.search(filters={"category": "BLUE"}).collect()] == ["N"]
+    assert odd.search(filters={"metadata.first_name": "ann"}).first()["metadata"]["category"] == "Blue"
     rows = data.search("AB", {"text.Returns": "in"}).collect()
     assert [r["id"] for r in rows] == ["N"] and rows[0]["text"] == {"Function": "abc", "Returns": "int"}
     assert data.search("metadata").count() == 0
