@@ -163,8 +163,18 @@ def trim_objects(objects: DataFrame, raw: str = "raw") -> DataFrame:
     """Compact ``{id, sheet, text}`` from JSON text, as column ``trimmed``.
 
     Objects that do not parse are salvaged when the three values can still be located;
-    rows that give nothing are dropped.
+    rows that give nothing are left to ``trim_rejects``.
     """
+    trimmed = _with_trimmed(objects, raw)
+    return trimmed.select(*objects.columns, F.explode(F.array_compact(F.array("__trimmed"))).alias("trimmed"))
+
+
+def trim_rejects(objects: DataFrame, raw: str = "raw") -> DataFrame:
+    """The rows of which ``trim_objects`` makes nothing."""
+    return _with_trimmed(objects, raw).filter("__trimmed is null").select(*objects.columns)
+
+
+def _with_trimmed(objects: DataFrame, raw: str) -> DataFrame:
     value = F.col(raw)
     typed = F.from_json(value, "struct<id: variant, sheet: variant, text: variant>")
     # The variant form would sort the keys of an object; its text form keeps them in order.
@@ -180,13 +190,13 @@ def trim_objects(objects: DataFrame, raw: str = "raw") -> DataFrame:
     return (
         objects.withColumn("__typed", typed)
         .withColumn("__text", F.from_json(value, "struct<text: string>")["text"])
-        .select(*objects.columns, F.explode(F.array_compact(F.array(trimmed))).alias("trimmed"))
+        .withColumn("__trimmed", trimmed)
     )
 
 
 _QUOTED = r'"((?:[^"\\]|\\.)*+)"'
 _SKIP = r"[^:]*:[ \t\r\n]*"
-_NESTING = 16
+_NESTING = 200  # levels of a broken object's text; each is a frame of the pattern matcher, so there is a bound
 
 
 def _braced_pattern(depth: int) -> str:

@@ -13,7 +13,7 @@ from notewright.operators.catalogue import (
     record_counts,
 )
 from notewright.operators.numbering import number_files, number_rows, number_sorted, running_total
-from notewright.operators.records import records_from_table, trim_objects
+from notewright.operators.records import records_from_table, trim_objects, trim_rejects
 from notewright.operators.rewrite import replace_tally, rewrite_objects, set_path
 from notewright.operators.search import Dataset, first_per_id, page_rows
 from notewright.operators.sizing import join_measured
@@ -110,6 +110,14 @@ def test_rewrite_rules(spark):
     }
 
 
+def test_salvage_of_deep_objects_and_rejects(spark):
+    deep = '{"a":' * 60 + "1" + "}" * 60
+    rows = objects(spark, ['{"id":"A","sheet":"S","text":' + deep + ",,}", "neither", {"id": "B", "sheet": "S", "text": {}}])
+    found = trim_objects(rows).orderBy("ord").collect()
+    assert [json.loads(r["trimmed"])["id"] for r in found] == ["A", "B"] and json.loads(found[0]["trimmed"])["text"] == json.loads(deep)
+    assert [r["raw"] for r in trim_rejects(rows).collect()] == ["neither"]
+
+
 def test_rewrite_finds_escaped_text(spark):
     raw = '{"k":"caf\\u00e9 \\"q\\""}'
     row = rewrite_objects(objects(spark, [raw]), "k", 'é "q"', "!").first()
