@@ -14,7 +14,7 @@ added up over all words and the next round runs with them. Words are known by 64
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,6 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from notewright.llm.shingles import texts_of
 from notewright.session import stored
 
 CLASSES, PER_CLASS = 32, 16
@@ -34,7 +35,7 @@ EXACT = 64  # customers up to which a dish's number of tables is drawn from its
 BURN_IN, SAMPLES = 2, 4
 HOT_WORDS = 8192  # most frequent words; their probabilities (a table of fixed size) go to every task
 _BEGIN, _END = b" begin", b" end"  # no words, as they hold a space
-_MOST_WORDS = 500_000
+_MOST_WORDS = 200_000
 
 
 def _signed(values: np.ndarray) -> np.ndarray:
@@ -75,19 +76,19 @@ class Tokens(dict):
         self.contexts.append(context_of(word))
         return number
 
-    def of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def of(self, texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Numbers and contexts of the tokens of all texts, hashes by number, and tokens of each text."""
         if len(self) > _MOST_WORDS:
             self._clear()
         parts, sizes = [], []
         for text in texts:
             found = (text or "").encode("utf-8", "surrogatepass").lower().split()
-            parts.append(np.fromiter(map(self.__getitem__, found), np.int64, len(found)))
-            parts.append(np.array([self.end]))
+            parts.append(np.fromiter(map(self.__getitem__, found), np.int32, len(found)))
+            parts.append(np.array([self.end], np.int32))
             sizes.append(len(found) + 1)
         numbers, sizes = np.concatenate(parts), np.array(sizes)
-        contexts = np.empty(len(numbers), np.int64)
-        contexts[1:] = np.array(self.contexts)[numbers[:-1]]
+        contexts = np.empty(len(numbers), np.int16)
+        contexts[1:] = np.array(self.contexts, np.int16)[numbers[:-1]]
         contexts[np.cumsum(sizes) - sizes] = self.begin
         return numbers, contexts, np.array(self.hashes, np.uint64), sizes
 
@@ -101,11 +102,14 @@ def context_counts(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = Tokens()
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            if not texts:
+            if not batch.num_rows:
                 continue
-            numbers, contexts, hashes, _ = tokens.of(texts)
-            pairs, counts = np.unique(numbers * CONTEXTS + contexts, return_counts=True)
+            numbers, contexts, hashes, _ = tokens.of(texts_of(batch.column(0)))
+            pairs = numbers.astype(np.int64) * CONTEXTS + contexts
+            del numbers, contexts
+            pairs.sort()
+            first = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]]))
+            counts, pairs = np.diff(np.append(first, len(pairs))), pairs[first]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(_signed(hashes[pairs // CONTEXTS])),
@@ -338,16 +342,18 @@ def fit(texts: DataFrame, rounds: int = 1) -> Model:
 
 def _hot(model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes (ascending), counts and log10 probabilities in every context of the most frequent words."""
-    rows = model.words.orderBy(F.desc("c"), "w").limit(HOT_WORDS).collect()
-    rows.sort(key=lambda r: r.w)
+    most = model.words.select("w", "c").orderBy(F.desc("c"), "w").limit(HOT_WORDS)  # the long rows are fetched for these only
+    rows = model.words.join(F.broadcast(most.select("w")), "w", "left_semi").toArrow().sort_by("w").combine_chunks()
     b1, b2 = np.log10(model.totals.backoff(1)), np.log10(model.totals.backoff(2))
-    table = np.empty((len(rows), CONTEXTS), np.float32)
-    for k, r in enumerate(rows):
-        classes = b1 + r.lp0
-        classes[r.x1] = r.lp1
+    alone = rows.column("lp0").to_numpy()
+    table = np.empty((rows.num_rows, CONTEXTS), np.float32)
+    for k in range(rows.num_rows):
+        x1, lp1, x2, lp2 = (rows.column(name)[k].values.to_numpy() for name in ("x1", "lp1", "x2", "lp2"))
+        classes = b1 + alone[k]
+        classes[x1] = lp1
         table[k] = b2 + np.repeat(classes, PER_CLASS)
-        table[k, r.x2] = r.lp2
-    return np.array([r.w for r in rows], np.int64), np.array([r.c for r in rows], np.int64), table
+        table[k, x2] = lp2
+    return rows.column("w").to_numpy(), rows.column("c").to_numpy(), table
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -370,13 +376,13 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         for batch in batches:
             if not batch.num_rows:
                 continue
-            numbers, contexts, hashes, sizes = tokens.of(batch.column(1).to_pylist())
+            numbers, contexts, hashes, sizes = tokens.of(texts_of(batch.column(1)))
             words = _signed(hashes)
             at = np.searchsorted(hot_words, words)
             at[at == len(hot_words)] = 0
             is_hot = hot_words[at] == words if len(hot_words) else np.zeros(len(words), bool)
             hot = is_hot[numbers]
-            owner = np.repeat(np.arange(len(sizes)), sizes)
+            owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
             by_row = lambda values: np.bincount(owner[hot], values, len(sizes)).astype(np.float64)
             places = at[numbers[hot]]
             scored = by_row(hot_table[places, contexts[hot]].astype(np.float64))

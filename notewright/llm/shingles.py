@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 import xxhash
 
-_MOST_WORDS = 500_000
+_MOST_WORDS = 200_000
+_ROWS_AT_ONCE = 256
 _STEP = np.uint64(0x9E3779B97F4A7C15)  # odd multiplier, the golden ratio of 64 bits
 
 
+def texts_of(column: pa.Array) -> Iterator[str | None]:
+    """The texts of a batch one after the other, few of them as Python strings at a time."""
+    for at in range(0, len(column), _ROWS_AT_ONCE):
+        yield from column.slice(at, _ROWS_AT_ONCE).to_pylist()
+
+
 def words(text: str | None) -> list[bytes]:
     """Words between ASCII white space, with A-Z in lower case; bytes know no other letters or spaces."""
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
