@@ -15,6 +15,7 @@ PERMUTATIONS = 128
 SHINGLE = 5
 _CHUNK = 8192
 _FIRST = -(2**63)
+PARTS_OF_A_TASK = 4
 
 
 def permutations(count: int = PERMUTATIONS, seed: int = 17) -> tuple[np.ndarray, np.ndarray]:
@@ -107,7 +108,8 @@ def ordered_with_next(docs: DataFrame, parts: int) -> DataFrame:
                 )
 
     moved = docs.mapInArrow(dealt, "part long, doc_id long, text string, guest boolean")
-    return moved.repartition(parts, "part").sortWithinPartitions("part", "guest", "doc_id", "text")
+    # Parts are dealt by hash; several to a task even out how many a task happens to get.
+    return moved.repartition(max(1, parts // PARTS_OF_A_TASK), "part").sortWithinPartitions("part", "guest", "doc_id", "text")
 
 
 def edited(text: str, following: str) -> str:

@@ -107,7 +107,7 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = minhash.PARTS_OF_A_TASK * int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = minhash.compare_edits(_table(spark, sf_dir, "documents").select("doc_id", "text"), parts)
     return found.select(
         "doc_id",
