@@ -128,14 +128,14 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL["op6_decontamination"] = r"""
 with w as (
-    select 'd' as side, doc_id as id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), x -> x <> '') as w
+    select 'd' as side, doc_id as id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
     from documents
     union all
-    select 'i', item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), x -> x <> '')
+    select 'i', item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '')
     from benchmark
 ), s as (
     select distinct side, id, unnest(case when len(w) >= 5
-        then list_transform(generate_series(1, len(w) - 4), i -> array_to_string(w[i:i + 4], ' '))
+        then list_transform(generate_series(1, len(w) - 4), lambda i: array_to_string(w[i:i + 4], ' '))
         when len(w) > 0 then ['short ' || array_to_string(w, ' ')] else [] end) as shingle
     from w
 ), n as (select id, count(*) as n_item from s where side = 'i' group by id)
