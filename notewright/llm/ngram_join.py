@@ -15,19 +15,20 @@ from math import log
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from notewright.llm.graph import components
-from notewright.llm.shingles import WordHashes, mixed, shingle_set
+from notewright.llm.shingles import WordHashes, mixed, shingle_set, texts_of
 from notewright.operators.sizing import join_measured
 from notewright.session import materialised, stored
 
 SHINGLE, PERCENT = 4, 85
 SEEDS = (11, 23, 47)
-FREQUENT = 400_000  # tokens put last in the orders, at most
-BITMAP_BITS = 1 << 23  # of the set of documents fetched for verification; false hits only cost time
+FREQUENT = 2_000_000  # tokens put last in the orders, at most
+NEIGHBOURS = 3
+_HASH_BITS = 48  # of a token's place in an order; the bits above are its rank
 
 
 def class_key(found: np.ndarray) -> int | None:
@@ -43,39 +44,93 @@ def least_overlap(size: int, percent: int = PERCENT) -> int:
 class Order:
     """A global order of tokens: (times seen as frequent, seeded hash)."""
 
-    def __init__(self, frequent: np.ndarray, ranks: np.ndarray, seed: int):
-        self.frequent, self.ranks, self.seed = frequent, ranks, np.uint64(seed)
+    def __init__(self, seed: int):
+        self.seed = np.uint64(seed)
 
-    def prefix(self, found: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-        """The first tokens of a set, one more than a linked set can lack."""
+    def prefix(self, found: np.ndarray, ranks: np.ndarray, percent: int = PERCENT, in_order: bool = False) -> np.ndarray:
+        """The first tokens of a set, one more than a linked set can lack. ``ranks`` are those of ``Frequent``."""
         length = len(found) - least_overlap(len(found), percent) + 1
-        rank = np.zeros(len(found), np.int64)
-        if len(self.frequent):
-            at = np.searchsorted(self.frequent, found)
-            at[at == len(self.frequent)] = 0
-            rank = np.where(self.frequent[at] == found, self.ranks[at], 0)
-        return found[np.lexsort((mixed(found ^ self.seed), rank))[:length]]
-
-
-def linked(a: np.ndarray, b: np.ndarray, orders: list[Order], percent: int = PERCENT) -> bool:
+        place = (ranks << np.uint64(_HASH_BITS)) | (mixed(found ^ self.seed) >> np.uint64(64 - _HASH_BITS))
+        if length == len(found):
+            first = np.arange(length)
+        else:
+            first = np.argpartition(place, length - 1)[:length]
+        return found[first[np.lexsort((found[first], place[first]))]] if in_order else found[first]
+
+
+class Frequent:
+    """Tokens known to be frequent and how often they were seen. A table of flags spares most others the search."""
+
+    def __init__(self, tokens: np.ndarray, seen: np.ndarray):
+        at = np.argsort(tokens)
+        self.tokens, self.seen = tokens[at], np.minimum(seen[at], 2**16 - 1).astype(np.uint16)
+        self.flags: np.ndarray | None = None
+
+    def ranks(self, found: np.ndarray) -> np.ndarray:
+        ranks = np.zeros(len(found), np.uint64)
+        if len(self.tokens):
+            if self.flags is None:  # made where it is used, so that it need not travel
+                self.flags = np.zeros(1 << 24, bool)
+                self.flags[self.tokens >> np.uint64(40)] = True
+            likely = np.flatnonzero(self.flags[found >> np.uint64(40)])
+            at = np.searchsorted(self.tokens, found[likely])
+            at[at == len(self.tokens)] = 0
+            ranks[likely] = np.where(self.tokens[at] == found[likely], self.seen[at], 0)
+        return ranks
+
+
+def _frequent(facts: DataFrame) -> Frequent:
+    """All tokens seen often enough for the list to hold at most ``FREQUENT`` of them."""
+    seen = materialised(facts.filter("token is not null").groupBy("token").agg(F.sum("seen").alias("seen")))
+    most = 4096
+    by_times = seen.groupBy(F.least("seen", F.lit(most)).cast("int").alias("times")).agg(F.count(F.lit(1)).alias("tokens"))
+    held, bound = 0, most + 1
+    for row in sorted(by_times.collect(), reverse=True):
+        held += row.tokens
+        if held > FREQUENT:
+            break
+        bound = row.times
+    rows = seen.filter(F.col("seen") >= bound).toArrow()
+    tokens, times = (rows.column(name).to_numpy() for name in ("token", "seen"))
+    return Frequent(tokens.view(np.uint64), times)
+
+
+class Candidate:
+    """A set with its prefix under every order."""
+
+    def __init__(self, found: np.ndarray, frequent: Frequent, percent: int):
+        ranks = frequent.ranks(found)
+        self.found = found
+        self.prefixes = [Order(seed).prefix(found, ranks, percent) for seed in SEEDS]
+
+
+def _meet(a: np.ndarray, b: np.ndarray) -> int:
+    """How many members two sets share."""
+    both = np.concatenate([a, b])
+    both.sort()
+    return int((both[1:] == both[:-1]).sum())
+
+
+def linked(a: Candidate, b: Candidate, percent: int = PERCENT) -> bool:
     """Whether two sets link: sizes, then a shared prefix token under every order, then the exact count."""
-    if percent * max(len(a), len(b)) > 100 * min(len(a), len(b)):
+    m, n = len(a.found), len(b.found)
+    if percent * max(m, n) > 100 * min(m, n) or not all(map(_meet, a.prefixes, b.prefixes)):
         return False
-    for order in orders:
-        if not len(np.intersect1d(order.prefix(a, percent), order.prefix(b, percent), assume_unique=True)):
-            return False
-    shared = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * shared >= percent * (len(a) + len(b) - shared)
+    shared = _meet(a.found, b.found)
+    return 100 * shared >= percent * (m + n - shared)
 
 
 def _facts(docs: DataFrame, shingle: int) -> DataFrame:
-    """Rows of two kinds: (doc_id, n, key) of every document, and (token, seen) of tokens that several sets of a batch share."""
+    """Rows of two kinds: (doc_id, mark, n, key) of every document, and (token, seen) of tokens that several sets of a batch share.
+
+    ``mark`` is the hash of the text, ``n`` the size and ``key`` the class of its set.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
         for batch in batches:
             keys, sizes, once = [], [], {}
-            for text in batch.column(1).to_pylist():
+            for text in texts_of(batch.column(2)):
                 found = shingle_set(text, shingle, cache)
                 keys.append(class_key(found))
                 sizes.append(len(found))
@@ -84,40 +139,39 @@ def _facts(docs: DataFrame, shingle: int) -> DataFrame:
             several, seen = np.zeros(0, np.uint64), np.zeros(0, np.int64)
             if once:
                 tokens = np.concatenate(list(once.values()))
+                once.clear()
                 tokens.sort()
-                starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
-                counts = np.diff(np.append(starts, len(tokens)))
-                several, seen = tokens[starts][counts > 1], counts[counts > 1]
-            count = len(keys) + len(several)
+                several, seen = np.unique(tokens[1:][tokens[1:] == tokens[:-1]], return_counts=True)
+                seen = seen + 1
             tail = [None] * len(several)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.concat_arrays([batch.column(0), pa.nulls(len(several), pa.int64())]),
+                    *(pa.concat_arrays([batch.column(k), pa.nulls(len(several), pa.int64())]) for k in (0, 1)),
                     pa.array([*sizes, *tail], pa.int64()),
                     pa.array([*keys, *tail], pa.int64()),
                     pa.concat_arrays([pa.nulls(len(keys), pa.int64()), pa.array(several.view(np.int64))]),
                     pa.concat_arrays([pa.nulls(len(keys), pa.int64()), pa.array(seen)]),
                 ],
-                ["doc_id", "n", "key", "token", "seen"],
+                ["doc_id", "mark", "n", "key", "token", "seen"],
             )
-            assert count == len(sizes) + len(several)
 
-    return docs.mapInArrow(run, "doc_id long, n long, key long, token long, seen long")
+    marked = docs.select("doc_id", _mark().alias("mark"), "text")
+    return marked.mapInArrow(run, "doc_id long, mark long, n long, key long, token long, seen long")
 
 
-def _postings(docs: DataFrame, order: Order, shingle: int, percent: int) -> DataFrame:
-    """(token, key, n, at): the prefix of every class of equal sets; copies within a batch give theirs once."""
+def _postings(docs: DataFrame, frequent: Frequent, shingle: int, percent: int) -> DataFrame:
+    """(token, key, n, at): the prefix in the first order of every class of equal sets; copies within a batch give theirs once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordHashes()
+        cache, order = WordHashes(), Order(SEEDS[0])
         for batch in batches:
             seen, parts, keys, sizes = set(), [], [], []
-            for text in batch.column(1).to_pylist():
+            for text in texts_of(batch.column(0)):
                 found = shingle_set(text, shingle, cache)
                 key = class_key(found)
                 if key is not None and key not in seen:
                     seen.add(key)
-                    parts.append(order.prefix(found, percent))
+                    parts.append(order.prefix(found, frequent.ranks(found), percent, in_order=True))
                     keys.append(key)
                     sizes.append(len(found))
             lengths = [len(p) for p in parts]
@@ -132,105 +186,87 @@ def _postings(docs: DataFrame, order: Order, shingle: int, percent: int) -> Data
                 ["token", "key", "n", "at"],
             )
 
-    return docs.mapInArrow(run, "token long, key long, n int, at int")
-
-
-def _bitmap(keys: DataFrame) -> np.ndarray:
-    """A bit for the hash of each key, ``BITMAP_BITS`` in all whatever the number of keys."""
-    bit = F.pmod(F.col("key"), F.lit(BITMAP_BITS))
-    word = F.shiftrightunsigned(bit, 6)
-    mask = F.expr(f"shiftleft(1L, cast(pmod(key, {BITMAP_BITS}) & 63 as int))")
-    rows = keys.groupBy(word.cast("int").alias("word")).agg(F.bit_or(mask).alias("bits")).collect()
-    bitmap = np.zeros(BITMAP_BITS // 64, np.int64)
-    for row in rows:
-        bitmap[row.word] = row.bits
-    return bitmap.view(np.uint64)
-
-
-def _texts(docs: DataFrame, wanted: np.ndarray, shingle: int) -> DataFrame:
-    """(key, text) of the classes whose bit is set, once per class."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordHashes()
-        for batch in batches:
-            out = {}
-            for text in batch.column(1).to_pylist():
-                key = class_key(shingle_set(text, shingle, cache))
-                if key is not None:
-                    bit = key % BITMAP_BITS
-                    if int(wanted[bit >> 6]) >> (bit & 63) & 1:
-                        out.setdefault(key, text)
-            yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.int64()), pa.array(list(out.values()), pa.string())], ["key", "text"])
+    return docs.select("text").mapInArrow(run, "token long, key long, n int, at int")
 
-    return docs.mapInArrow(run, "key long, text string").dropDuplicates(["key"])
 
+def _verified(
+    pairs: DataFrame, docs: DataFrame, facts: DataFrame, frequent: Frequent, shingle: int, percent: int
+) -> DataFrame:
+    """Those of the candidate pairs (a, b) of class keys that link.
 
-def _verified(pairs: DataFrame, docs: DataFrame, orders: list[Order], shingle: int, percent: int) -> DataFrame:
-    """Those of the candidate pairs (a, b) of class keys that link. The texts of ``a`` are joined last, so each pair moves one text."""
+    One text of each class that is in a pair is fetched, by the hash of the text. The texts of
+    ``a`` are joined last, so each pair moves one text.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
         held: tuple = (None, None)
         for batch in batches:
-            a, b, text_a, text_b = (c.to_pylist() for c in batch.columns)
             keep = []
-            for k in range(len(a)):
-                if held[0] != a[k]:
-                    held = (a[k], shingle_set(text_a[k], shingle, cache))
-                keep.append(linked(held[1], shingle_set(text_b[k], shingle, cache), orders, percent))
+            for k, (a, text_b) in enumerate(zip(batch.column(0).to_pylist(), texts_of(batch.column(3)), strict=True)):
+                if held[0] != a:
+                    held = (a, Candidate(shingle_set(batch.column(2)[k].as_py(), shingle, cache), frequent, percent))
+                other = Candidate(shingle_set(text_b, shingle, cache), frequent, percent)
+                keep.append(linked(held[1], other, percent))
             chosen = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(chosen), batch.column(1).filter(chosen)], ["a", "b"])
 
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("key"))
-    texts = _texts(docs, _bitmap(ends), shingle)
-    members = pairs.join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
-    both = members.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    one = facts.filter("key is not null").groupBy("key").agg(F.min("mark").alias("mark"))
+    wanted = materialised(one.join(ends, "key", "left_semi"))
+    marked = docs.select(_mark().alias("mark"), "text")
+    texts = join_measured(marked, wanted.select("mark").distinct(), "mark", "left_semi").dropDuplicates(["mark"])
+    for end in ("a", "b"):
+        pairs = pairs.join(wanted.select(F.col("key").alias(end), F.col("mark").alias(f"mark_{end}")), end)
+    # Texts are dealt by their marks once; the pairs come to them, last to those of ``a``.
+    members = pairs.join(texts.select(F.col("mark").alias("mark_b"), F.col("text").alias("text_b")), "mark_b")
+    both = members.join(texts.select(F.col("mark").alias("mark_a"), F.col("text").alias("text_a")), "mark_a")
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
-def _near_sizes(small: str, large: str, percent: int) -> str:
-    return f"{percent}L * {large} <= 100L * {small}"
+def _mark() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
+def _possible(small: str, large: str, percent: int) -> str:
+    """Condition on a prefix token that two sets share: sizes near enough, and enough tokens left from here on in both.
+
+    It holds for the first token that linked sets share, as they share none before it.
+    """
+    needed = f"{percent}L * ({small}.n + {large}.n)"
+    left = " and ".join(f"{100 + percent}L * ({x}.n - {x}.at) >= {needed}" for x in (small, large))
+    return f"{percent}L * {large}.n <= 100L * {small}.n and {left}"
 
 
 def links(docs: DataFrame, facts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Pairs (a, b) of class keys that link, enough of them to connect all classes that links connect.
 
-    First every class of a prefix token is compared with the least of those of about its size:
-    a star, not all pairs, and enough where a group is alike. Then only pairs of classes that share a prefix token and are still in
-    different components are compared. All other pairs either share no prefix token, and cannot link, or
-    are connected already.
+    First every class of a prefix token is compared with the least of those of about its size
+    (a star) and with ``NEIGHBOURS`` others next to it in an order drawn for the token: a few
+    pairs per class, not all, and enough to connect most groups of near copies. Then only pairs
+    of classes that share a prefix token and are still in different components are compared. All other pairs
+    either share no prefix token, and cannot link, or are connected already.
     """
-    rows = (
-        facts.filter("token is not null")
-        .groupBy("token")
-        .agg(F.sum("seen").alias("seen"))
-        .orderBy(F.desc("seen"), "token")
-        .limit(FREQUENT)
-        .collect()
-    )
-    frequent = np.array([r.token for r in rows], np.int64).view(np.uint64)
-    ranks = np.array([r.seen for r in rows], np.int64)
-    at = np.argsort(frequent)
-    orders = [Order(frequent[at], ranks[at], seed) for seed in SEEDS]
-
+    frequent = _frequent(facts)
     shared = "count(1) over (partition by token)"
     postings = stored(
-        _postings(docs, orders[0], shingle, percent)
-        .withColumn("many", F.expr(shared))
-        .filter("many > 1")
-        .drop("many"),
+        _postings(docs, frequent, shingle, percent).withColumn("many", F.expr(shared)).filter("many > 1").drop("many"),
         "prefix-postings",
     )
     step = log(100 / percent)
     bucket = F.floor(F.log(F.col("n").cast("double")) / step + 1e-9)
-    bucketed = postings.withColumn("bucket", F.explode(F.array(bucket, bucket + 1)))
-    pivoted = bucketed.withColumn("pivot", F.expr("min(struct(n, key)) over (partition by token, bucket)"))
+    bucketed = postings.withColumn("bucket", F.explode(F.array(bucket, bucket + 1))).withColumn("own", F.struct("n", "key", "at"))
+    drawn = "over (partition by token, bucket order by xxhash64(key, token), key)"
+    others = [F.expr("min(own) over (partition by token, bucket)")]
+    others += [F.expr(f"lag(own, {k}) {drawn}") for k in range(1, NEIGHBOURS + 1)]
+    met = bucketed.withColumn("others", F.array(*others)).select("own", F.explode(F.array_compact("others")).alias("other"))
+    met = met.select(F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
     stars = materialised(
-        pivoted.filter(f"pivot.key <> key and {_near_sizes('pivot.n', 'n', percent)}")
-        .select(F.col("pivot.key").alias("a"), F.col("key").alias("b"))
+        met.filter(f"x.key <> y.key and {_possible('x', 'y', percent)}")
+        .select(F.col("x.key").alias("a"), F.col("y.key").alias("b"))
         .distinct()
     )
-    first = materialised(_verified(stars, docs, orders, shingle, percent))
+    first = materialised(_verified(stars, docs, facts, frequent, shingle, percent))
     labels = components(first)
     labelled = postings.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn(
         "component", F.coalesce("component", "key")
@@ -242,15 +278,11 @@ def links(docs: DataFrame, facts: DataFrame, shingle: int, percent: int) -> Data
     if apart.isEmpty():
         return first
     x, y = apart.alias("x"), apart.alias("y")
-    # What two sets can still share after the token at hand, in the first order, must reach what a link needs.
-    possible = "1 + least(x.n - x.at, y.n - y.at) - 1"
-    on = (
-        "x.token = y.token and x.component <> y.component and (x.n < y.n or x.n = y.n and x.key < y.key) and "
-        f"{_near_sizes('x.n', 'y.n', percent)} and {100 + percent}L * ({possible} + least(x.at, y.at)) >= {percent}L * (x.n + y.n)"
-    )
+    ordered = "(x.n < y.n or x.n = y.n and x.key < y.key)"
+    on = f"x.token = y.token and x.component <> y.component and {ordered} and {_possible('x', 'y', percent)}"
     rest = x.join(y, F.expr(on)).select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct()
     rest = materialised(rest.join(stars, ["a", "b"], "left_anti"))
-    return first.unionByName(_verified(rest, docs, orders, shingle, percent))
+    return first.unionByName(_verified(rest, docs, facts, frequent, shingle, percent))
 
 
 def _placed(docs: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -318,7 +350,7 @@ def _keyed(docs: DataFrame, text_col: str, shingle: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
         for batch in batches:
-            keys = [class_key(shingle_set(text, shingle, cache)) for text in batch.column(text_at).to_pylist()]
+            keys = [class_key(shingle_set(text, shingle, cache)) for text in texts_of(batch.column(text_at))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.int64())], [*batch.schema.names, "__key"])
 
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("__key", LongType())]))

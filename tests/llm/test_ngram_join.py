@@ -99,10 +99,10 @@ def test_components_of_chains_and_stars(spark):
 
 def test_prefixes_of_linked_sets_meet_under_every_order():
     rng = np.random.default_rng(0)
-    order = ngram_join.Order(np.array([], np.uint64), np.array([], np.int64), 5)
+    none = ngram_join.Frequent(np.array([], np.uint64), np.array([], np.int64))
     for size in range(1, 80):
         a = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
         lost = len(a) - ngram_join.least_overlap(len(a))
         b = a[lost:]
         if 100 * len(b) >= 85 * len(a):
-            assert ngram_join.linked(a, b, [order])
+            assert ngram_join.linked(*(ngram_join.Candidate(s, none, 85) for s in (a, b)))
