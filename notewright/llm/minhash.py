@@ -6,13 +6,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from notewright.llm.shingles import WordHashes, shingle_set
+from notewright.llm.ngram_join import class_key, connect, join_documents
+from notewright.llm.shingles import WordHashes, shingle_set, texts_of
 
 PERMUTATIONS = 128
 SHINGLE = 5
+BANDS = 32
 _CHUNK = 8192
 _FIRST = -(2**63)
 PARTS_OF_A_TASK = 4
@@ -61,7 +64,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = Fingerprints(shingle)
         for batch in batches:
-            found = [of(text).tobytes().hex() for text in batch.column(1).to_pylist()]
+            found = [of(text).tobytes().hex() for text in texts_of(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], ["doc_id", "fingerprint"])
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(
@@ -69,6 +72,51 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
 
 
+def band_postings(docs: DataFrame, shingle: int, bands: int = BANDS) -> DataFrame:
+    """(token, key, n, at): for every class of equal sets the hash of each band of its signature."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chosen, cache = permutations(), WordHashes()
+        for batch in batches:
+            rows = {}
+            for text in texts_of(batch.column(0)):
+                found = shingle_set(text, shingle, cache)
+                key = class_key(found)
+                if key is not None and key not in rows:
+                    parts = np.split(signature(found, chosen), bands)
+                    hashed = [xxhash.xxh3_64_intdigest(part.tobytes(), k) for k, part in enumerate(parts)]
+                    rows[key] = (len(found), np.array(hashed, np.uint64).view(np.int64))
+            sizes = np.array([n for n, _ in rows.values()], np.int32)
+            tokens = np.concatenate([t for _, t in rows.values()]) if rows else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(tokens),
+                    pa.array(np.repeat(np.array(list(rows), np.int64), bands)),
+                    pa.array(np.repeat(sizes, bands)),
+                    pa.array(np.zeros(len(tokens), np.int32)),
+                ],
+                ["token", "key", "n", "at"],
+            )
+
+    return docs.select("text").mapInArrow(run, "token long, key long, n int, at int")
+
+
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = 80
+) -> DataFrame:
+    """(doc_id, n_shingles, component_id): groups of texts linked by a Jaccard similarity of ``percent`` or more.
+
+    Texts that agree on all components of one of ``BANDS`` bands are joined and their sets
+    compared exactly. At a similarity of 0.8 two texts share no band with a probability of 5e-8.
+    Empty, null, repeated and short texts are treated as ``join_documents`` does.
+    """
+
+    def find(texts: DataFrame, facts: DataFrame, size: int, least: int) -> DataFrame:
+        return connect(band_postings(texts, size), texts, facts, None, size, least)
+
+    return join_documents(docs, id_col, text_col, shingle, percent, find)
+
+
 def ordered_with_next(docs: DataFrame, parts: int) -> DataFrame:
     """Rows (part, doc_id, text, guest) such that each part, by doc_id and text, is a run of the table and ends in the next part's first row.
 

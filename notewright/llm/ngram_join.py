@@ -98,10 +98,11 @@ def _frequent(facts: DataFrame) -> Frequent:
 class Candidate:
     """A set with its prefix under every order."""
 
-    def __init__(self, found: np.ndarray, frequent: Frequent, percent: int):
-        ranks = frequent.ranks(found)
-        self.found = found
-        self.prefixes = [Order(seed).prefix(found, ranks, percent) for seed in SEEDS]
+    def __init__(self, found: np.ndarray, frequent: Frequent | None, percent: int):
+        self.found, self.prefixes = found, []
+        if frequent is not None:
+            ranks = frequent.ranks(found)
+            self.prefixes = [Order(seed).prefix(found, ranks, percent) for seed in SEEDS]
 
 
 def _meet(a: np.ndarray, b: np.ndarray) -> int:
@@ -190,9 +191,9 @@ def _postings(docs: DataFrame, frequent: Frequent, shingle: int, percent: int) -
 
 
 def _verified(
-    pairs: DataFrame, docs: DataFrame, facts: DataFrame, frequent: Frequent, shingle: int, percent: int
+    pairs: DataFrame, docs: DataFrame, facts: DataFrame, frequent: Frequent | None, shingle: int, percent: int
 ) -> DataFrame:
-    """Those of the candidate pairs (a, b) of class keys that link.
+    """Those of the candidate pairs (a, b) of class keys that link; the orders' filters apply where ``frequent`` is given.
 
     One text of each class that is in a pair is fetched, by the hash of the text. The texts of
     ``a`` are joined last, so each pair moves one text.
@@ -239,7 +240,15 @@ def _possible(small: str, large: str, percent: int) -> str:
 
 
 def links(docs: DataFrame, facts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of class keys that link, enough of them to connect all classes that links connect.
+    """Pairs (a, b) of class keys that link, enough of them to connect all classes that links connect."""
+    frequent = _frequent(facts)
+    return connect(_postings(docs, frequent, shingle, percent), docs, facts, frequent, shingle, percent)
+
+
+def connect(
+    postings: DataFrame, docs: DataFrame, facts: DataFrame, frequent: Frequent | None, shingle: int, percent: int
+) -> DataFrame:
+    """Links (a, b) among the classes that share a token of ``postings`` (token, key, n, at).
 
     First every class of a prefix token is compared with the least of those of about its size
     (a star) and with ``NEIGHBOURS`` others next to it in an order drawn for the token: a few
@@ -247,12 +256,8 @@ def links(docs: DataFrame, facts: DataFrame, shingle: int, percent: int) -> Data
     of classes that share a prefix token and are still in different components are compared. All other pairs
     either share no prefix token, and cannot link, or are connected already.
     """
-    frequent = _frequent(facts)
     shared = "count(1) over (partition by token)"
-    postings = stored(
-        _postings(docs, frequent, shingle, percent).withColumn("many", F.expr(shared)).filter("many > 1").drop("many"),
-        "prefix-postings",
-    )
+    postings = stored(postings.withColumn("many", F.expr(shared)).filter("many > 1").drop("many"), "shared-postings")
     step = log(100 / percent)
     bucket = F.floor(F.log(F.col("n").cast("double")) / step + 1e-9)
     bucketed = postings.withColumn("bucket", F.explode(F.array(bucket, bucket + 1))).withColumn("own", F.struct("n", "key", "at"))
@@ -285,11 +290,11 @@ def links(docs: DataFrame, facts: DataFrame, shingle: int, percent: int) -> Data
     return first.unionByName(_verified(rest, docs, facts, frequent, shingle, percent))
 
 
-def _placed(docs: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame]:
+def _placed(docs: DataFrame, shingle: int, percent: int, find=links) -> tuple[DataFrame, DataFrame]:
     """Rows with words as (doc_id, n_shingles, key, component, component_id), and the others as (doc_id, n_shingles)."""
     facts = stored(_facts(docs, shingle), "shingle-facts")
     rows = facts.filter("n is not null").select("doc_id", F.col("n").alias("n_shingles"), "key")
-    found = components(materialised(links(docs, facts, shingle, percent)))
+    found = components(materialised(find(docs, facts, shingle, percent)))
     placed = rows.filter("key is not null").join(found.withColumnRenamed("node", "key"), "key", "left")
     placed = placed.withColumn("component", F.coalesce("component", "key"))
     names = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
@@ -301,9 +306,9 @@ def _of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def join_documents(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT, find=links
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``docs``.
+    """(doc_id, n_shingles, component_id) of every row of ``docs``; ``find`` tells which classes of equal sets link.
 
     Rows link when 100 * intersection >= percent * union of their shingle sets; component_id is the smallest doc_id
     that links reach. Null and empty texts and texts without words have an empty set, link with
@@ -311,7 +316,7 @@ def join_documents(
     a text of fewer words than a shingle is one shingle. An empty table gives no rows; other
     columns are ignored.
     """
-    placed, alone = _placed(_of(docs, id_col, text_col), shingle, percent)
+    placed, alone = _placed(_of(docs, id_col, text_col), shingle, percent, find)
     alone = alone.withColumn("component_id", F.col("doc_id"))
     return placed.select("doc_id", "n_shingles", "component_id").unionByName(alone)
 

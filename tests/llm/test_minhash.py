@@ -65,3 +65,23 @@ def test_signature_in_chunks_is_the_same(monkeypatch):
     whole = minhash.signature(found, minhash.permutations())
     monkeypatch.setattr(minhash, "_CHUNK", 64)
     assert np.array_equal(whole, minhash.signature(found, minhash.permutations()))
+
+
+def test_near_duplicates(spark, small_sf):
+    docs = spark.read.parquet(f"{small_sf}/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    name = {i: i for i in texts}
+
+    def root(i):
+        while name[i] != i:
+            i = name[i]
+        return i
+
+    sets = {i: set(shingle_set(t, 5, WordHashes()).tolist()) for i, t in texts.items()}
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                low, high = sorted((root(a), root(b)))
+                name[high] = low
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs).collect()}
+    assert got == {i: root(i) for i in texts} and any(i != c for i, c in got.items())
