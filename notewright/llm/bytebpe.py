@@ -29,7 +29,6 @@ def _printable_bytes() -> dict[str, int]:
 class ByteBpe:
     def __init__(self, vocabulary: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
         spec = json.loads(vocabulary)
         self.added = [token["content"] for token in spec.get("added_tokens", [])]
@@ -38,10 +37,14 @@ class ByteBpe:
             bytes(means[c] for c in piece): i for piece, i in spec["model"]["vocab"].items() if piece not in self.added
         }
         self._fast = tiktoken.Encoding("bytebpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self._exact = Tokenizer.from_str(vocabulary)
+        self._vocabulary, self._exact = vocabulary, None
 
     def ids(self, text: str) -> np.ndarray:
         if any(token in text for token in self.added):
+            if self._exact is None:
+                from tokenizers import Tokenizer
+
+                self._exact = Tokenizer.from_str(self._vocabulary)
             found = self._exact.encode(text, add_special_tokens=False).ids
         else:
             found = self._fast.encode_ordinary(text)

@@ -12,9 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from notewright.llm.bytebpe import byte_bpe
+from notewright.llm.shingles import give_back
 
 LINEAR_COST = 1.0
 QUADRATIC_COST = 1.0 / 2048  # attention weighs as much as the linear layers at this length
+SHARD_ROWS = 2000  # rows that are packed together
 _SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
@@ -60,7 +62,7 @@ def pack(
 
     A row's ids are those of its text (null: empty) and then ``end_id``. Runs of ``capacity``
     ids fill sequences of their own; what remains of each row is placed by ``balance`` among
-    the rows of the same batch, so no row moves between tasks and each batch is padded by less
+    the same ``SHARD_ROWS`` rows, so no row moves between tasks and each such shard is padded by less
     than one sequence. Sequence ids name the partition in their upper half, so a task
     that runs again gives the same ids.
 
@@ -74,11 +76,15 @@ def pack(
         raise ValueError("capacity must be positive")
     vocabulary = Path(vocabulary_path).read_text(encoding="utf-8")
 
+    def shards(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for at in range(0, batch.num_rows, SHARD_ROWS):
+            yield batch.slice(at, SHARD_ROWS)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = byte_bpe(vocabulary)
         context = TaskContext.get()
         next_sequence = (context.partitionId() if context else 0) << 32
-        for batch in batches:
+        for batch in (part for whole in batches for part in shards(whole)):
             doc_ids = batch.column(0).to_pylist()
             ids = [np.append(encoder.ids(text or ""), np.uint32(end_id)) for text in batch.column(1).to_pylist()]
             sizes = np.array([len(x) for x in ids], dtype=np.int64)
@@ -104,5 +110,6 @@ def pack(
                 ],
                 names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"],
             )
+        give_back()
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, _SCHEMA)

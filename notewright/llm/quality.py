@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from notewright.llm.shingles import give_back
+
 SAMPLE_ROWS = 4000  # labelled rows the model is fitted on, at most
 SAMPLE_LINES = 400  # lines of such a row, at most; longer rows are not used for fitting
 _SLICE = 1 << 20  # characters that are turned into features at once
@@ -281,5 +283,6 @@ def score(docs: DataFrame, model: Crf | None, text_col: str = "text", into: str
         for batch in batches:
             scores = probabilities(model, [text or "" for text in batch.column(text_at).to_pylist()])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, into])
+        give_back()
 
     return docs.mapInArrow(run, fields)
