@@ -71,7 +71,8 @@ def revealing_terms(
     lines, so copies of one line are no evidence. Only terms that meet some entity that often
     are counted over the corpus.
     """
-    lines = docs.select(F.explode(F.split(F.coalesce(text_col, F.lit("")), "\n")).alias("line"))
+    # Outer forms: for the plain ones the optimizer adds a filter on the array, below which it is computed once more.
+    lines = docs.select(F.explode_outer(F.split(F.coalesce(text_col, F.lit("")), "\n")).alias("line"))
     likely = F.rlike("line", F.lit(r"@|\+[0-9]|[0-9][.\x20-]?[0-9]"))
     protected = (
         lines.filter(likely)
@@ -99,7 +100,7 @@ def revealing_terms(
     candidates = pairs.select("term").distinct()
     of_entity = protected.groupBy("entity").agg(F.sum("n").alias("n_entity"))
     n_lines = lines.count()
-    words = lines.select(F.explode(_words(F.col("line"))).alias("term"))
+    words = lines.select(F.explode_outer(_words(F.col("line"))).alias("term"))
     of_term = join_measured(words, candidates, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     share = F.col("n_both") / F.col("n_term")
     return (
@@ -126,7 +127,7 @@ def with_spans(docs: DataFrame, text_col: str = "text", **thresholds: float) ->
     if terms.isEmpty():
         return docs.withColumn("pii_spans", base)
     blob = F.unhex(F.sha2(text, 256))
-    words = docs.select(blob.alias("pii_blob"), F.explode(_words(text)).alias("term"))
+    words = docs.select(blob.alias("pii_blob"), F.explode_outer(_words(text)).alias("term"))
     hits = (
         join_measured(words, terms, "term", "left_semi")
         .groupBy("pii_blob")
