@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from notewright.llm.graph import components
-from notewright.llm.shingles import WordHashes, mixed, shingle_set, texts_of
+from notewright.llm.shingles import WordHashes, give_back, mixed, shingle_set, texts_of
 from notewright.operators.sizing import join_measured
 from notewright.session import materialised, stored
 
@@ -155,6 +155,8 @@ def _facts(docs: DataFrame, shingle: int) -> DataFrame:
                 ],
                 ["doc_id", "mark", "n", "key", "token", "seen"],
             )
+        cache.clear()
+        give_back()
 
     marked = docs.select("doc_id", _mark().alias("mark"), "text")
     return marked.mapInArrow(run, "doc_id long, mark long, n long, key long, token long, seen long")
@@ -186,6 +188,8 @@ def _postings(docs: DataFrame, frequent: Frequent, shingle: int, percent: int) -
                 ],
                 ["token", "key", "n", "at"],
             )
+        cache.clear()
+        give_back()
 
     return docs.select("text").mapInArrow(run, "token long, key long, n int, at int")
 
@@ -211,6 +215,8 @@ def _verified(
                 keep.append(linked(held[1], other, percent))
             chosen = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(chosen), batch.column(1).filter(chosen)], ["a", "b"])
+        cache.clear()
+        give_back()
 
     ends = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
     one = facts.filter("key is not null").groupBy("key").agg(F.min("mark").alias("mark"))
@@ -279,12 +285,18 @@ def connect(
     apart = labelled.withColumn("least", F.expr("min(component) over (partition by token)")).withColumn(
         "most", F.expr("max(component) over (partition by token)")
     )
-    apart = stored(apart.filter("least < most").select("token", "key", "n", "at", "component"), "prefix-apart")
+    # Where two rows share one of the few tokens before this one, the pair is already taken there.
+    earlier = "collect_list(token) over (partition by key order by at, token rows between 8 preceding and 1 preceding)"
+    apart = apart.filter("least < most").select("token", "key", "n", "at", "component", F.expr(earlier).alias("earlier"))
+    apart = stored(apart, "prefix-apart")
     if apart.isEmpty():
         return first
     x, y = apart.alias("x"), apart.alias("y")
     ordered = "(x.n < y.n or x.n = y.n and x.key < y.key)"
-    on = f"x.token = y.token and x.component <> y.component and {ordered} and {_possible('x', 'y', percent)}"
+    on = (
+        f"x.token = y.token and x.component <> y.component and {ordered} and {_possible('x', 'y', percent)} "
+        "and not arrays_overlap(x.earlier, y.earlier)"
+    )
     rest = x.join(y, F.expr(on)).select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct()
     rest = materialised(rest.join(stars, ["a", "b"], "left_anti"))
     return first.unionByName(_verified(rest, docs, facts, frequent, shingle, percent))
