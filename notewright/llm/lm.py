@@ -1,27 +1,30 @@
 """Hierarchical Pitman-Yor language model with Chinese-restaurant seating sampled by Gibbs.
 
-A token is a word or the end of its text; its context is the class of the word before it. Two
-levels of contexts share parents: 512 restaurants for the last three characters of the word
-before (16 hashed classes for each of 32 classes of its last character), whose parents are 32
-restaurants for the last character, whose parent is the restaurant of no context. Its base
-gives half to any unknown word and the rest evenly to the known ones. The number of restaurants is fixed,
-so what a word has in all of them is one bounded row, and what its seating needs of other
-words are just the restaurants' totals.
-
-Seating is therefore sampled word by word, in parallel, given the totals; the totals are then
-added up over all words and the next round runs with them. Words are known by 64-bit hashes.
+A token is a word or the end of its text; its context is the word before it. Every preceding
+word has a restaurant of its own, so their number grows with the corpus. Their parents are 512
+restaurants for the last three characters of the word before (16 hashed classes for each of 32
+classes of its last character), whose parents are 32 restaurants for the last character, whose
+parent is the restaurant of no context. Its base gives half to any unknown word and the rest
+evenly to the known ones.
+
+The number of class restaurants is fixed, so what a word has in all of them is one bounded row,
+and what its seating needs of other words are just the restaurants' totals. Seating there is
+sampled word by word, in parallel, given the totals; the totals are then added up over all words
+and the next round runs with them. Preceding words stay rows: customers and tables of each
+(preceding word, word) and totals of each preceding word are tables that are joined in. A pair
+seen once has one table, so only pairs seen more often are drawn. Words are known by 64-bit hashes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from notewright.llm.shingles import texts_of
@@ -33,7 +36,7 @@ UNKNOWN_SHARE = 0.5
 STRENGTH = 1.0
 EXACT = 64  # customers up to which a dish's number of tables is drawn from its exact conditional
 BURN_IN, SAMPLES = 2, 4
-HOT_WORDS = 8192  # most frequent words; their probabilities (a table of fixed size) go to every task
+HOT_WORDS = 8192  # words after the word before them that are most frequent; their probabilities go to every task
 _BEGIN, _END = b" begin", b" end"  # no words, as they hold a space
 _MOST_WORDS = 200_000
 
@@ -68,7 +71,7 @@ class Tokens(dict):
         self.clear()
         self.hashes: list[int] = []
         self.contexts: list[int] = []
-        self.end, self.begin = self[_END], context_of(_BEGIN)
+        self.end, self.begin = self[_END], self[_BEGIN]
 
     def __missing__(self, word: bytes) -> int:
         number = self[word] = len(self.hashes)
@@ -76,8 +79,8 @@ class Tokens(dict):
         self.contexts.append(context_of(word))
         return number
 
-    def of(self, texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Numbers and contexts of the tokens of all texts, hashes by number, and tokens of each text."""
+    def of(self, texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers of the tokens of all texts and of the words before them, hashes and contexts by number, and tokens of each text."""
         if len(self) > _MOST_WORDS:
             self._clear()
         parts, sizes = [], []
@@ -87,16 +90,16 @@ class Tokens(dict):
             parts.append(np.array([self.end], np.int32))
             sizes.append(len(found) + 1)
         numbers, sizes = np.concatenate(parts), np.array(sizes)
-        contexts = np.empty(len(numbers), np.int16)
-        contexts[1:] = np.array(self.contexts, np.int16)[numbers[:-1]]
-        contexts[np.cumsum(sizes) - sizes] = self.begin
-        return numbers, contexts, np.array(self.hashes, np.uint64), sizes
+        before = np.empty(len(numbers), np.int32)
+        before[1:] = numbers[:-1]
+        before[np.cumsum(sizes) - sizes] = self.begin
+        return numbers, before, np.array(self.hashes, np.uint64), np.array(self.contexts, np.int16), sizes
 
 
-def context_counts(docs: DataFrame) -> DataFrame:
-    """(w, seats): of every word of ``docs`` (one text column), in which contexts it occurs and how often.
+def pair_counts(docs: DataFrame) -> DataFrame:
+    """(w, v, x, c): how often word w of ``docs`` (one text column) follows word v, and the context that v sets.
 
-    Each task adds up its own batches first, so hot words bring a few rows per task.
+    Each task adds up its own batches first, so hot pairs bring a few rows per task.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,27 +107,34 @@ def context_counts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            numbers, contexts, hashes, _ = tokens.of(texts_of(batch.column(0)))
-            pairs = numbers.astype(np.int64) * CONTEXTS + contexts
-            del numbers, contexts
+            numbers, before, hashes, contexts, _ = tokens.of(texts_of(batch.column(0)))
+            pairs = numbers.astype(np.int64) * len(hashes) + before
+            del numbers, before
             pairs.sort()
             first = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]]))
             counts, pairs = np.diff(np.append(first, len(pairs))), pairs[first]
+            word, before = pairs // len(hashes), pairs % len(hashes)
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(_signed(hashes[pairs // CONTEXTS])),
-                    pa.array((pairs % CONTEXTS).astype(np.int16)),
-                    pa.array(counts),
-                ],
-                ["w", "x", "c"],
+                [pa.array(_signed(hashes[word])), pa.array(_signed(hashes[before])), pa.array(contexts[before]), pa.array(counts)],
+                ["w", "v", "x", "c"],
             )
 
+    return docs.mapInArrow(run, "w long, v long, x short, c long").groupBy("w", "v", "x").agg(F.sum("c").alias("c"))
+
+
+def class_counts(pairs: DataFrame, drawn: DataFrame | None = None) -> DataFrame:
+    """(w, n, seats): how often every word occurs, and its customers in each context: the tables of the pairs below.
+
+    A pair has one table, and those beyond it that ``drawn`` tells.
+    """
+    rows = pairs.select("w", "x", "c", F.lit(1).cast("long").alias("t"))
+    if drawn is not None:
+        rows = rows.unionByName(drawn.filter("t > 1").select("w", "x", F.lit(0).cast("long").alias("c"), (F.col("t") - 1).alias("t")))
     return (
-        docs.mapInArrow(run, "w long, x short, c long")
-        .groupBy("w", "x")
-        .agg(F.sum("c").alias("c"))
+        rows.groupBy("w", "x")
+        .agg(F.sum("c").alias("n"), F.sum("t").alias("c"))
         .groupBy("w")
-        .agg(F.collect_list(F.struct("x", "c")).alias("seats"))
+        .agg(F.sum("n").alias("n"), F.collect_list(F.struct("x", "c")).alias("seats"))
     )
 
 
@@ -261,7 +271,7 @@ def _totals(v: np.ndarray, discounts: tuple[float, float, float] | None = None)
 def _seatings(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, Seating]]:
     for batch in batches:
         if batch.num_rows:
-            seats = batch.column(1)
+            seats = batch.column(2)
             flat = seats.flatten()
             word = np.repeat(np.arange(batch.num_rows), np.diff(seats.offsets.to_numpy()))
             context = flat.field(0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -299,74 +309,149 @@ def _samples(words: np.ndarray, seating: Seating, totals: Totals) -> Iterator[Se
 
 @dataclass
 class Model:
-    """Totals, and the table of words: w, c, and log10 of the averaged probabilities, in no context, classes and contexts."""
+    """Totals; the table of words: w, c, and log10 of the averaged probabilities, in no context, classes and contexts;
+
+    the table of pairs: w, v, c, n (count of w) and log10 of the averaged probability of w after v; and the table of
+    preceding words: v, customers, tables.
+    """
 
     totals: Totals
     words: DataFrame
+    pairs: DataFrame
+    before: DataFrame
+    discount: float
+
+    def backoff(self) -> Column:
+        """Probability of a new table after a preceding word, from its customers and tables."""
+        return _backoff(self.discount)
 
 
 _WORDS = "w long, c long, lp0 double, x1 array<short>, lp1 array<double>, x2 array<short>, lp2 array<double>"
 
 
+def _backoff(discount: float) -> Column:
+    return (STRENGTH + discount * F.col("tables")) / (STRENGTH + F.col("customers"))
+
+
+def _words(counts: DataFrame, totals: Totals) -> DataFrame:
+    """Log probabilities of all words, averaged over the samples of a round."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for words, seating in _seatings([batch]):
+                mean = None
+                for sample in _samples(words, seating, totals):
+                    p = sample.predictive(totals)
+                    mean = p if mean is None else tuple(a + b for a, b in zip(mean, p, strict=True))
+                p0, p1, p2 = (np.log10(p / SAMPLES) for p in mean)
+                bounds = lambda owner, n=seating.words: pa.array(np.searchsorted(owner, np.arange(n + 1)), pa.int32())
+                listed = lambda owner, values: pa.ListArray.from_arrays(bounds(owner), pa.array(values))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(words),
+                        batch.column(1),
+                        pa.array(p0),
+                        listed(seating.branch_word, seating.branch_class.astype(np.int16)),
+                        listed(seating.branch_word, p1),
+                        listed(seating.word, seating.context.astype(np.int16)),
+                        listed(seating.word, p2),
+                    ],
+                    ["w", "c", "lp0", "x1", "lp1", "x2", "lp2"],
+                )
+
+    return counts.mapInArrow(run, _WORDS)
+
+
+def _by_context(words: DataFrame) -> DataFrame:
+    """(w, x, n, p): count of each word and its probability in each context that it has."""
+    each = words.select("w", F.col("c").alias("n"), F.explode(F.arrays_zip("x2", "lp2")).alias("e"))
+    return each.select("w", F.col("e.x2").alias("x"), "n", F.pow(F.lit(10.0), "e.lp2").alias("p"))
+
+
+def draw_pairs(pairs: DataFrame, before: DataFrame, words: DataFrame, discount: float) -> DataFrame:
+    """(w, v, x, c, t, mean): tables drawn for the pairs seen more than once, and their mean over the samples.
+
+    Given the totals and the parents' probabilities, pairs do not depend on each other, so each
+    draw is one from the exact conditional and needs no burn-in.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        logs = stirling_logs(discount)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            w, v, customers, ratio = (batch.column(k).to_numpy() for k in (0, 1, 3, 4))
+            rng = np.random.default_rng([int(w.view(np.uint64)[0]), int(v.view(np.uint64)[0])])
+            drawn = [draw_tables(customers, ratio, discount, logs, rng) for _ in range(SAMPLES)]
+            columns = [*batch.columns[:4], pa.array(drawn[-1]), pa.array(np.mean(drawn, axis=0))]
+            yield pa.RecordBatch.from_arrays(columns, ["w", "v", "x", "c", "t", "mean"])
+
+    ratio = ((STRENGTH + discount * F.col("tables")) * F.col("p")).alias("ratio")
+    many = pairs.filter("c > 1").join(before.hint("merge"), "v").join(_by_context(words).hint("merge"), ["w", "x"])
+    return many.select("w", "v", "x", "c", ratio).mapInArrow(run, "w long, v long, x short, c long, t long, mean double")
+
+
 def fit(texts: DataFrame, rounds: int = 1) -> Model:
-    """A model of one column of texts (null: empty). ``rounds`` of seating settle the totals before the one that is averaged."""
-    counts = stored(context_counts(texts), "lm-counts")
+    """A model of one column of texts (null: empty). ``rounds`` of seating settle the totals before the one that is averaged.
+
+    The classes are seated over one table for each pair first; pairs are drawn under their
+    probabilities, and the classes are then seated again over the tables drawn.
+    """
+    pairs = stored(pair_counts(texts), "lm-pairs")
+    tokens, once, twice = pairs.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first()
+    discount = float(np.clip(once / max(once + 2 * twice, 1), 0.05, 0.95))
+    before = stored(pairs.groupBy("v").agg(F.sum("c").alias("customers"), F.count(F.lit(1)).cast("double").alias("tables")), "lm-before")
+    counts = stored(class_counts(pairs), "lm-counts")
+    drawn = stored(draw_pairs(pairs, before, _words(counts, _add_up(counts, None)), discount), "lm-drawn")
+
+    more = drawn.groupBy("v").agg(F.sum(F.col("mean") - 1).alias("more"))
+    before = stored(
+        before.join(more, "v", "left").select("v", "customers", (F.col("tables") + F.coalesce("more", F.lit(0.0))).alias("tables")),
+        "lm-before",
+    )
+    counts = stored(class_counts(pairs, drawn), "lm-counts")
     totals = _add_up(counts, None)
     for _ in range(rounds):
         totals = _add_up(counts, totals)
+    words = stored(_words(counts, totals), "lm-words")
+
+    seated = pairs.filter("c = 1").select("w", "v", "x", "c", F.lit(1.0).alias("mean"))
+    seated = seated.unionByName(drawn.select("w", "v", "x", "c", "mean"))
+    own = (F.col("c") - discount * F.col("mean")) / (STRENGTH + F.col("customers"))
+    seen = (
+        seated.join(before.hint("merge"), "v")
+        .select("w", "v", "x", "c", own.alias("own"), _backoff(discount).alias("back"))
+        .join(_by_context(words).hint("merge"), ["w", "x"])
+        .select("w", "v", "c", "n", F.log10(F.col("own") + F.col("back") * F.col("p")).alias("lp"))
+    )
+    return Model(replace(totals, tokens=float(tokens)), words, stored(seen, "lm-seen"), before, discount)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for words, seating in _seatings(batches):
-            mean = None
-            for sample in _samples(words, seating, totals):
-                p = sample.predictive(totals)
-                mean = p if mean is None else tuple(a + b for a, b in zip(mean, p, strict=True))
-            p0, p1, p2 = (np.log10(p / SAMPLES) for p in mean)
-            bounds = lambda owner: pa.array(np.searchsorted(owner, np.arange(seating.words + 1)), pa.int32())
-            listed = lambda owner, values: pa.ListArray.from_arrays(bounds(owner), pa.array(values))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(words),
-                    pa.array(np.bincount(seating.word, seating.customers, seating.words).astype(np.int64)),
-                    pa.array(p0),
-                    listed(seating.branch_word, seating.branch_class.astype(np.int16)),
-                    listed(seating.branch_word, p1),
-                    listed(seating.word, seating.context.astype(np.int16)),
-                    listed(seating.word, p2),
-                ],
-                ["w", "c", "lp0", "x1", "lp1", "x2", "lp2"],
-            )
 
-    return Model(totals, stored(counts.mapInArrow(run, _WORDS), "lm-words"))
+def _pair_keys(words: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """A 64-bit key of each word and the word before it."""
+    return words.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + (before.view(np.uint64) ^ np.uint64(0xD6E8FEB86659FD93))
 
 
 def _hot(model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes (ascending), counts and log10 probabilities in every context of the most frequent words."""
-    most = model.words.select("w", "c").orderBy(F.desc("c"), "w").limit(HOT_WORDS)  # the long rows are fetched for these only
-    rows = model.words.join(F.broadcast(most.select("w")), "w", "left_semi").toArrow().sort_by("w").combine_chunks()
-    b1, b2 = np.log10(model.totals.backoff(1)), np.log10(model.totals.backoff(2))
-    alone = rows.column("lp0").to_numpy()
-    table = np.empty((rows.num_rows, CONTEXTS), np.float32)
-    for k in range(rows.num_rows):
-        x1, lp1, x2, lp2 = (rows.column(name)[k].values.to_numpy() for name in ("x1", "lp1", "x2", "lp2"))
-        classes = b1 + alone[k]
-        classes[x1] = lp1
-        table[k] = b2 + np.repeat(classes, PER_CLASS)
-        table[k, x2] = lp2
-    return rows.column("w").to_numpy(), rows.column("c").to_numpy(), table
+    """Keys (ascending), counts of the words and log10 probabilities of the most frequent pairs."""
+    rows = model.pairs.filter("c > 1").orderBy(F.desc("c"), "w", "v").limit(HOT_WORDS).toArrow()
+    keys = _pair_keys(rows.column("w").to_numpy(), rows.column("v").to_numpy())
+    order = np.argsort(keys)
+    return keys[order], rows.column("n").to_numpy()[order], rows.column("lp").to_numpy()[order]
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens, n_known, base_score, score) of every row; the last is its text's log10 probability.
 
-    Tokens of the most frequent words are scored where they are read, from a table of fixed
-    size. The others move once, to their word's row of the model, and their probabilities are added up
+    Tokens of the most frequent pairs are scored where they are read, from a table of fixed
+    size. The others move to their pair's row of the model; those whose pair was never seen go on to
+    the row of the word before and to their word's row. Probabilities are added up
     per row of ``docs``; a row that tells the id and what was scored in place goes along. Null and empty
     texts are one end token; repeated rows are scored each for itself; an empty table gives no
     rows. Without training texts every token has the base's probability of an unknown word.
     """
     totals = model.totals
-    hot_words, hot_counts, hot_table = _hot(model)
+    hot_keys, hot_counts, hot_scores = _hot(model)
     spread = float(totals.tokens + totals.types + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -376,16 +461,16 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         for batch in batches:
             if not batch.num_rows:
                 continue
-            numbers, contexts, hashes, sizes = tokens.of(texts_of(batch.column(1)))
+            numbers, before, hashes, contexts, sizes = tokens.of(texts_of(batch.column(1)))
             words = _signed(hashes)
-            at = np.searchsorted(hot_words, words)
-            at[at == len(hot_words)] = 0
-            is_hot = hot_words[at] == words if len(hot_words) else np.zeros(len(words), bool)
-            hot = is_hot[numbers]
+            keys = _pair_keys(hashes[numbers], hashes[before])
+            at = np.searchsorted(hot_keys, keys)
+            at[at == len(hot_keys)] = 0
+            hot = hot_keys[at] == keys if len(hot_keys) else np.zeros(len(keys), bool)
             owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
             by_row = lambda values: np.bincount(owner[hot], values, len(sizes)).astype(np.float64)
-            places = at[numbers[hot]]
-            scored = by_row(hot_table[places, contexts[hot]].astype(np.float64))
+            places = at[hot]
+            scored = by_row(hot_scores[places])
             based = by_row(np.log10((hot_counts[places] + 1) / spread))
             known = by_row(np.ones(len(places)))
             rows = row + np.arange(len(sizes))
@@ -395,7 +480,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(words[numbers[cold]]),
-                    pa.array(contexts[cold].astype(np.int16)),
+                    pa.array(words[before[cold]]),
+                    pa.array(contexts[before[cold]]),
                     pa.array(rows[owner[cold]]),
                     nothing,
                 ],
@@ -408,15 +494,15 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             # Keys no word has, spread evenly, so that these rows meet no word and crowd no task.
             spare = _signed((rows.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(spare), pa.array(np.full(len(sizes), -1, np.int16)), pa.array(rows), facts], names
+                [pa.array(spare), pa.array(spare), pa.array(np.full(len(sizes), -1, np.int16)), pa.array(rows), facts], names
             )
 
-    names = ["w", "x", "row", "info"]
+    names = ["w", "v", "x", "row", "info"]
     info = pa.struct(
         [("doc_id", pa.int64()), ("n", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())]
     )
     moved = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(
-        run, "w long, x short, row long, info struct<doc_id:bigint,n:bigint,known:bigint,base:double,score:double>"
+        run, "w long, v long, x short, row long, info struct<doc_id:bigint,n:bigint,known:bigint,base:double,score:double>"
     )
     b1 = F.lit(np.log10(totals.backoff(1)).tolist())
     b2 = F.lit(np.log10(totals.backoff(2)).tolist())
@@ -425,14 +511,28 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     alone = F.coalesce("lp0", F.lit(float(np.log10(totals.unknown()))))
     in_class = F.coalesce(listed("x1", "lp1", kind), F.get(b1, kind.cast("int")) + alone)
     in_context = F.coalesce(listed("x2", "lp2", F.col("x")), F.get(b2, F.col("x").cast("int")) + in_class)
+    # Both parts read the same columns, so that what moved is moved once.
+    met = moved.join(model.pairs.select("w", "v", "n", "lp").hint("merge"), ["w", "v"], "left")
+    found = F.coalesce(F.col("lp") + F.col("n"), F.when(F.col("x") < 0, 0.0))
+    based = lambda n: F.log10((n + 1) / F.lit(spread))
     token = F.col("x") >= 0
-    merged = moved.join(model.words.hint("merge"), "w", "left").select(
+    seen = met.filter(found.isNotNull()).select(
+        "row",
+        "info",
+        F.when(token, F.col("lp")).otherwise(F.col("info.score")).alias("score"),
+        F.when(token, based(F.col("n"))).otherwise(F.col("info.base")).alias("base"),
+        F.when(token, F.lit(1).cast("long")).otherwise(F.col("info.known")).alias("known"),
+    )
+    unseen = met.filter(found.isNull()).select("w", "v", "x", "row", "info")
+    unseen = unseen.join(model.before.select("v", F.log10(model.backoff()).alias("back")).hint("merge"), "v", "left")
+    unseen = unseen.join(model.words.hint("merge"), "w", "left").select(
         "row",
         "info",
-        F.when(token, in_context).otherwise(F.col("info.score")).alias("score"),
-        F.when(token, F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(spread))).otherwise(F.col("info.base")).alias("base"),
-        F.when(token, F.col("c").isNotNull().cast("long")).otherwise(F.col("info.known")).alias("known"),
+        (F.coalesce("back", F.lit(0.0)) + in_context).alias("score"),
+        based(F.coalesce("c", F.lit(0))).alias("base"),
+        F.col("c").isNotNull().cast("long").alias("known"),
     )
+    merged = seen.unionByName(unseen)
     return (
         merged.groupBy("row")
         .agg(

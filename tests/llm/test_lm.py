@@ -99,3 +99,38 @@ def test_no_training_texts(spark, docs_of):
 def test_contexts():
     assert words("Ab\x0bC") == [b"ab", b"c"]
     assert all(0 <= lm.context_of(w) < lm.CONTEXTS for w in (b"a", b"z.", "é".encode(), b"9", b"!", lm._BEGIN, lm._END))
+
+
+def test_every_preceding_word_has_a_restaurant(spark, docs_of):
+    """Words of one class, told apart only by what follows them: the classes alone give each follower an eighth."""
+    heads = [f"{c}xing" for c in "abcdefgh"]
+    assert len({lm.context_of(h.encode()) for h in heads}) == 1
+    texts = [f"{h} then{h[0]}" for h in heads for _ in range(12)]
+    model = lm.fit(docs_of(texts).select("text"))
+    assert model.before.count() == len(heads) * 2 + 1  # and the begin of a text
+    right, wrong, strange = (
+        r.score for r in sorted(lm.score(docs_of(["axing thena", "axing thenb", "zxing thena"]), model).collect(), key=lambda r: r.doc_id)
+    )
+    assert right - wrong > 1.0
+    assert math.isfinite(strange) and strange < right
+
+
+def test_probabilities_after_a_word_add_up(spark, docs_of):
+    texts = ["a b", "a b", "a c", "a b d", "x b", "x c a"] * 5
+    model = lm.fit(docs_of(texts).select("text"))
+    vocabulary = ["a", "b", "c", "d", "x"]
+    rows = lm.score(docs_of(["a", *[f"a {w}" for w in vocabulary]]), model).collect()
+    before = {r.v: (r.customers, r.tables) for r in model.before.collect()}
+    assert len(rows) == 6 and all(1 <= t <= c for c, t in before.values())
+    words = {r.w: r for r in model.words.collect()}
+    v = lm._signed(np.array([lm.xxhash.xxh3_64_intdigest(b"a")], np.uint64))[0]
+    x, (customers, tables) = lm.context_of(b"a"), before[v]
+    back = (lm.STRENGTH + model.discount * tables) / (lm.STRENGTH + customers)
+    b1, b2 = model.totals.backoff(1)[x // lm.PER_CLASS], model.totals.backoff(2)[x]
+    seen = {r.w: 10**r.lp for r in model.pairs.collect() if r.v == v}
+    total = sum(seen.values()) + back * b2 * b1 * model.totals.unknown()
+    for w, r in words.items():
+        if w not in seen:
+            in_class = 10 ** r.lp1[r.x1.index(x // lm.PER_CLASS)] if x // lm.PER_CLASS in r.x1 else b1 * 10**r.lp0
+            total += back * (10 ** r.lp2[r.x2.index(x)] if x in r.x2 else b2 * in_class)
+    assert abs(total - 1) < 0.02
