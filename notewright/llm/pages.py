@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
@@ -18,6 +19,8 @@ SAMPLE_CHARS = 20_000  # longest page used for fitting
 
 # Element names by role, and attribute tokens that name content or what surrounds it.
 _SKIPPED = set("script style head title noscript template svg iframe object canvas select textarea button".split())
+_IN_HEAD = set("base basefont bgsound link meta title style script noscript noframes template head".split())
+_NOT_NESTED = {"button", "select"}  # one that starts ends the one that is open
 _VOID = set("area base br col embed hr img input link meta source track wbr".split())
 _INLINE = set(
     "a abbr b bdi bdo big cite code del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split()
@@ -36,6 +39,7 @@ _AROUND = (
 _MAIN = "article body content entry main page post story text".split()
 _HEADINGS = {f"h{k}" for k in range(1, 7)}
 _TOKEN = re.compile(r"[a-z]+")
+_SKIPPED_END = re.compile(rf"</({'|'.join(sorted(_SKIPPED))})(?=[\s/>])", re.I)
 
 
 @dataclass
@@ -51,11 +55,17 @@ class Node:
 
 
 class _Builder(HTMLParser):
-    def __init__(self):
+    """Builds the tree. A skipped element ends with its end tag, or without one where it cannot go on: the head at what cannot
+
+    stand in it, others where an element around them closes, and those that never get an end tag at the next block.
+    """
+
+    def __init__(self, ends: Counter[str]):
         super().__init__(convert_charrefs=True)
+        self.ends = ends  # end tags of skipped elements still to come
         self.root = Node("#root")
         self.open: list[tuple[str, Node]] = [("#root", self.root)]  # names as opened, and where text goes
-        self.skipping: list[str] = []
+        self.skipping: list[str] = []  # the skipped element, and what is open in it
 
     def _close(self, names: set[str], until: set[str]) -> None:
         for at in range(len(self.open) - 1, 0, -1):
@@ -65,9 +75,20 @@ class _Builder(HTMLParser):
             if self.open[at][0] in until:
                 return
 
+    def _ends_skipped(self, tag: str) -> bool:
+        """Whether the start of an element ends the skipped one that is open."""
+        first = self.skipping[0]
+        if first == "head":
+            return tag == "body" or (tag not in _IN_HEAD and not any(name in _SKIPPED for name in self.skipping[1:]))
+        if tag == first and first in _NOT_NESTED:
+            return True
+        return self.ends[first] <= 0 and (tag in _CLOSES_P or tag == "body")
+
     def handle_starttag(self, tag, attrs):
+        if self.skipping and self._ends_skipped(tag):
+            self.skipping.clear()
         if self.skipping:
-            if tag == self.skipping[-1]:
+            if tag not in _VOID and (tag not in _SKIPPED or self.ends[tag] > 0):
                 self.skipping.append(tag)
             return
         if tag in _VOID:
@@ -92,14 +113,23 @@ class _Builder(HTMLParser):
     def handle_startendtag(self, tag, attrs):
         if tag not in _SKIPPED:
             self.handle_starttag(tag, attrs)
-            if tag not in _VOID and not self.skipping:
+            if tag not in _VOID:
                 self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
+        if tag in _SKIPPED:
+            self.ends[tag] -= 1
         if self.skipping:
-            if tag == self.skipping[-1]:
-                self.skipping.pop()
-        elif tag == "p" and not any(name == "p" for name, _ in self.open):
+            at = len(self.skipping) - 1
+            while at >= 0 and self.skipping[at] != tag:
+                at -= 1
+            if at >= 0:
+                del self.skipping[at:]
+                return
+            if tag in _INLINE or not any(name == tag for name, _ in self.open):
+                return
+            self.skipping.clear()
+        if tag == "p" and not any(name == "p" for name, _ in self.open):
             self.open[-1][1].parts.append(Node("p"))
         else:
             self._close({tag}, set() if tag not in _INLINE else {"p", "div", "td", "li", "article", "section", "body"})
@@ -110,7 +140,7 @@ class _Builder(HTMLParser):
 
 
 def parse(html: str) -> Node:
-    builder = _Builder()
+    builder = _Builder(Counter(name.lower() for name in _SKIPPED_END.findall(html)))
     builder.feed(html)
     builder.close()
     return builder.root

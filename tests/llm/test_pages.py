@@ -80,3 +80,22 @@ def test_odd_pages(spark, sf_of):
     assert got[9].text.count("\n") == 4999
     assert QUERIES["op5_html"](spark, sf_of(pages=rows.limit(0))).count() == 0
     assert pages.main_texts(["a<br>b&nbsp;c &lt;&#233;"], None) == ["a b c <é"]
+
+
+def test_head_without_an_end_tag():
+    for source in (
+        "<html><head><title>x</title><body><article><p>text</article></html>",
+        "<html><head><title>x</title><meta charset=a><article><p>text</article></html>",
+        "<head><noscript><img src=a></noscript><style>p {}</style><title>x<body><p>text",
+        "<head><title>x</title><noscript><div>y</div></noscript></head><body><p>text</body>",
+    ):
+        assert pages.main_texts([source], None) == ["text"], source
+
+
+@pytest.mark.parametrize("name", ["button", "select", "noscript", "iframe", "object", "svg", "canvas", "template"])
+def test_skipped_element_without_an_end_tag(name):
+    assert pages.main_texts([f"<body><div><{name}>a<b>b</b></div><p>text</p></body>"], None) == ["text"]
+    assert pages.main_texts([f"<body><div><{name}>a</div><p>text</p><{name}>b</{name}><p>more</p></body>"], None) == ["text\nmore"]
+    assert pages.main_texts([f"<body><{name}>a<p>text</p><p>more"], None) == ["text\nmore"]
+    assert pages.main_texts([f"<body><div><{name}>a<div>b</div><p>c</div></{name}>"], None) == [""]
+    assert pages.main_texts([f"<div><{name}>a<div>b</div><i/>c</{name}>text</div>"], None) == ["text"]
