@@ -11,6 +11,7 @@ from notewright.session import materialised
 
 KINDS = ["email", "ip", "card", "phone"]
 TERM = "term"
+LINE_PRIOR, DOCUMENT_PRIOR = 0.5, 2.0  # how many lines or documents without the entity a term is taken to have besides those counted
 
 # The patterns. Look-behinds and possessive repeats change no match; they keep the
 # work linear on long runs of matching characters and the stack flat.
@@ -59,56 +60,98 @@ def _words(text: Column) -> Column:
     return F.filter(F.array_distinct(F.split(F.lower(text), r"[^\p{L}]+")), lambda w: F.length(w) > 2)
 
 
-def revealing_terms(
-    docs: DataFrame, text_col: str = "text", min_lines: int = 3, min_share: float = 0.5, min_bits: float = 6.0
+def _likely(text: Column) -> Column:
+    return F.rlike(text, F.lit(r"@|\+[0-9]|[0-9][.\x20-]?[0-9]"))
+
+
+def _entities(found: Column) -> Column:
+    return F.array_distinct(F.transform(found, lambda x: F.concat_ws(":", x["kind"], x["hit"])))
+
+
+def _words_beside(text: Column) -> Column:
+    """Words of a text outside its direct identifiers."""
+    return _words(spans.replaced(text, base_spans(text), lambda kind: F.lit(" ")))
+
+
+def _disclosing(
+    pairs: DataFrame, of_term: DataFrame, of_entity: DataFrame, total: int, prior: float, min_share: float, min_bits: float
 ) -> DataFrame:
-    """Terms that disclose a protected entity: (term, entity, share, bits), from counts over all lines of ``docs``.
-
-    Lines are the window of co-occurrence (no identifier crosses a line break). ``share`` is
-    the part of the lines with the term that name the entity, ``bits`` how much more likely the
-    entity is in them than in any line (pointwise mutual information). A term is returned when
-    both reach their thresholds and it meets the entity on at least ``min_lines`` different
-    lines, so copies of one line are no evidence. Only terms that meet some entity that often
-    are counted over the corpus.
+    """(term, entity, share, bits) of the pairs that reach both thresholds, the share when shrunk for little distinct evidence."""
+    share = F.least(F.col("n_both") / F.col("n_term"), F.lit(1.0))
+    sure = share * F.col("distinct") / (F.col("distinct") + prior)
+    return (
+        pairs.join(of_term, "term")
+        .join(of_entity, "entity")
+        .select("term", "entity", share.alias("share"), sure.alias("sure"), F.log2(share * total / F.col("n_entity")).alias("bits"))
+        .filter((F.col("sure") >= min_share) & (F.col("bits") >= min_bits))
+        .drop("sure")
+    )
+
+
+def _counted(rows: DataFrame) -> DataFrame:
+    """(entity, term, n_both, distinct) of rows (entity, term, mark, n): how often they meet, and on how many different contents."""
+    once = rows.groupBy("entity", "term", "mark").agg(F.sum("n").alias("n"))
+    return once.groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("distinct"))
+
+
+def revealing_terms(docs: DataFrame, text_col: str = "text", min_share: float = 0.5, min_bits: float = 6.0) -> DataFrame:
+    """Terms that disclose a protected entity: (term, entity, share, bits), from counts over all of ``docs``.
+
+    Terms are counted by lines, where a term meets an entity named on its own line or the line
+    above or below, and by documents. ``share`` is the part of the lines (documents) with the
+    term that meet the entity, ``bits`` how much more likely the entity is there than anywhere
+    (pointwise mutual information). Both have to reach their thresholds, the share after it is shrunk by
+    d / (d + prior), d the number of different lines (documents) on which they meet, so copies
+    are no further evidence. One line is enough for a term found nowhere else, be the entity
+    seen once; among all words of a document it takes two different ones.
     """
+    text = F.coalesce(F.col(text_col), F.lit(""))
     # Outer forms: for the plain ones the optimizer adds a filter on the array, below which it is computed once more.
-    lines = docs.select(F.explode_outer(F.split(F.coalesce(text_col, F.lit("")), "\n")).alias("line"))
-    likely = F.rlike("line", F.lit(r"@|\+[0-9]|[0-9][.\x20-]?[0-9]"))
-    protected = (
-        lines.filter(likely)
-        .groupBy("line")
+    lines = docs.select(F.split(text, "\n").alias("all")).select("all", F.posexplode("all").alias("at", "line"))
+    around = F.slice("all", F.greatest(F.col("at"), F.lit(1)), F.when(F.col("at") == 0, 2).otherwise(3))
+    protected = materialised(
+        lines.filter(_likely(F.col("line")))
+        .select("line", around.alias("around"))
+        .groupBy("line", "around")
         .agg(F.count(F.lit(1)).alias("n"))
-        .select("line", "n", base_spans(F.col("line")).alias("found"))
+        .select("around", "n", base_spans(F.col("line")).alias("found"))
         .filter(F.size("found") > 0)
-        .select(
-            "n",
-            _words(spans.replaced(F.col("line"), F.col("found"), lambda kind: F.lit(" "))).alias("words"),
-            F.explode(F.array_distinct(F.transform("found", lambda x: F.concat_ws(":", x["kind"], x["hit"])))).alias(
-                "entity"
-            ),
-        )
-    )
-    pairs = materialised(
-        protected.select("entity", "n", F.explode("words").alias("term"))
-        .groupBy("entity", "term")
-        .agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("lines"))
-        .filter(F.col("lines") >= min_lines)
-    )
-    schema = "term string, entity string, share double, bits double"
-    if pairs.isEmpty():
-        return docs.sparkSession.createDataFrame([], schema)
-    candidates = pairs.select("term").distinct()
-    of_entity = protected.groupBy("entity").agg(F.sum("n").alias("n_entity"))
-    n_lines = lines.count()
-    words = lines.select(F.explode_outer(_words(F.col("line"))).alias("term"))
-    of_term = join_measured(words, candidates, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    share = F.col("n_both") / F.col("n_term")
-    return (
-        pairs.join(of_term, "term")
-        .join(of_entity, "entity")
-        .select("term", "entity", share.alias("share"), F.log2(share * n_lines / F.col("n_entity")).alias("bits"))
-        .filter((F.col("share") >= min_share) & (F.col("bits") >= min_bits))
+        .select("around", "n", F.explode(_entities(F.col("found"))).alias("entity"))
     )
+    near = protected.select("entity", "n", F.explode("around").alias("line"))
+    near = near.select("entity", "n", F.xxhash64("line").alias("mark"), F.explode(_words_beside(F.col("line"))).alias("term"))
+    by_line = materialised(_counted(near))
+
+    # Entities of one document only cannot reach the share there, so words are counted only for the others.
+    marked = docs.filter(_likely(text)).select(F.xxhash64(text).alias("mark"), text.alias("text"))
+    named = marked.select("mark", F.explode_outer(_entities(base_spans(F.col("text")))).alias("entity")).filter("entity is not null")
+    named = materialised(named.groupBy("entity", "mark").agg(F.count(F.lit(1)).alias("n")))
+    of_entity = named.groupBy("entity").agg(F.sum("n").alias("n_entity"), F.count(F.lit(1)).alias("distinct"))
+    of_entity = materialised(of_entity.filter(F.col("distinct") / (F.col("distinct") + DOCUMENT_PRIOR) >= min_share).drop("distinct"))
+    named = materialised(join_measured(named, of_entity.select("entity"), "entity", "left_semi"))
+    texts = join_measured(marked, named.select("mark").distinct(), "mark", "left_semi").dropDuplicates(["mark"])
+    words = texts.select("mark", F.explode_outer(_words_beside(F.col("text"))).alias("term")).filter("term is not null")
+    by_document = materialised(_counted(named.join(words.hint("merge"), "mark")))
+
+    def of_term(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+        words = texts.select(F.explode_outer(_words(F.col("text"))).alias("term"))
+        return join_measured(words, pairs.select("term").distinct(), "term", "left_semi").groupBy("term").agg(
+            F.count(F.lit(1)).alias("n_term")
+        )
+
+    found = docs.sparkSession.createDataFrame([], "term string, entity string, share double, bits double")
+    if not by_line.isEmpty():
+        of_line_entity = protected.groupBy("entity").agg(F.sum("n").alias("n_entity"))
+        each = docs.select(F.explode_outer(F.split(text, "\n")).alias("text"))
+        found = found.unionByName(
+            _disclosing(by_line, of_term(by_line, each), of_line_entity, each.count(), LINE_PRIOR, min_share, min_bits)
+        )
+    if not by_document.isEmpty():
+        each = docs.select(text.alias("text"))
+        found = found.unionByName(
+            _disclosing(by_document, of_term(by_document, each), of_entity, each.count(), DOCUMENT_PRIOR, min_share, min_bits)
+        )
+    return found.groupBy("term", "entity").agg(F.max("share").alias("share"), F.max("bits").alias("bits"))
 
 
 def with_spans(docs: DataFrame, text_col: str = "text", **thresholds: float) -> DataFrame:

@@ -105,3 +105,24 @@ def test_copies_of_one_line_are_no_evidence(spark, docs_of):
 def test_empty_table(spark, docs_of):
     assert pii.sanitise(docs_of([])).count() == 0
     assert pii.sanitise(docs_of(["a@b.cd"])).columns == docs_of([]).columns
+
+
+def test_terms_beside_entities_seen_once_or_twice(spark, docs_of):
+    plain = [f"the weather of day {chr(97 + i // 26)}{chr(97 + i % 26)}x is plain" for i in range(600)]
+    docs = docs_of(
+        [
+            "the day of Quillfeather, once@isle.example",
+            "Marchbanks\nthe day: +49 30 1234 5678\nthe weather is plain",
+            "the Oberholtzer day\nplain\nplain\nwrite to two@isle.example",
+            "the plain Oberholtzer\nday\nweather\nday of two@isle.example, again",
+            *plain,
+        ]
+    )
+    found = {(r.term, r.entity) for r in pii.revealing_terms(docs).collect()}
+    assert ("quillfeather", "email:once@isle.example") in found
+    assert ("marchbanks", "phone:+49 30 1234 5678") in found
+    assert ("oberholtzer", "email:two@isle.example") in found
+    assert not {"the", "day", "plain", "weather"} & {term for term, _ in found}
+    clean = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
+    assert clean[0] == "the day of [TERM], [EMAIL]" and clean[1].startswith("[TERM]\nthe day: [PHONE]")
+    assert clean[2].startswith("the [TERM] day") and clean[10] == plain[6]
