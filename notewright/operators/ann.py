@@ -11,6 +11,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import Normalizer
 from pyspark.ml.functions import array_to_vector
@@ -18,7 +19,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from notewright.operators.sizing import join_measured
-from notewright.operators.vectors import nearest
+from notewright.operators.vectors import QUERY_BLOCK, _best, _top, nearest, nearest_batch
+
+RECALL = 0.9  # mean share of the exact neighbours that a search by default has to find
+MEASURED = (1, 3, 10, 30)  # numbers of neighbours for which this is measured; a search for more reads all cells
 
 
 def _unit(matrix: np.ndarray) -> np.ndarray:
@@ -38,7 +42,8 @@ def build_index(
     """Write the corpus below ``path``, partitioned by cell, and the centres next to it.
 
     Every vector is stored, and the centres are fitted on all of them. Without ``cells`` their number is the square
-    root of the number of vectors, so that a probe reads a shrinking share as the corpus grows.
+    root of the number of vectors. How many cells a search has to read for its recall is measured
+    with the vectors whose id is divisible by 50, against exact search, and stored next to the centres.
 
     Vectors are scaled to unit length first: on the unit sphere the order by Euclidean
     distance, which k-means uses, is the order by cosine.
@@ -65,6 +70,89 @@ def build_index(
     spark.createDataFrame(table, "cell int, centre array<double>").coalesce(1).write.mode("overwrite").parquet(
         f"{path}/centres"
     )
+    measured = spark.createDataFrame(_measure(spark, path, centres, id, embedding), "k int, probes int, recall double")
+    measured.coalesce(1).write.mode("overwrite").parquet(f"{path}/probes")
+
+
+def _measure(spark: SparkSession, path: str, centres: np.ndarray, id: str, embedding: str) -> list[tuple[int, int, float]]:
+    """(k, probes, recall): the fewest cells with which a search for k finds ``RECALL`` of the exact neighbours on average."""
+    stored = spark.read.parquet(f"{path}/cells").select(F.col(id).cast("bigint").alias("id"), F.col(embedding).alias("vector"), "cell")
+    queries = stored.filter("id % 50 = 0").select(F.col("id").alias("query_id"), F.col("vector").alias("query"))
+
+    @F.pandas_udf("int")
+    def place_of(vectors: pd.Series, cells: pd.Series) -> pd.Series:
+        unit = _unit(np.stack(vectors.to_numpy()).astype(np.float64))
+        distance = (centres**2).sum(axis=1) - 2 * unit @ centres.T
+        own = distance[np.arange(len(unit)), cells.to_numpy()]
+        return pd.Series((distance < own[:, None]).sum(axis=1).astype(np.int32))
+
+    exact = nearest_batch(stored, queries, max(MEASURED), query_vector="query", id="id", embedding="vector")
+    cell_of = exact.join(stored.select("id", "cell").hint("merge"), "id").join(queries.hint("merge"), "query_id")
+    rows = cell_of.select("rank", place_of("query", "cell").alias("place")).groupBy("rank", "place").count().collect()
+    measured = []
+    for k in MEASURED if rows else ():
+        found = np.zeros(len(centres))
+        for row in rows:
+            if row["rank"] <= k:
+                found[row["place"]] += row["count"]
+        shares = found.cumsum() / found.sum()
+        probes = int(np.argmax(shares >= min(RECALL, shares[-1]))) + 1
+        measured.append((k, probes, float(shares[probes - 1])))
+    return measured
+
+
+def default_probes(spark: SparkSession, path: str, k: int) -> int | None:
+    """Cells to read for ``k`` neighbours, as measured for the next larger number; None (all cells) where none was measured."""
+    rows = spark.read.parquet(f"{path}/probes").filter(F.col("k") >= k).orderBy("k").head(1)
+    return rows[0]["probes"] if rows else None
+
+
+def search_batch(
+    spark: SparkSession, path: str, queries: DataFrame, k: int = 3, probes: int | None = None,
+    query_id: str = "query_id", query_vector: str = "embedding", id: str = "vec_id", embedding: str = "embedding",
+) -> DataFrame:
+    """``(query_id, id, score, rank)`` for a table of query vectors, each scored with the rows of its nearest cells only.
+
+    Queries travel in blocks, as in ``nearest_batch``; further cells are read where the nearest hold less than ``k`` rows.
+    """
+    rows = spark.read.parquet(f"{path}/centres").orderBy("cell").collect()
+    centres = np.asarray([row["centre"] for row in rows])
+    stored = spark.read.parquet(f"{path}/cells").select(F.col(id).cast("bigint"), embedding, "cell")
+    sizes = np.zeros(len(rows), np.int64)
+    for row in stored.groupBy("cell").count().collect():
+        sizes[row["cell"]] = row["count"]
+    probes = probes or default_probes(spark, path, k) or len(rows)
+    queries = queries.select(F.col(query_id).cast("bigint").alias("query_id"), F.col(query_vector).alias("vector")).persist()
+    blocks = max(1, -(-queries.count() // QUERY_BLOCK))
+    found = spark.createDataFrame([], "query_id bigint, id bigint, score double")
+    for number in range(blocks):
+        block = queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == number).collect()
+        if not block:
+            continue
+        matrix = np.asarray([row["vector"] for row in block], dtype=np.float64)
+        order = np.argsort((centres**2).sum(axis=1) - 2 * _unit(matrix) @ centres.T, axis=1, kind="stable")
+        before = sizes[order].cumsum(axis=1) - sizes[order]
+        read = (np.arange(len(rows)) < probes) | (before < k)
+        asking = {int(c): np.flatnonzero((read & (order == c)).any(axis=1)) for c in range(len(rows))}
+        asking = {c: at for c, at in asking.items() if len(at)}
+        found = found.unionByName(
+            stored.filter(F.col("cell").isin(*asking)).mapInArrow(
+                _of_cells(k, [row["query_id"] for row in block], matrix, asking), "query_id bigint, id bigint, score double"
+            )
+        )
+    return _top(found, k)
+
+
+def _of_cells(k: int, ids: list[int], matrix: np.ndarray, asking: dict[int, np.ndarray]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cells = batch.column(2).to_numpy(zero_copy_only=False)
+            for cell in np.unique(cells):
+                at = asking[int(cell)]
+                part = batch.filter(pa.array(cells == cell)).select([0, 1])
+                yield from _best(k, [ids[i] for i in at], matrix[at])(iter([part]))
+
+    return run
 
 
 def search_index(
@@ -72,15 +160,19 @@ def search_index(
     path: str,
     query: Sequence[float],
     k: int = 3,
-    probes: int = 8,
+    probes: int | None = None,
     id: str = "vec_id",
     embedding: str = "embedding",
 ) -> DataFrame:
-    """``(id, score, rank)`` of the ``k`` best rows among the ``probes`` nearest cells, and further ones until ``k`` are found."""
+    """``(id, score, rank)`` of the ``k`` best rows among the ``probes`` nearest cells, and further ones until ``k`` are found.
+
+    Without ``probes`` as many cells are read as the index was measured to need.
+    """
     centres = spark.read.parquet(f"{path}/centres").collect()  # one row per cell, fixed when built
     unit = _unit(np.asarray(query, dtype=np.float64))
     by_distance = sorted(centres, key=lambda row: float(((np.asarray(row["centre"]) - unit) ** 2).sum()))
     stored = spark.read.parquet(f"{path}/cells")
+    probes = probes or default_probes(spark, path, k) or len(centres)
     while True:
         cells = [row["cell"] for row in by_distance[:probes]]
         rows = stored.filter(F.col("cell").isin(*cells))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notewright.operators.ann import build_index, search_index
+from notewright.operators.ann import build_index, search_batch, search_index
 from notewright.operators.encoders import hashing_encoder
 from notewright.operators.numbering import number_files
 from notewright.operators.vectors import (
@@ -160,9 +160,9 @@ def knn_all_cells(spark, sf_dir):
 def knn_approximate(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     path = scratch_path(spark, "index")
-    build_index(vectors, path, cells=16)
-    first = vectors.orderBy("vec_id").select("embedding").first()["embedding"]
-    return search_index(spark, path, first, k=3, probes=8)
+    build_index(vectors, path)
+    queries = vectors.filter("vec_id % 50 = 0").withColumnRenamed("vec_id", "query_id")
+    return search_batch(spark, path, queries, k=3)
 
 
 @query(

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from notewright import embed_folder, numbered_texts
+from notewright.operators import ann
 from notewright.operators.ann import build_index, recall, search_index
 from notewright.operators.encoders import HashingEncoder, hashing_encoder
 from notewright.operators.vectors import (
@@ -165,3 +166,19 @@ def test_folder_to_neighbours(spark, tmp_path):
     assert max(len(r["text"]) for r in shown) <= 80
     joined = join_vectors(stored.drop("embedding"), stored.select("global_index", "embedding"))
     assert joined.count() == 4
+
+
+def test_default_probes_reach_the_recall(spark, tmp_path):
+    rng = np.random.default_rng(7)
+    matrix = rng.normal(size=(2000, 16)).astype(np.float32)  # no clusters: few cells hold few of the neighbours
+    frame = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(matrix)], "vec_id bigint, embedding array<float>")
+    path = str(tmp_path / "index")
+    build_index(frame, path)
+    queries = frame.filter("vec_id % 50 = 0").withColumnRenamed("vec_id", "query_id")
+    for k in (3, 10):
+        hits = {(r["query_id"], r["id"]) for r in ann.search_batch(spark, path, queries, k).collect()}
+        exact = {(r["query_id"], r["id"]) for r in nearest_batch(frame, queries, k).collect()}
+        assert len(hits) == len(exact) == 40 * k and len(hits & exact) >= 0.9 * len(exact)
+        one = {(50, r["id"]) for r in search_index(spark, path, matrix[50].tolist(), k).collect()}
+        assert one == {pair for pair in hits if pair[0] == 50}
+    assert spark.read.parquet(f"{path}/probes").filter("recall < 0.9").count() == 0
