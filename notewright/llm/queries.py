@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notewright.llm import chat, decontaminate, lm, minhash, ngram_join, packing, pages, pii, quality, secrets, spans
+from notewright.llm import (
+    chat,
+    decontaminate,
+    importance,
+    lm,
+    minhash,
+    negatives,
+    ngram_join,
+    packing,
+    pages,
+    piecebpe,
+    pii,
+    quality,
+    secrets,
+    spans,
+)
 from notewright.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -189,3 +204,91 @@ def op1_hpylm(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@_query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+SQL["op11_hard_negatives"] = """
+with v as (
+    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+        list_transform(embedding, lambda x: floor(256 * x::double)) as e
+    from embeddings
+    where label is not null and embedding is not null
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), s as (
+    select a.vec_id as anchor_id, b.vec_id as other, a.label = b.label as same,
+        cast(list_inner_product(a.e, b.e) as bigint) as score
+    from v a join v b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id
+), p as (
+    select anchor_id, other as positive_id, score as positive_score from s where same
+    qualify row_number() over (partition by anchor_id order by score desc, other) <= 5
+), n as (
+    select anchor_id, positive_id,
+        cast(row_number() over (partition by anchor_id, positive_id order by score desc, other) as integer) as rank,
+        other as negative_id, positive_score, score as negative_score
+    from p join s using (anchor_id)
+    where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+)
+select * from n where rank <= 3
+"""
+
+
+@_query
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return importance.resample(docs, benchmark, share_percent=10, least=1, most=1, min_words=20, seed=2024)
+
+
+SQL["op12_importance"] = r"""
+with recursive crc(b, c, step) as (
+    select i, i, 0 from range(256) t(i)
+    union all
+    select b, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, step + 1 from crc where step < 8
+), byte_table as (select list(c order by b) as t from crc where step = 8
+), words as (
+    select 'd' as side, doc_id as id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as word from documents
+    union all
+    select 'b', null, unnest(regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) from benchmark
+), hashed as (
+    select word, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(range(len(hex(encode(word))) // 2),
+            lambda i: ('0x' || substr(hex(encode(word)), 2 * i::int + 1, 2))::bigint)),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 as bucket
+    from (select distinct word from words), byte_table
+), counts as (
+    select bucket, count(*) filter (side = 'd') as s, count(*) filter (side = 'b') as t from words join hashed using (word) group by bucket
+), gains as (
+    select bucket, cast(floor(1000 * ln((t + 1)::double * (sum(s) over () + 10000)
+        / ((s + 1)::double * (sum(t) over () + 10000)))) as bigint) as gain
+    from counts
+), weights as (
+    select id, count(*) as n, sum(gain)::bigint as weight from words join hashed using (word) join gains using (bucket)
+    where side = 'd' group by id
+), scored as (
+    select doc_id, coalesce(n, 0) as n_features, coalesce(weight, 0) as weight,
+        coalesce(weight, 0) + cast(floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::bigint + 0.5)
+            / 4294967296))) as bigint) as score
+    from documents left join weights on id = doc_id
+), ranked as (
+    select doc_id, row_number() over (order by score desc, doc_id) as place, count(*) over () as n from scored where n_features >= 20
+)
+select doc_id, n_features, weight, score, case when place <= 10 * n // 100 then place end as rank
+from scored left join ranked using (doc_id)
+"""
+
+
+@_query
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = piecebpe.encode(_table(spark, sf_dir, "documents"), vocabulary_path("piece_bpe_32k.model"))
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
