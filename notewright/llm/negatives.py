@@ -24,7 +24,8 @@ from notewright.session import stored
 TREE_ROWS = 8192  # rows of a tree at most (about: ranges are sampled)
 LEAF_ROWS = 128
 BLOCK_ROWS = 1024  # anchors that go through a tree together
-TREES_OF_A_SLOT = 16  # trees that meet the same copy of an anchor block
+TREES_OF_A_SLOT = 2  # trees that meet the same copy of an anchor block
+ANCHORS_OF_A_GROUP = 4096  # anchors that meet the same copy of a tree
 _TREE = "tree long, label long, ids binary, vectors binary, lows binary, highs binary, leaf_rows binary"
 _ANY = (-(2**62), 2**62)  # the window that leaves nothing out
 
@@ -207,8 +208,9 @@ def search_tree(
             opened += len(who)
             here = ids[begin:end]
             counts = here[None, :] != anchor_ids[who, None] if same_label else True
+            least = np.maximum(best.kth()[who], lows[who])  # a row at the k-th score may still win by its id
             for window in range(lows.shape[1]):
-                inside = (found >= lows[who, window, None]) & (found <= highs[who, window, None]) & counts
+                inside = (found >= least[:, window, None]) & (found <= highs[who, window, None]) & counts
                 hit = inside.any(axis=1)
                 if hit.any():
                     best.add(who[hit], window, np.where(inside[hit], found[hit], shape.lowest), here)
@@ -218,17 +220,21 @@ def search_tree(
     return opened
 
 
-def _search(blocks: DataFrame, trees: DataFrame, same_label: bool, k: int, windows: int, shape: Shape) -> DataFrame:
+def _search(
+    blocks: DataFrame, trees: DataFrame, same_label: bool, k: int, windows: int, shape: Shape, anchors: int
+) -> DataFrame:
     """(anchor, window, score, id): the best rows of each block copy; copies of an anchor are merged by the caller.
 
-    Trees are dealt to slots, a bounded number each, and a block goes to every slot. Blocks are the stated
-    query set; they meet trees by slot (and label), so a label that many rows have is no hot key.
+    Trees are dealt to slots and blocks to groups, a bounded number each; a block goes to every slot and a tree to every
+    group. Blocks are the stated query set. They meet trees by slot and group (and label), so that no key has more
+    than one slot's trees and one group's blocks, and a label that many rows have is no hot key.
     """
     parts = -(-max(1, shape.rows) // TREE_ROWS)
-    slots = -(-parts // TREES_OF_A_SLOT)
-    trees = trees.withColumn("slot", F.pmod("tree", F.lit(slots)))
-    copies = blocks.withColumn("slot", F.explode(F.expr(f"sequence(0L, {slots - 1}L)")))
-    on = copies["slot"] == trees["slot"]
+    slots, groups = -(-parts // TREES_OF_A_SLOT), -(-max(1, anchors) // ANCHORS_OF_A_GROUP)
+    trees = trees.withColumn("slot", F.pmod("tree", F.lit(slots))).withColumn("group", F.explode(F.expr(f"sequence(0L, {groups - 1}L)")))
+    copies = blocks.withColumn("group", F.pmod(F.xxhash64("anchors"), F.lit(groups)))
+    copies = copies.withColumn("slot", F.explode(F.expr(f"sequence(0L, {slots - 1}L)")))
+    on = (copies["slot"] == trees["slot"]) & (copies["group"] == trees["group"])
     on = on & (copies["anchor_label"] == trees["label"]) if same_label else on & (copies["anchor_label"] != trees["label"])
     met = copies.join(trees.hint("merge"), on).select(
         "anchors", "anchor_vectors", "window_lows", "window_highs", "ids", "vectors", "lows", "highs", "leaf_rows"
@@ -241,22 +247,22 @@ def _search(blocks: DataFrame, trees: DataFrame, same_label: bool, k: int, windo
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Joined rows come block by block, so bounds found in one tree serve the next.
-        at, best, anchors = None, None, None
+        at, best, block = None, None, None
         for batch in batches:
             for i in range(batch.num_rows):
                 row = [batch.column(c)[i].as_py() for c in range(9)]
                 if row[:2] != at or best is None:
                     if best is not None:
-                        yield rows_of(best, anchors[0])
+                        yield rows_of(best, block[0])
                     at, ids = row[:2], np.frombuffer(row[0], "i8")
                     bounds = [np.frombuffer(x, "i8").reshape(-1, windows) for x in row[2:4]]
-                    anchors = (ids, shape.matrix(row[1]), *bounds)
+                    block = (ids, shape.matrix(row[1]), *bounds)
                     best = Best(len(ids), windows, k, shape)
                 boxes = [shape.matrix(x) for x in row[5:8]]
                 ends = np.concatenate(([0], np.cumsum(np.frombuffer(row[8], "i8"))))
-                search_tree(best, anchors, (np.frombuffer(row[4], "i8"), *boxes, ends), same_label, shape)
+                search_tree(best, block, (np.frombuffer(row[4], "i8"), *boxes, ends), same_label, shape)
         if best is not None:
-            yield rows_of(best, anchors[0])
+            yield rows_of(best, block[0])
         give_back()
 
     return met.mapInArrow(run, "anchor long, window long, score long, id long")
@@ -298,7 +304,7 @@ def mine(
     trees = pack_trees(rows, shape)
     chosen = chosen.groupBy("id").agg(F.min(F.struct("label", "vector")).alias("__row"))
     chosen = stored(chosen.select("id", "__row.label", "__row.vector"), "negatives-anchors")
-    search = partial(_search, trees=trees, shape=shape)
+    search = partial(_search, trees=trees, shape=shape, anchors=chosen.count())
     open_window = {"lows": F.array(F.lit(_ANY[0]).cast("long")), "highs": F.array(F.lit(_ANY[1]).cast("long"))}
     found = search(_blocks(chosen.withColumns(open_window), shape, 1), same_label=True, k=positives, windows=1)
     pairs = _best(found, ["anchor"], positives).select(

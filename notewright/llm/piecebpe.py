@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from notewright.llm.shingles import give_back, texts_of
+from notewright.llm.shingles import give_back, of_worker, texts_of
 
 SPACE = "▁"  # fixed value: how the library writes a blank
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
@@ -74,14 +74,15 @@ class Encoder:
         self._tied = {a for a, b in zip(ranks, ranks[1:], strict=False) if a == b}
         self._matches = ahocorasick.Automaton()
         for text in self._rank:
-            self._matches.add_word(text, text)
+            self._matches.add_word(text, (text, len(text)))
         self._matches.make_automaton()
         self._bytes = {i: b for b, i in enumerate(model.byte_ids)}
         self._halves: dict[str, tuple[str, str] | None] = {}
         self._spines: dict[str, tuple[list, list] | None] = {}
         self._pairs: dict[tuple[str, str], bool] = {}
-        self._chunks: dict[str, tuple[array, str]] = {}
-        self._older: dict[str, tuple[array, str]] = {}
+        # Ids as bytes, since the collector looks at arrays again and again.
+        self._chunks: dict[str, tuple[bytes, str]] = {}
+        self._older: dict[str, tuple[bytes, str]] = {}
         self._cut = self._cuts()
 
     def _cuts(self) -> re.Pattern | None:
@@ -184,25 +185,27 @@ class Encoder:
     def _last_tokens(self, chunk: str) -> list[str]:
         """For every prefix of the chunk (by its end, the empty one left out), the one token its encoding ends in."""
         table: list[str] = []
-        known = self._pairs.get
-        for end, token in self._matches.iter(chunk):  # by end, the longest first
-            if end < len(table):
+        filled, known, append = 0, self._pairs.get, table.append
+        for end, (token, size) in self._matches.iter(chunk):  # by end, the longest first
+            if end < filled:
                 continue
-            while len(table) < end:  # characters of no piece, which merge with nothing
-                table.append(chunk[len(table)])
-            begin = end + 1 - len(token)
-            if begin:
-                fits = known((table[begin - 1], token))
+            if end > filled:  # characters of no piece, which merge with nothing
+                table.extend(chunk[filled:end])
+                filled = end
+            if size <= end:
+                before = table[end - size]
+                fits = known((before, token))
                 if fits is None:
-                    fits = self._compatible(table[begin - 1], token)
+                    fits = self._compatible(before, token)
             else:
                 fits = self._reached(token)
             if fits:
-                table.append(token)
-        table.extend(chunk[len(table) :])
+                append(token)
+                filled += 1
+        table.extend(chunk[filled:])
         return table
 
-    def _encode_chunk(self, chunk: str) -> tuple[array, str]:
+    def _encode_chunk(self, chunk: str) -> tuple[bytes, str]:
         """Ids and surface of a chunk; the chunks met last are remembered, in two halves of which the older one is dropped."""
         found = self._older.get(chunk)
         if found is None:
@@ -213,23 +216,24 @@ class Encoder:
             self._chunks[chunk] = found
         return found
 
-    def _encoded(self, chunk: str) -> tuple[array, str]:
+    def _encoded(self, chunk: str) -> tuple[bytes, str]:
         whole = self._ids.get(chunk)
         if whole is not None and self._reached(chunk):
-            return array("i", (whole,)), self._shown((whole,))
+            return array("i", (whole,)).tobytes(), self._shown((whole,))
         table, tokens, end = self._last_tokens(chunk), [], len(chunk)
         while end:
             token = table[end - 1]
             tokens.append(token)
             end -= len(token)
-        ids = array("i")
-        for token in reversed(tokens):
-            known = self._ids.get(token)
-            if known is not None:
-                ids.append(known)
-            else:
-                ids.extend(self.model.byte_ids[b] for b in token.encode("utf-8", "surrogatepass"))
-        return ids, self._shown(ids)
+        tokens.reverse()
+        try:
+            return array("i", [self._ids[token] for token in tokens]).tobytes(), "".join(tokens)
+        except KeyError:  # some are bytes
+            known, of_byte = self._ids, self.model.byte_ids
+            ids = array("i")
+            for token in tokens:
+                ids.extend([known[token]] if token in known else [of_byte[b] for b in token.encode("utf-8", "surrogatepass")])
+            return ids.tobytes(), self._shown(ids)
 
     def _shown(self, ids: Iterable[int]) -> str:
         """Surfaces of ids one behind the other, bytes put together; blanks still escaped."""
@@ -255,16 +259,16 @@ class Encoder:
             return array("i"), ""
         escaped = (SPACE if self.model.add_blank else "") + text.replace(" ", SPACE)
         chunks = [escaped] if self._cut is None else self._cut.findall(escaped)
-        ids, shown, remembered = array("i"), [], self._chunks
+        ids, shown, remembered = [], [], self._chunks
         for chunk in chunks:
             known = remembered.get(chunk)
             if known is None:
                 known = self._encode_chunk(chunk)
                 remembered = self._chunks
             found, said = known
-            ids.extend(found)
+            ids.append(found)
             shown.append(said)
-        return ids, self._unescaped("".join(shown))
+        return array("i", b"".join(ids)), self._unescaped("".join(shown))
 
     def _unescaped(self, shown: str) -> str:
         if self.model.add_blank:
@@ -308,7 +312,7 @@ def encode(
     model = read_model(model_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(model)
+        encoder = of_worker("piecebpe", model, Encoder)
         for batch in batches:
             rows, ids, places, decoded, held = [], array("i"), [0], [], 0
             for key, text in zip(texts_of(batch.column(0)), texts_of(batch.column(1)), strict=True):

@@ -46,7 +46,7 @@ def made(n, dims, seed, labels=4, spread=1.0):
 
 @pytest.mark.parametrize("tree_rows, leaf, block, slot", [(8192, 128, 1024, 16), (64, 8, 3, 1), (50, 4, 1, 2)])
 def test_equals_brute_force_at_any_packing(spark, monkeypatch, tree_rows, leaf, block, slot):
-    for name, value in (("TREE_ROWS", tree_rows), ("LEAF_ROWS", leaf), ("BLOCK_ROWS", block), ("TREES_OF_A_SLOT", slot)):
+    for name, value in (("TREE_ROWS", tree_rows), ("LEAF_ROWS", leaf), ("BLOCK_ROWS", block), ("TREES_OF_A_SLOT", slot), ("ANCHORS_OF_A_GROUP", slot)):
         monkeypatch.setattr(negatives, name, value)
     rows = made(400, 6, 1)
     assert mined(spark.createDataFrame(rows, KIND)) == brute(rows)
