@@ -5,10 +5,11 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Callable, Sequence
-from functools import lru_cache
 
 import numpy as np
 
+from notewright.workers import of_worker
+
 MODEL_NAME = "BAAI/bge-small-en-v1.5"
 DIMENSION = 384
 BATCH_SIZE = 32
@@ -43,11 +44,6 @@ class HashingEncoder:
         return matrix
 
 
-@lru_cache(maxsize=8)
-def _hashing(dimension: int, seed: int) -> HashingEncoder:
-    return HashingEncoder(dimension, seed)
-
-
 def hashing_encoder(dimension: int = DIMENSION, seed: int = 0) -> Encoder:
     """Factory of the hashing encoder, built once per Python worker."""
-    return lambda: _hashing(dimension, seed)
+    return lambda: of_worker("hashing", (dimension, seed), lambda key: HashingEncoder(*key))

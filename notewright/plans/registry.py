@@ -43,7 +43,9 @@ def load_register() -> dict[str, Query]:
         quiz_queries,
         record_queries,
         search_queries,
+        store_queries,
         vector_queries,
+        workbook_queries,
     )
 
     return REGISTER

@@ -10,7 +10,7 @@ from __future__ import annotations
 import io
 import re
 import zipfile
-from collections.abc import Iterator, Sequence
+from collections.abc import Container, Iterator, Sequence
 from datetime import datetime, timedelta
 from xml.etree import ElementTree
 
@@ -55,15 +55,15 @@ def _column(reference: str) -> int:
     return number - 1
 
 
-def _texts(element) -> str:
+def shared_text(element) -> str:
     """Text of a string item, without phonetic hints."""
     if _name(element) == "rPh":
         return ""
     own = (element.text or "") if _name(element) == "t" else ""
-    return own + "".join(_texts(child) for child in element)
+    return own + "".join(shared_text(child) for child in element)
 
 
-def _date_styles(book: zipfile.ZipFile) -> list[bool]:
+def date_styles(book: zipfile.ZipFile) -> list[bool]:
     if "xl/styles.xml" not in book.namelist():
         return []
     root = ElementTree.fromstring(book.read("xl/styles.xml"))
@@ -88,7 +88,7 @@ def _value(cell, shared: list[str], dates: list[bool]) -> tuple[str | None, bool
     """Text of a cell and whether it is a number; integral numbers print without a fraction."""
     kind = cell.get("t", "n")
     if kind == "inlineStr":
-        return "".join(_texts(part) for part in cell if _name(part) == "is"), False
+        return "".join(shared_text(part) for part in cell if _name(part) == "is"), False
     raw = next((part.text for part in cell if _name(part) == "v"), None)
     if raw is None or kind == "e":
         return None, False
@@ -117,7 +117,7 @@ def _headers(cells: dict[int, tuple[str | None, bool]], width: int) -> list[tupl
     return names
 
 
-def _sheets(book: zipfile.ZipFile) -> list[tuple[str, str]]:
+def sheet_parts(book: zipfile.ZipFile) -> list[tuple[str, str]]:
     targets = {
         link.get("Id"): link.get("Target") for link in ElementTree.fromstring(book.read("xl/_rels/workbook.xml.rels"))
     }
@@ -129,8 +129,13 @@ def _sheets(book: zipfile.ZipFile) -> list[tuple[str, str]]:
     return found
 
 
-def _sheet_rows(book: zipfile.ZipFile, part: str, shared: list[str], dates: list[bool]) -> Iterator[tuple]:
-    """``(row_index, cells)`` of one sheet; the header row comes last, when the full width is known."""
+def sheet_rows(
+    book: zipfile.ZipFile, part: str, shared: list[str], dates: list[bool], wanted: Container[str] | None = None
+) -> Iterator[tuple]:
+    """``(row_index, cells)`` of one sheet; the header row comes last, when the full width is known.
+
+    With ``wanted`` only cells under these headers are decoded and returned.
+    """
     header: dict[int, tuple] = {}
     names: list[tuple] = []
     width, last = 0, -1
@@ -143,6 +148,8 @@ def _sheet_rows(book: zipfile.ZipFile, part: str, shared: list[str], dates: list
             for cell in node:
                 reference = cell.get("r")
                 at = _column(reference) if reference else at + 1
+                if wanted is not None and last and (names[at][0] if at < len(names) else f"Unnamed: {at}") not in wanted:
+                    continue
                 text, numeric = _value(cell, shared, dates)
                 if text is not None:
                     cells[at] = (text, numeric)
@@ -150,6 +157,7 @@ def _sheet_rows(book: zipfile.ZipFile, part: str, shared: list[str], dates: list
             width = max(width, max(cells, default=-1) + 1)
             if last == 0:
                 header = cells
+                names = _headers(header, width)
             else:
                 if len(names) < width:
                     names = _headers(header, width)
@@ -158,6 +166,7 @@ def _sheet_rows(book: zipfile.ZipFile, part: str, shared: list[str], dates: list
                     [
                         {"col": i, "header": name, "numeric": numeric, "value": cells.get(i, (None,))[0]}
                         for i, (name, numeric) in enumerate(names)
+                        if wanted is None or name in wanted
                     ],
                 )
     yield (
@@ -165,6 +174,7 @@ def _sheet_rows(book: zipfile.ZipFile, part: str, shared: list[str], dates: list
         [
             {"col": i, "header": name, "numeric": numeric, "value": None}
             for i, (name, numeric) in enumerate(_headers(header, width))
+            if wanted is None or name in wanted
         ],
     )
 
@@ -175,22 +185,22 @@ def _workbook_rows(content: bytes) -> Iterator[tuple]:
     A sheet is read through once before any of its rows is given out, so that no part of a broken one stays.
     """
     with zipfile.ZipFile(io.BytesIO(content)) as book:
-        sheets = _sheets(book)
+        sheets = sheet_parts(book)
         if not sheets:
             yield None, None, None, None, "No sheets found in file"
             return
         shared: list[str] = []
         if "xl/sharedStrings.xml" in book.namelist():
-            shared = [_texts(item) for item in ElementTree.fromstring(book.read("xl/sharedStrings.xml"))]
-        dates = _date_styles(book)
+            shared = [shared_text(item) for item in ElementTree.fromstring(book.read("xl/sharedStrings.xml"))]
+        dates = date_styles(book)
         for index, (sheet, part) in enumerate(sheets):
             try:
-                for _ in _sheet_rows(book, part, shared, dates):
+                for _ in sheet_rows(book, part, shared, dates):
                     pass
             except Exception as problem:
-                yield index, sheet, None, None, f"Cannot read sheet: {problem}"
+                yield index, sheet, None, None, f"Sheet could not be read: {problem}"
                 continue
-            for row_index, cells in _sheet_rows(book, part, shared, dates):
+            for row_index, cells in sheet_rows(book, part, shared, dates):
                 yield index, sheet, row_index, cells, None
 
 
@@ -210,7 +220,7 @@ def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                         yield frame(rows)
                         rows = []
             except Exception as problem:
-                rows.append((file.file_path, file.file_name, None, None, None, None, f"Cannot read Excel file: {problem}"))
+                rows.append((file.file_path, file.file_name, None, None, None, None, f"File could not be opened: {problem}"))
             if rows:
                 yield frame(rows)
 
