@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from math import ceil, comb
+from collections.abc import Sequence
+from math import comb
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from notewright.llm.shingles import free_prefix
 from notewright.operators.sizing import join_measured
 from notewright.session import materialised
 
@@ -21,17 +23,22 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
 
-def shingles(frame: DataFrame, text: Column, into: str, size: int = SHINGLE) -> DataFrame:
-    """``frame`` with the hashes of all word shingles of a text; of fewer words, of the whole sequence; of none, none."""
-    hashed = frame.withColumn("__w", F.transform(words(text), lambda w: F.xxhash64(w)))
-    runs = F.transform(
+def _runs(size: int) -> Column:
+    """Hashes of all runs of ``size`` of the words in ``__w``; none where these are fewer."""
+    run = F.transform(
         F.sequence(F.lit(0), F.size("__w") - size),
         lambda i: F.xxhash64(*[F.get(F.col("__w"), i + k) for k in range(size)]),
     )
-    whole = F.when(F.size("__w") > 0, F.array(F.xxhash64(F.lit("short"), F.col("__w")))).otherwise(
-        F.array().cast("array<bigint>")
-    )
-    return hashed.withColumn(into, F.when(F.size("__w") >= size, runs).otherwise(whole)).drop("__w")
+    return F.when(F.size("__w") >= size, run).otherwise(F.array().cast("array<bigint>"))
+
+
+def _hashed(frame: DataFrame, text: Column) -> DataFrame:
+    return frame.withColumn("__w", F.transform(words(text), lambda w: F.xxhash64(w)))
+
+
+def shingles(frame: DataFrame, text: Column, into: str, sizes: Sequence[int] = (SHINGLE,)) -> DataFrame:
+    """``frame`` with the hashes of all word shingles of a text, of each of ``sizes``; a text of fewer words has none of that size."""
+    return _hashed(frame, text).withColumn(into, F.concat(*map(_runs, sizes))).drop("__w")
 
 
 def least_hits(permutations: int, containment: float = CONTAINMENT, miss: float = MISS) -> int:
@@ -45,13 +52,22 @@ def least_hits(permutations: int, containment: float = CONTAINMENT, miss: float
 
 
 def _items(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Distinct items: item_id, variant, item (its distinct shingles) and their number; those without words are left out."""
+    """Distinct items: item_id, variant, item (its distinct shingles), their number and their size in words.
+
+    An item of fewer words than a shingle is one shingle of its own length; items without words are left out.
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = benchmark.select(F.col(id_col).alias("item_id"), text.alias("item_text"))
-    found = shingles(rows, F.col("item_text"), "item").select(
-        "item_id", F.xxhash64("item_id", "item_text").alias("variant"), F.array_distinct("item").alias("item")
+    rows = _hashed(benchmark.select(F.col(id_col).alias("item_id"), text.alias("item_text")), F.col("item_text"))
+    found = _runs(SHINGLE)
+    for size in range(1, SHINGLE):
+        found = F.when(F.size("__w") == size, _runs(size)).otherwise(found)
+    rows = rows.select(
+        "item_id",
+        F.xxhash64("item_id", "item_text").alias("variant"),
+        F.array_distinct(found).alias("item"),
+        F.least(F.size("__w"), F.lit(SHINGLE)).alias("size"),
     )
-    return found.dropDuplicates(["item_id", "variant"]).withColumn("n_item", F.size("item")).filter("n_item > 0")
+    return rows.dropDuplicates(["item_id", "variant"]).withColumn("n_item", F.size("item")).filter("n_item > 0")
 
 
 def _minima(items: DataFrame, permutations: int, containment: float) -> DataFrame:
@@ -96,16 +112,17 @@ def contained(
     ``blob`` addresses the text by content, so equal texts are searched as one. Shingles of all documents are looked
     up among the items' minima, which are broadcast only if measured small; only texts with
     enough hits are compared shingle by shingle. Null and empty texts and items without words
-    pair with nothing; items and documents of fewer words than a shingle are one shingle, so a
-    short item is found only where it is the whole text. Repeated items count once; of several
+    pair with nothing; an item of fewer words than a shingle is looked up among the documents' runs of its own
+    length, which are made only where there are such items. Repeated items count once; of several
     texts under one item_id the best counts. Empty tables give no rows.
     """
     items = materialised(_items(benchmark, item_id, item_text))
+    sizes = sorted({SHINGLE, *(row["size"] for row in items.select("size").distinct().collect())})  # SHINGLE of them at most
     keys = _minima(items, permutations, containment)
     by_shingle = keys.groupBy("shingle").agg(F.collect_list(F.struct("variant", "weight", "least")).alias("of"))
     keyed = docs.select(_blob(text_col).alias("blob"), F.coalesce(text_col, F.lit("")).alias("doc_text"))
     # The outer form: for the plain one the optimizer adds a filter on the array, below which it is computed once more.
-    scanned = shingles(keyed, F.col("doc_text"), "found").select("blob", F.explode_outer("found").alias("shingle"))
+    scanned = shingles(keyed, F.col("doc_text"), "found", sizes).select("blob", F.explode_outer("found").alias("shingle"))
     candidates = materialised(
         join_measured(scanned, by_shingle, "shingle")
         .select("blob", "shingle", F.explode("of").alias("of"))
@@ -117,7 +134,7 @@ def contained(
         .select("blob", "variant")
     )
     texts = join_measured(keyed, candidates.select("blob").distinct(), "blob", "left_semi").dropDuplicates(["blob"])
-    sets = shingles(texts, F.col("doc_text"), "found").select("blob", F.array_distinct("found").alias("found"))
+    sets = shingles(texts, F.col("doc_text"), "found", sizes).select("blob", F.array_distinct("found").alias("found"))
     shared = F.size(F.array_intersect("found", "item"))
     return (
         candidates.join(sets, "blob")
@@ -144,5 +161,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
 def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **how) -> DataFrame:
     """The rows of ``docs`` that hold no item, with the same columns; see ``contained``."""
     found = materialised(contained(docs, benchmark, text_col=text_col, **how).select("blob").distinct())
-    marked = docs.withColumn("__blob", _blob(text_col))
-    return join_measured(marked, found.withColumnRenamed("blob", "__blob"), "__blob", "left_anti").select(*docs.columns)
+    blob = f"{free_prefix(docs.columns)}blob"
+    marked = docs.withColumn(blob, _blob(text_col))
+    return join_measured(marked, found.withColumnRenamed("blob", blob), blob, "left_anti").select(*[f"`{c}`" for c in docs.columns])

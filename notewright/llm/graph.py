@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from notewright.operators.sizing import join_measured
 from notewright.session import materialised
 
 
@@ -15,7 +16,7 @@ def _towards_least(edges: DataFrame, both_ways: bool) -> DataFrame:
     else:
         near = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = near.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    hung = near.join(least, "a")
+    hung = join_measured(near, least, "a")  # of a hub's many neighbours none moves
     if both_ways:
         hung = hung.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from notewright.llm.graph import components
-from notewright.llm.shingles import WordHashes, give_back, mixed, shingle_set, texts_of
+from notewright.llm.shingles import WordHashes, free_prefix, give_back, mixed, shingle_set, texts_of
 from notewright.operators.sizing import join_measured
 from notewright.session import materialised, stored
 
@@ -310,7 +310,8 @@ def _placed(docs: DataFrame, shingle: int, percent: int, find=links) -> tuple[Da
     placed = rows.filter("key is not null").join(found.withColumnRenamed("node", "key"), "key", "left")
     placed = placed.withColumn("component", F.coalesce("component", "key"))
     names = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    return placed.join(names, "component"), rows.filter("key is null").drop("key")
+    # A group may hold a third of all rows, so its rows stay where they are if the names can come to them.
+    return join_measured(placed, names, "component"), rows.filter("key is null").drop("key")
 
 
 def _of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -346,28 +347,31 @@ def one_of_each(
     placed = stored(placed, "placed-rows")
     several = placed.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("doc_id")
     gone = placed.filter("doc_id <> component_id").select("doc_id").unionByName(several).distinct()
-    one = F.col(id_col).cast("long").alias("__id")
-    kept = join_measured(docs.withColumn("__id", one), gone.withColumnRenamed("doc_id", "__id"), "__id", "left_anti")
+    own = free_prefix([*docs.columns])
+    own_id, own_key = f"{own}id", f"{own}key"
+    marked = docs.withColumn(own_id, F.col(id_col).cast("long"))
+    kept = join_measured(marked, gone.withColumnRenamed("doc_id", own_id), own_id, "left_anti")
     # Ids on several rows are rare; their rows are told apart by their texts' sets.
-    again = join_measured(docs.withColumn("__id", one), several.withColumnRenamed("doc_id", "__id"), "__id", "left_semi")
-    keyed = _keyed(again, text_col, shingle)
+    again = join_measured(marked, several.withColumnRenamed("doc_id", own_id), own_id, "left_semi")
+    keyed = _keyed(again, text_col, shingle, own_key)
     parts = placed.join(several, "doc_id", "left_semi").dropDuplicates(["doc_id", "key"])
-    parts = parts.select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"), "component", "component_id")
-    told = keyed.join(parts.withColumnsRenamed({"component": "__component", "component_id": "__first"}), ["__id", "__key"], "left")
-    order = f"row_number() over (partition by __id, __component order by `{text_col}`)"
-    told = told.withColumn("__nth", F.expr(order))
-    chosen = told.filter("__key is null or (__nth = 1 and __id = __first)")
-    return kept.select(*docs.columns).unionByName(chosen.select(*docs.columns))
+    names = {"doc_id": own_id, "key": own_key, "component": f"{own}component", "component_id": f"{own}first"}
+    told = keyed.join(parts.select(*[F.col(old).alias(new) for old, new in names.items()]), [own_id, own_key], "left")
+    order = f"row_number() over (partition by `{own_id}`, `{own}component` order by `{text_col}`)"
+    told = told.withColumn(f"{own}nth", F.expr(order))
+    chosen = told.filter(f"`{own_key}` is null or (`{own}nth` = 1 and `{own_id}` = `{own}first`)")
+    columns = [f"`{name}`" for name in docs.columns]
+    return kept.select(*columns).unionByName(chosen.select(*columns))
 
 
-def _keyed(docs: DataFrame, text_col: str, shingle: int) -> DataFrame:
-    """``docs`` with ``__key``, the class of each text; null without words."""
+def _keyed(docs: DataFrame, text_col: str, shingle: int, into: str) -> DataFrame:
+    """``docs`` with ``into``, the class of each text; null without words."""
     text_at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
         for batch in batches:
             keys = [class_key(shingle_set(text, shingle, cache)) for text in texts_of(batch.column(text_at))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.int64())], [*batch.schema.names, "__key"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.int64())], [*batch.schema.names, into])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("__key", LongType())]))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(into, LongType())]))

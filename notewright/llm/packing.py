@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -11,8 +10,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from notewright.llm.bytebpe import byte_bpe
-from notewright.llm.shingles import give_back
+from notewright.llm.bytebpe import byte_bpe, read_vocabulary
+from notewright.llm.shingles import give_back, texts_of
 
 LINEAR_COST = 1.0
 QUADRATIC_COST = 1.0 / 2048  # attention weighs as much as the linear layers at this length
@@ -74,7 +73,7 @@ def pack(
     """
     if capacity < 1:
         raise ValueError("capacity must be positive")
-    vocabulary = Path(vocabulary_path).read_text(encoding="utf-8")
+    vocabulary = read_vocabulary(vocabulary_path)
 
     def shards(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for at in range(0, batch.num_rows, SHARD_ROWS):
@@ -86,7 +85,7 @@ def pack(
         next_sequence = (context.partitionId() if context else 0) << 32
         for batch in (part for whole in batches for part in shards(whole)):
             doc_ids = batch.column(0).to_pylist()
-            ids = [np.append(encoder.ids(text or ""), np.uint32(end_id)) for text in batch.column(1).to_pylist()]
+            ids = [np.append(encoder.ids(text or ""), np.uint32(end_id)) for text in texts_of(batch.column(1))]
             sizes = np.array([len(x) for x in ids], dtype=np.int64)
             rows: list[tuple] = []  # of (row, start, length, sequence, offset)
             for row, whole in enumerate(sizes // capacity):

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 SAMPLE_PAGES = 400  # pages the trees are fitted on, at most
 SAMPLE_CHARS = 20_000  # longest page used for fitting
+COPIES = 6  # changed copies of each of them
+BUILT_PAGES = 100  # pages made up for fitting where none names its article
 
 # Element names by role, and attribute tokens that name content or what surrounds it.
 _SKIPPED = set("script style head title noscript template svg iframe object canvas select textarea button".split())
@@ -38,6 +40,9 @@ _AROUND = (
 ).split()
 _MAIN = "article body content entry main page post story text".split()
 _HEADINGS = {f"h{k}" for k in range(1, 7)}
+_TEXT_BLOCKS = _HEADINGS | set("p li td th dt dd figcaption caption pre blockquote summary legend".split())
+_TABLE = set("table thead tbody tfoot tr td th caption".split())
+_REMARKS = set("comment comments discussion discussions reply replies respond response responses thread conversation leave readers".split())
 _TOKEN = re.compile(r"[a-z]+")
 _SKIPPED_END = re.compile(rf"</({'|'.join(sorted(_SKIPPED))})(?=[\s/>])", re.I)
 
@@ -54,6 +59,16 @@ class Node:
         return [part for part in self.parts if isinstance(part, Node)]
 
 
+def _built(node: Node) -> tuple[str, ...] | None:
+    """How an element is built, if from text and blocks or several blocks: its name, and its runs of text and blocks in order."""
+    parts = [node.tag]
+    for part in node.parts:
+        name = part.tag if isinstance(part, Node) and part.tag not in _INLINE else "#"
+        if (name != "#" or parts[-1] != "#") and not (isinstance(part, str) and part.isspace()):
+            parts.append(name)
+    return tuple(parts) if len(parts) > 2 and node.tag not in _TABLE else None
+
+
 class _Builder(HTMLParser):
     """Builds the tree. A skipped element ends with its end tag, or without one where it cannot go on: the head at what cannot
 
@@ -153,6 +168,25 @@ class Flat:
     nodes: list[Node]
     parent: np.ndarray
 
+    def tied(self) -> np.ndarray:
+        """Inline elements that go with what they stand in: all but links, and links in a block of text or beside text."""
+        own = [any(isinstance(p, str) and not p.isspace() for p in n.parts) for n in self.nodes]
+        tied = np.zeros(len(self.nodes), bool)
+        for at in range(1, len(self.nodes)):
+            up = self.parent[at]
+            if self.nodes[at].tag in _INLINE:
+                tied[at] = self.nodes[at].tag != "a" or tied[up] or own[up] or self.nodes[up].tag in _TEXT_BLOCKS
+        return tied
+
+    def alike(self) -> list[list[int]]:
+        """Groups of siblings that are built alike from several elements, as readers' comments are; rows of tables are none."""
+        groups: dict[tuple, list[int]] = {}
+        for at in range(1, len(self.nodes)):
+            built = _built(self.nodes[at])
+            if built:
+                groups.setdefault((int(self.parent[at]), built), []).append(at)
+        return [group for group in groups.values() if len(group) > 1]
+
     @staticmethod
     def of(root: Node) -> Flat:
         nodes, parents, stack = [], [], [(root, -1)]
@@ -197,6 +231,31 @@ def node_features(flat: Flat) -> np.ndarray:
         tags[up][nodes[at].tag] = tags[up].get(nodes[at].tag, 0) + 1
         for name, own_values in (("around", around), ("main", main), ("around_tag", around_tag), ("main_tag", main_tag)):
             above[name][at] = above[name][up] + own_values[up]
+    # Records: siblings that are built alike from several elements, as reader comments are.
+    built = [_built(n) for n in nodes]
+    alike: list[dict[tuple, int]] = [{} for _ in nodes]
+    opening, passed = np.zeros(len(nodes)), [""] * len(nodes)
+    for at in range(len(nodes) - 1, 0, -1):
+        up = parent[at]
+        if built[at]:
+            alike[up][built[at]] = alike[up].get(built[at], 0) + 1
+        passed[at] = (own_text[at] or passed[at])[:60]
+        passed[up] = passed[at] or passed[up]  # the first text of a subtree, as children are met from the last one on
+        opening[at] = any(t in _REMARKS for t in _TOKEN.findall(passed[at].lower()))
+    records = np.array([max(a.values(), default=0) for a in alike], np.float64)
+    record = np.zeros(len(nodes))
+    record[1:] = [alike[p].get(b, 0) for p, b in zip(parent[1:], built[1:], strict=True)]
+    within = np.zeros(len(nodes))
+    for at in range(1, len(nodes)):
+        within[at] = max(within[parent[at]], record[at], opening[at] * 10)
+    table = np.array([n.tag in _TABLE for n in nodes], np.float64)
+    before, after = np.zeros(len(nodes)), np.zeros(len(nodes))  # sizes of the neighbouring siblings
+    last: list[int] = [-1] * len(nodes)
+    for at in range(1, len(nodes)):
+        other = last[parent[at]]
+        if other >= 0:
+            before[at], after[other] = size[other], size[at]
+        last[parent[at]] = at
     up = np.maximum(parent, 0)
     same[1:] = [tags[p][n.tag] for p, n in zip(parent[1:], nodes[1:], strict=True)]
     siblings = np.maximum(number[up], 1)
@@ -207,6 +266,7 @@ def node_features(flat: Flat) -> np.ndarray:
             np.log1p(elements),
             size / elements,
             links / (size + 1),
+            links[up] / (size[up] + 1),
             stops / (size + 1),
             controls,
             depth,
@@ -225,6 +285,14 @@ def node_features(flat: Flat) -> np.ndarray:
             [n.tag == "p" for n in nodes],
             [n.tag in ("li", "td", "th") for n in nodes],
             [n.tag == "a" for n in nodes],
+            np.minimum(records, 10),
+            np.minimum(record, 10),
+            within,
+            opening,
+            table,
+            [t.endswith((".", "!", "?")) for t in own_text],
+            np.log1p(before),
+            np.log1p(after),
         ]
     ).astype(np.float32)
 
@@ -250,7 +318,7 @@ class Trees:
         return out
 
 
-def fit_trees(x: np.ndarray, y: np.ndarray, rounds: int = 60, depth: int = 3, rate: float = 0.2, bins: int = 32) -> Trees:
+def fit_trees(x: np.ndarray, y: np.ndarray, rounds: int = 80, depth: int = 3, rate: float = 0.2, bins: int = 32) -> Trees:
     """Second-order boosting of the logistic loss on features cut at quantiles; each level splits where the gain is largest."""
     cuts = [np.unique(np.quantile(column, np.linspace(0, 1, bins + 1)[1:-1])) for column in x.T]
     codes = np.stack([np.searchsorted(c, column, side="left") for c, column in zip(cuts, x.T, strict=True)])
@@ -293,21 +361,31 @@ def fit_trees(x: np.ndarray, y: np.ndarray, rounds: int = 60, depth: int = 3, ra
     return Trees(start, *(np.array(part) for part in zip(*trees, strict=True)))
 
 
-def decode(log_odds: np.ndarray, parent: np.ndarray) -> np.ndarray:
+def decode(
+    log_odds: np.ndarray, parent: np.ndarray, tied: np.ndarray | None = None, alike: list[list[int]] | None = None
+) -> np.ndarray:
     """Which nodes to keep so that the sum of kept log odds is largest and no kept node has a dropped ancestor.
 
     From the leaves up, a subtree is worth its root's log odds and what its children are worth
     where that is positive; from the root down, a child is kept if its parent is and it is
-    worth something. The root is kept.
+    worth something. The root is kept. A tied node goes with its parent, and its own odds do not count. Siblings that
+    are ``alike`` are kept or dropped together, by what they are worth on average.
     """
     worth = np.array(log_odds, np.float64)
     worth[0] = 1
+    if tied is not None:
+        worth[tied] = 0
+    together = {min(group): group for group in alike or []}
+    held = {at for group in together.values() for at in group}
     for at in range(len(parent) - 1, 0, -1):
-        if worth[at] > 0:
+        if at in together:  # the others come behind it in page order, so their worth is known
+            worth[together[at]] = worth[together[at]].mean()
+            worth[parent[at]] += max(0.0, worth[at]) * len(together[at])
+        elif at not in held and worth[at] > 0:
             worth[parent[at]] += worth[at]
     kept = np.ones(len(parent), bool)
     for at in range(1, len(parent)):
-        kept[at] = kept[parent[at]] and worth[at] > 0
+        kept[at] = kept[parent[at]] and (worth[at] > 0 or tied is not None and bool(tied[at]))
     return kept
 
 
@@ -342,32 +420,117 @@ def _weak_labels(flat: Flat) -> np.ndarray | None:
     nodes, parent = flat.nodes, flat.parent
     inside = np.zeros(len(nodes), bool)
     for at, node in enumerate(nodes):
-        around = node.tag in _AROUND_TAGS or any(t in _AROUND for t in node.tokens)
+        around = node.tag in _AROUND_TAGS or "#around" in node.tokens or any(t in _AROUND for t in node.tokens)
         is_main = node.tag in _MAIN_TAGS or "#main" in node.tokens
         inside[at] = not around and (is_main or (at > 0 and inside[parent[at]]))
     return (_up(inside, parent) > 0).astype(np.float64) if inside.any() else None
 
 
-def _varied(root: Node, spare: list[str], draw: random.Random) -> Node:
-    """A changed copy of a page: other tags for the article, and surroundings under drawn names beside and inside it."""
-
-    def copy(node: Node) -> Node:
-        tag, tokens = node.tag, list(node.tokens)
-        if tag in _MAIN_TAGS:
-            tag = draw.choice(["div", "section", "article", "main"])
-            tokens = [*tokens, *draw.choice([[], [draw.choice(_MAIN)]]), "#main"]
-        out = Node(tag, tokens, [copy(p) if isinstance(p, Node) else p for p in node.parts])
-        if "#main" in tokens or tag == "body":
-            for _ in range(draw.randrange(3)):
-                texts = draw.sample(spare, min(len(spare), draw.randrange(1, 4)))
-                inner = [Node(draw.choice(["p", "div", "li"]), [], [t]) for t in texts]
-                named = draw.random() < 0.7
-                outer = draw.choice(["div", "section", "ul", "p"]) if named else draw.choice(sorted(_AROUND_TAGS))
-                around = Node(outer, [draw.choice(_AROUND)] if named else [], inner)
-                out.parts.insert(draw.choice([0, len(out.parts), draw.randrange(len(out.parts) + 1)]), around)
-        return out
-
-    return copy(root)
+class _Variations:
+    """Changed copies of pages for fitting: other names for the article, blocks of other kinds in it, other surroundings."""
+
+    def __init__(self, lines: list[str], seed: int = 5):
+        self.draw = random.Random(seed)
+        self.lines = lines
+        self.words = [w for line in lines for w in line.split()] or ["word"]
+
+    def _line(self) -> str:
+        return self.draw.choice(self.lines)
+
+    def _few(self, most: int = 3) -> str:
+        return " ".join(self.draw.choices(self.words, k=self.draw.randint(1, most)))
+
+    def _block(self) -> Node:
+        """A block as articles have them."""
+        draw = self.draw
+        short = draw.random() < 0.5
+
+        def text() -> str:
+            return self._few() if short else self._line()
+
+        kind = draw.choice(["table", "ul", "ol", "dl", "pre", "figure", "blockquote", "p", "p", "p", "p", "section", "h3", "details"])
+        if kind == "table":
+            rows = [Node("tr", [], [Node(draw.choice(["td", "td", "th"]), [], [text()]) for _ in range(draw.choice([2, 3]))]) for _ in range(draw.randint(2, 6))]
+            return Node("table", [], [Node("tbody", [], rows)] if draw.random() < 0.5 else rows)
+        if kind in ("ul", "ol"):
+            return Node(kind, [], [Node("li", [], [Node("a", [], [text()]) if draw.random() < 0.2 else text()]) for _ in range(draw.randint(2, 7))])
+        if kind == "dl":
+            return Node("dl", [], [Node(tag, [], [self._few() if tag == "dt" else text()]) for _ in range(draw.randint(1, 4)) for tag in ("dt", "dd")])
+        if kind == "figure":
+            return Node("figure", [], [" ", Node("figcaption", [], [text()])])
+        if kind == "blockquote":
+            return Node("blockquote", [], [Node("p", [], [self._line()])] if draw.random() < 0.5 else [self._line()])
+        if kind == "section":
+            return Node("section", [], [Node("h2", [], [self._few(5)]), *(Node("p", [], [self._line()]) for _ in range(draw.randint(1, 3)))])
+        if kind == "p":  # a sentence with links
+            parts: list = [self._few(6) + " "] if draw.random() < 0.7 else []
+            for _ in range(draw.randint(1, 3)):
+                parts += [Node("a", [], [self._few()]), " " + self._few(draw.choice([1, 4, 12])) + " "]
+            return Node("p", [], [*parts, draw.choice([".", "", self._line()])])
+        return Node(kind, [], [text()])
+
+    def _remarks(self) -> Node:
+        """Comments of readers, a repeated author and text, under names that say nothing."""
+        draw = self.draw
+        name, tag = draw.choice([[], ["list"], ["c", "list"], ["discussion"], ["items"], ["box"]]), draw.choice(["div", "li", "article", "section"])
+        author, when = draw.choice(["b", "span", "div", "p", "h4"]), draw.choice(["time", "span", "div"])
+        short, dated = draw.random() < 0.5, draw.random() < 0.5
+
+        def one() -> Node:
+            parts = [Node(author, draw.choice([[], ["who"], ["name"]]), [self._few(2)])]
+            if dated:
+                parts.append(Node(when, [], [f"{draw.randint(1, 28)} {self._few(1)} {draw.randint(1, 12)}:{draw.randint(10, 59)}"]))
+            return Node(tag, ["#around"], [*parts, Node("p", [], [self._few(12) if short else self._line()])])
+
+        heads = [Node(draw.choice(["h2", "h3", "div"]), [], [draw.choice(["Comments", "Discussion", f"{draw.randint(2, 40)} replies", "Readers said", self._few()])])]
+        items = [one() for _ in range(draw.randint(2, 8))]
+        return Node(draw.choice(["div", "section", "ul"]), [*name, "#around"], [*(heads if draw.random() < 0.6 else []), *items])
+
+    def _around(self) -> Node:
+        draw = self.draw
+        if draw.random() < 0.35:
+            return self._remarks()
+        tag = draw.choice(["p", "div", "li"])
+        inner = [Node(tag, [], [Node("a", [], [self._few()]) if draw.random() < 0.4 else self._line()]) for _ in range(draw.randint(1, 4))]
+        if draw.random() < 0.7:
+            return Node(draw.choice(["div", "section", "ul", "p"]), [draw.choice(_AROUND)], inner)
+        return Node(draw.choice(sorted(_AROUND_TAGS)), [], inner)
+
+    def page(self) -> Node:
+        """A page of its own, for tables whose pages name no article."""
+        draw = self.draw
+        article = Node("main", [], [Node("h1", [], [self._few(6)]), *(Node("p", [], [self._line()]) for _ in range(draw.randint(1, 8)))])
+        menu = Node("nav", [], [Node("ul", [], [Node("li", [], [Node("a", [], [self._few(2)])]) for _ in range(draw.randint(2, 6))])])
+        return Node("#root", [], [Node("body", [], [menu, article, Node("footer", [], [Node("p", [], [self._few(8)])])])])
+
+    def copy(self, root: Node) -> Node:
+        """A page with its article under another name, and drawn blocks and surroundings in places of their own."""
+        draw = self.draw
+        found: list[Node] = [Node("#top")]
+        todo = [(root, found[0])]
+        while todo:  # deep pages are copied without recursion
+            node, into = todo.pop()
+            tag, tokens = node.tag, list(node.tokens)
+            if tag in _MAIN_TAGS:
+                tag = draw.choice(["div", "section", "article", "main"])
+                tokens = [*tokens, *draw.choice([[], [draw.choice(_MAIN)]]), "#main"]
+            out = Node(tag, tokens, list(node.parts))
+            if into.tag == "#top":
+                into.parts.append(out)
+            else:
+                into.parts[next(k for k, p in enumerate(into.parts) if p is node)] = out
+            todo += [(child, out) for child in out.children()]
+            found.append(out)
+        for out in found[1:]:
+            if "#main" in out.tokens:
+                for _ in range(draw.randrange(5)):
+                    out.parts.insert(draw.randrange(len(out.parts) + 1), self._block())
+                if draw.random() < 0.3:  # a plain box around what the article holds
+                    out.parts = [Node("div", draw.choice([[], ["content"], ["text"], ["wrap"]]), out.parts)]
+            if "#main" in out.tokens or out.tag == "body":
+                for _ in range(draw.randrange(3)):
+                    out.parts.insert(draw.choice([0, len(out.parts), draw.randrange(len(out.parts) + 1)]), self._around())
+        return found[1]
 
 
 def fit(
@@ -375,28 +538,33 @@ def fit(
 ) -> Trees | None:
     """Trees from a bounded sample: the first ``sample_pages`` by hash of the id, of pages of ``sample_chars`` at most.
 
-    Labels come from the pages' own article and main elements. Each page is also seen in
-    changed copies, in which those elements have other names and surroundings stand inside
-    them, so that no single tag decides. None if no such page is found.
+    Labels come from the pages' own article and main elements. Each page is also seen in changed copies, in which those elements
+    have other names, hold tables, lists, definitions, code, figures and links, and stand among other surroundings, readers' comments
+    under plain names included, so that no single tag decides. Where no page has such an element, pages built from the texts
+    stand in. None if there is no page.
     """
     mark = F.xxhash64(id_col, html_col)
     usable = pages.filter(F.length(html_col).between(1, sample_chars))
     chosen = usable.select(mark.alias("mark")).orderBy("mark").limit(sample_pages)  # only marks are sorted and gathered
     found = usable.select(mark.alias("mark"), F.col(html_col).alias("html")).join(F.broadcast(chosen), "mark", "left_semi")
     rows = sorted(found.dropDuplicates(["mark"]).collect())
-    draw = random.Random(5)
+    if not rows:
+        return None
     roots = [parse(row.html) for row in rows]
-    spare = [t for t in (block_text(f, np.ones(len(f.nodes), bool)) for f in map(Flat.of, roots)) if t]
-    spare = [line for text in spare for line in text.split("\n")[:20]] or ["text"]
+    texts = [block_text(f, np.ones(len(f.nodes), bool)) for f in map(Flat.of, roots)]
+    made = _Variations([line for text in texts for line in text.split("\n")[:20] if line] or ["text"])
+    if all(_weak_labels(Flat.of(root)) is None for root in roots):
+        roots = [made.page() for _ in range(BUILT_PAGES)]
     x, y = [], []
     for root in roots:
-        for tree in (root, _varied(root, spare, draw), _varied(root, spare, draw)):
+        for tree in (root, *(made.copy(root) for _ in range(COPIES))):
             flat = Flat.of(tree)
             labels = _weak_labels(flat)
             if labels is not None:
-                x.append(node_features(flat))
-                y.append(labels)
-    return fit_trees(np.vstack(x), np.concatenate(y)) if x else None
+                free = ~flat.tied()
+                x.append(node_features(flat)[free])
+                y.append(labels[free])
+    return fit_trees(np.vstack(x), np.concatenate(y))
 
 
 def main_texts(pages: list[str], trees: Trees | None) -> list[str]:
@@ -406,7 +574,7 @@ def main_texts(pages: list[str], trees: Trees | None) -> list[str]:
         return [block_text(flat, np.ones(len(flat.nodes), bool)) for flat in flats]
     odds = trees.log_odds(np.vstack([node_features(flat) for flat in flats]))
     ends = np.cumsum([len(flat.nodes) for flat in flats])
-    return [block_text(f, decode(part, f.parent)) for f, part in zip(flats, np.split(odds, ends[:-1]), strict=True)]
+    return [block_text(f, decode(part, f.parent, f.tied(), f.alike())) for f, part in zip(flats, np.split(odds, ends[:-1]), strict=True)]
 
 
 def _grouped(pages: list[str]) -> Iterator[list[str]]:
@@ -426,7 +594,7 @@ def extract(pages: DataFrame, trees: Trees | None, html_col: str = "html", into:
     """``pages`` without the html, with the main text of each: never null, empty if there is none.
 
     Character references are decoded, white space inside a block is one space, blocks are in page order, one a line. Null and empty
-    pages give an empty text; repeated rows each get theirs; a table without rows stays
+    pages give an empty text; without trees, which only an empty sample gives, a page's whole text is returned; repeated rows each get theirs; a table without rows stays
     empty; a column named like the new one is replaced.
     """
     others = [name for name in pages.columns if name not in (html_col, into)]

@@ -148,14 +148,15 @@ with w as (
     union all
     select 'i', item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '')
     from benchmark
+), sizes as (
+    select distinct least(5, len(w)) as k from w where side = 'i' and len(w) > 0
 ), s as (
-    select distinct side, id, unnest(case when len(w) >= 5
-        then list_transform(generate_series(1, len(w) - 4), lambda i: array_to_string(w[i:i + 4], ' '))
-        when len(w) > 0 then ['short ' || array_to_string(w, ' ')] else [] end) as shingle
-    from w
+    select distinct side, id, k, array_to_string(w[i:i + k - 1], ' ') as shingle
+    from (select side, id, w, k, unnest(generate_series(1, len(w) - k + 1)) as i from w, sizes
+        where len(w) >= k and (side = 'd' or k = least(5, len(w))))
 ), n as (select id, count(*) as n_item from s where side = 'i' group by id)
 select d.id as doc_id, i.id as item_id, count(*) / any_value(n_item) as containment
-from s d join s i on d.shingle = i.shingle and d.side = 'd' and i.side = 'i' join n on n.id = i.id
+from s d join s i on d.shingle = i.shingle and d.k = i.k and d.side = 'd' and i.side = 'i' join n on n.id = i.id
 group by d.id, i.id having count(*) * 10 >= any_value(n_item) * 8
 """
 
@@ -164,18 +165,25 @@ def _remainder(n: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % n
 
 
-def scored_quality(spark: SparkSession, docs: DataFrame, sf_dir: str, fit_on: DataFrame | None = None) -> DataFrame:
-    """``docs`` with score and predicted; the model sees only labels whose rows are not held out."""
+def scored_quality(spark: SparkSession, docs: DataFrame, sf_dir: str, fit_on: DataFrame) -> DataFrame | None:
+    """``docs`` with score and predicted; the model sees only labels whose rows are not held out. None without any label to learn from."""
     labels = _table(spark, sf_dir, "labels").filter(_remainder(4) != 2)
-    model = quality.fit(_table(spark, sf_dir, "documents") if fit_on is None else fit_on, labels)
-    return quality.score(docs, model).withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+    model = quality.fit(fit_on, labels)
+    return None if model is None else _predicted(quality.score(docs, model))
+
+
+def _predicted(scored: DataFrame) -> DataFrame:
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
 
 
 @_query
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.coalesce(_remainder(4) == 2, F.lit(False)).alias("held_out")
-    return scored_quality(spark, docs, sf_dir).select("doc_id", held_out, "score", "predicted")
+    scored = scored_quality(spark, docs, sf_dir, fit_on=docs)
+    if scored is None:
+        scored = _predicted(quality.score(docs, None))
+    return scored.select("doc_id", held_out, "score", "predicted")
 
 
 @_query

@@ -65,7 +65,8 @@ def scan(versions: DataFrame, ledger_path: str, rules: tuple[Rule, ...] = RULES,
 
     The ledger lists which rules at which versions each blob was scanned with, and what they
     found. Blobs of ``versions`` that miss some of ``rules`` are scanned once each with just
-    those, however many rows hold them, and added to the ledger in one atomic append. Then the
+    those, however many rows hold them, and added to the ledger. A row of the ledger stands for itself, so an append that
+    breaks off loses nothing but work, and findings that two runs at once have added under the same blob and rule count once. Then the
     findings of these rules are joined back to all rows.
 
     Returns the rows of ``versions`` without their text, with ``blob`` and ``findings``: start,
@@ -91,7 +92,7 @@ def scan(versions: DataFrame, ledger_path: str, rules: tuple[Rule, ...] = RULES,
 
     ordered = F.array_sort(
         F.transform(
-            F.filter(F.flatten(F.collect_list("findings")), lambda x: F.array_contains(wanted, x["kind"])),
+            F.filter(F.array_distinct(F.flatten(F.collect_list("findings"))), lambda x: F.array_contains(wanted, x["kind"])),
             lambda x: F.struct(
                 x["start"].alias("start"),
                 F.array_position(wanted, x["kind"]).alias("rule"),

@@ -5,10 +5,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
-import sys
-from collections.abc import Callable, Iterator
-from types import ModuleType
-from typing import Any
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +22,14 @@ def texts_of(column: pa.Array) -> Iterator[str | None]:
         yield from column.slice(at, _ROWS_AT_ONCE).to_pylist()
 
 
+def free_prefix(columns: Iterable[str]) -> str:
+    """A prefix that no column name starts with, for columns that are added for a while."""
+    prefix = "__"
+    while any(name.lower().startswith(prefix) for name in columns):
+        prefix += "_"
+    return prefix
+
+
 def give_back() -> None:
     """Return freed memory to the system at the end of a task, as Python workers stay on for the next stage."""
     gc.collect()
@@ -33,18 +38,6 @@ def give_back() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
-def of_worker(name: str, key: Any, make: Callable[[Any], Any]) -> Any:
-    """``make(key)``, kept under ``name`` while the Python worker lives and the key stays the same.
-
-    Functions travel to workers by value, so their own modules (and caches in them) end with each
-    task; this place belongs to the process.
-    """
-    held = sys.modules.setdefault("_notewright_worker", ModuleType("_notewright_worker")).__dict__
-    if name not in held or held[name][0] != key:
-        held[name] = (key, make(key))
-    return held[name][1]
-
-
 def words(text: str | None) -> list[bytes]:
     """Words between ASCII white space, with A-Z in lower case; bytes know no other letters or spaces."""
     return (text or "").encode("utf-8", "surrogatepass").lower().split()

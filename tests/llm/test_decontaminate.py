@@ -6,17 +6,20 @@ from notewright.llm.queries import QUERIES
 BENCHMARK = "item_id long, text string, doc_id string"
 
 
-def sh(text):
+def runs(text, size):
     w = (text or "").lower().split()
-    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({("short", *w)} if w else set())
+    return {tuple(w[i : i + size]) for i in range(len(w) - size + 1)}
 
 
 def by_hand(texts, items):
     out = {}
-    for d, text in texts:
-        for i, item in items:
-            if sh(item) and len(sh(item) & sh(text)) * 10 >= len(sh(item)) * 8:
-                out[d, i] = max(out.get((d, i), 0), len(sh(item) & sh(text)) / len(sh(item)))
+    for i, item in items:
+        size = min(5, len((item or "").split()))
+        held = runs(item, size) if size else set()
+        for d, text in texts if held else ():
+            shared = len(held & runs(text, size))
+            if shared * 10 >= len(held) * 8:
+                out[d, i] = max(out.get((d, i), 0), shared / len(held))
     return out
 
 
@@ -28,6 +31,8 @@ ITEMS = [
     (1, seq(0, 100)),
     (2, seq(200, 210)),
     (3, "short one"),
+    (7, "What is two plus"),
+    (8, "word9"),
     (4, None),
     (5, ""),
     (6, seq(0, 100)),
@@ -40,6 +45,9 @@ TEXTS = [
     "",
     "short one",
     "a short one here",
+    "before what IS two\nplus after " + " ".join(f"v{k}" for k in range(300)),
+    "what is two",
+    "word9 and more",
     "X " + seq(0, 100) + " " + seq(1000, 9000),
     seq(0, 85) + " " + seq(3000, 3100),
     seq(0, 80) + " " + seq(3000, 3100),
@@ -77,5 +85,26 @@ def test_empty_tables(spark, docs_of):
     assert decontaminate.clean(docs_of([seq(0, 9), "a"]), some).count() == 1
 
 
+def test_columns_of_any_name_stay(spark, docs_of):
+    docs = docs_of([seq(0, 9), "a"]).selectExpr("*", "doc_id + 7 as __blob", "'x' as blob", "1 as `odd.name`")
+    some = spark.createDataFrame([(1, seq(0, 9), "")], BENCHMARK)
+    assert [r.asDict() for r in decontaminate.clean(docs, some).collect()] == [docs.filter("doc_id = 1").first().asDict()]
+
+
+def test_sql_with_short_items(spark, docs_of, sf_of):
+    import compare
+
+    from notewright.llm.queries import SQL
+    from notewright.plans.registry import Query
+
+    benchmark = spark.createDataFrame([(k, t, "x") for k, (_, t) in enumerate(ITEMS)], BENCHMARK)
+    folder = sf_of(documents=docs_of(TEXTS), benchmark=benchmark)
+    connection = __import__("duckdb").connect()
+    for name in ("documents", "benchmark"):
+        connection.sql(f"create view {name} as from read_parquet('{folder}/{name}.parquet/*.parquet')")
+    each = Query("op6", QUERIES["op6_decontamination"], SQL["op6_decontamination"])
+    assert compare.difference(spark, connection, each, folder) is None
+
+
 def test_bound_on_hits():
     assert decontaminate.least_hits(32) == 12 or decontaminate.least_hits(32) > 8

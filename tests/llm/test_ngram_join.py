@@ -106,3 +106,12 @@ def test_prefixes_of_linked_sets_meet_under_every_order():
         b = a[lost:]
         if 100 * len(b) >= 85 * len(a):
             assert ngram_join.linked(*(ngram_join.Candidate(s, none, 85) for s in (a, b)))
+
+
+def test_columns_of_any_name_stay(spark, docs_of):
+    texts = ["a b c d e f g h", "a b c d e f g h", "x y z", None]
+    docs = docs_of(texts, [4, 4, 2, None]).selectExpr("*", "1 as __id", "2 as __key", "3 as __first", "4 as __nth", "5 as `__component`")
+    kept = ngram_join.one_of_each(docs).collect()
+    assert sorted((r.doc_id or 0, r["__id"], r["__key"], r["__first"], r["__nth"], r["__component"]) for r in kept) == [
+        (0, 1, 2, 3, 4, 5), (2, 1, 2, 3, 4, 5), (4, 1, 2, 3, 4, 5)
+    ]

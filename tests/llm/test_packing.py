@@ -11,7 +11,7 @@ import public_tokenizers  # noqa: E402
 from tokenizers import Tokenizer  # noqa: E402
 
 from notewright.llm import packing  # noqa: E402
-from notewright.llm.bytebpe import ByteBpe  # noqa: E402
+from notewright.llm.bytebpe import ByteBpe, read_vocabulary  # noqa: E402
 from notewright.llm.queries import QUERIES  # noqa: E402
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -21,7 +21,7 @@ ODD = [None, "", " ", "a", "<|endoftext|>x", "  two  \n\nlines\t", "é🙂" * 4
 @pytest.fixture(scope="module")
 def encoders():
     with open(PATH, encoding="utf-8") as f:
-        return ByteBpe(f.read()), Tokenizer.from_file(PATH)
+        return ByteBpe(read_vocabulary(PATH)), Tokenizer.from_file(PATH)
 
 
 @hsettings(max_examples=200, deadline=None)

@@ -7,6 +7,7 @@ import pytest
 
 from notewright.llm import pages
 from notewright.llm.queries import QUERIES
+from tests.llm.page_kinds import KINDS
 
 
 def by_hand(source):
@@ -44,6 +45,33 @@ def test_surroundings_inside_and_outside(trees):
     assert pages.main_texts([page, page], trees) == [want, want]
 
 
+@pytest.fixture(scope="module")
+def more_trees(spark, small_sf):
+    return pages.fit(spark.read.parquet(f"{small_sf.replace('sf0.001', 'sf0.01')}/pages.parquet"))
+
+
+@pytest.mark.parametrize("kind", sorted(KINDS))
+def test_articles_of_other_kinds(more_trees, kind):
+    source, want = KINDS[kind]
+    assert pages.main_texts([source], more_trees) == [want]
+
+
+def test_pages_that_name_no_article(spark):
+    lines = [f"Line {k} of some text that people read, with words in it." for k in range(60)]
+    rows = [(k, f"<body><div>{''.join(f'<p>{x}</p>' for x in lines[k : k + 5])}</div></body>") for k in range(40)]
+    trees = pages.fit(spark.createDataFrame(rows, "page_id long, html string"))
+    source, want = KINDS["notices and adverts between paragraphs"]
+    assert pages.main_texts([source], trees) == [want]
+
+
+def test_deep_pages_in_the_sample(spark):
+    deep = "<article>" + "<div>" * 1500 + "<p>Some text, here.</p>"
+    rows = [(k, f"{deep}{k}") for k in range(5)]
+    frame = spark.createDataFrame(rows, "page_id long, html string")
+    assert pages.fit(frame) is not None
+    assert pages.fit(frame.limit(0)) is None
+
+
 def test_decoding_is_the_best_consistent_choice():
     rng = np.random.default_rng(1)
     for _ in range(30):
