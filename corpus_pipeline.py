@@ -12,9 +12,9 @@ from notewright.session import scratch_path
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the line model takes for good."""
+    """Documents that the line model takes for good; all of them where no label is there to learn from."""
     scored = queries.scored_quality(spark, docs, sf_dir, fit_on=docs)
-    return scored.filter("predicted = 1").select(*docs.columns)
+    return docs if scored is None else scored.filter("predicted = 1").select(*docs.columns)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
