@@ -87,13 +87,22 @@ class Encoder:
         self._cut = self._cuts()
 
     def _cuts(self) -> re.Pattern | None:
-        """Where texts are cut: around characters of no piece and before blanks, unless a piece has a blank behind other text."""
+        """Where texts are cut: before blanks, around characters that no longer piece has, and between letters and others.
+
+        Each cut is made only if no piece reaches over it; None where a piece has a blank behind other text.
+        """
+        longer = [text for text in self._rank if len(text) > 1]
         inner = re.compile(f"[^{SPACE}]{SPACE}")
-        if any(inner.search(text) for text in self._rank):
+        if any(inner.search(text) for text in longer):
             return None
-        known = set().union(*self._rank)
-        alone = "".join(f"\\x{c:02x}" for c in range(128) if chr(c) not in known)
-        return re.compile(f"[{alone}]|{SPACE}+[^{SPACE}{alone}]*|[^{SPACE}{alone}]+" if alone else f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
+        merged = set().union(*longer)
+        single = "".join(f"\\x{c:02x}" for c in range(128) if chr(c) not in merged)
+        odd = "".join(re.escape(c) for c in sorted(merged) if re.fullmatch(r"[^\W\d_]", c) and not c.isalpha())  # raised digits
+        letter, known = rf"[^\W\d_{odd}]", f"{SPACE}{single}"
+        if any(re.search(rf"{letter}(?!{letter}).|[^{SPACE}](?<!{letter}){letter}", text, re.S) for text in longer):
+            return re.compile(rf"{SPACE}+[^{known}]*|[^{known}]+" + (f"|[{single}]" if single else ""))
+        other = rf"(?:[^\w{known}]|(?![{known}])[\d_{odd}])"
+        return re.compile(rf"{SPACE}*{letter}+|{SPACE}+{other}*|{other}+" + (f"|[{single}]" if single else ""))
 
     # Merging as the library does it, for single tokens and doubtful pairs only.
 
