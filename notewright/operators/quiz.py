@@ -127,9 +127,13 @@ def cross_dataset_items(
         .unionByName(slots.filter(~short).join(ids.filter(~short).drop("__size"), ["dataset", "__place"]))
         .withColumn("correct", F.col("dataset") == prompt_dataset)
     )
-    mixed = F.md5(F.concat(F.lit(f"{seed}|"), F.col("item").cast("string"), F.lit("|"), "dataset"))
-    place = F.row_number().over(Window.partitionBy("item").orderBy(mixed))
-    return options.select("item", "prompt", "dataset", "id", "correct", place.alias("place"))
+    def mixed(dataset: Column) -> Column:
+        return F.md5(F.concat(F.lit(f"{seed}|"), F.col("item").cast("string"), F.lit("|"), dataset))
+
+    # Every item has the same datasets, so a row can tell its place among them by itself.
+    present = [row["dataset"] for row in sizes.collect()]
+    earlier = [(mixed(F.lit(name)) < mixed(F.col("dataset"))).cast("int") for name in present]
+    return options.select("item", "prompt", "dataset", "id", "correct", (F.lit(1) + sum(earlier, F.lit(0))).alias("place"))
 
 
 def eliminations(

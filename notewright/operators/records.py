@@ -196,27 +196,34 @@ def _with_trimmed(objects: DataFrame, raw: str) -> DataFrame:
 
 _QUOTED = r'"((?:[^"\\]|\\.)*+)"'
 _SKIP = r"[^:]*:[ \t\r\n]*"
-_NESTING = 200  # levels of a broken object's text; each is a frame of the pattern matcher, so there is a bound
+# Pieces of broken JSON text: escaped characters, quotes, braces, and runs of anything else.
+_PIECES = r'(?s)\\.|["{}]|[^"\\{}]++|\\'
 
 
-def _braced_pattern(depth: int) -> str:
-    """Pattern of an object with at most ``depth`` further levels, strings skipped."""
-    string = r'"(?:[^"\\]|\\.)*+"'
-    pattern = rf'\{{(?:[^"{{}}]|{string})*+\}}'
-    for _ in range(depth):
-        pattern = rf'\{{(?:[^"{{}}]|{string}|{pattern})*+\}}'
-    return pattern
+def _first_object(value: Column) -> Column:
+    """The object that a text starts with, its braces matched at any depth outside of strings; null if it does not end."""
+
+    def step(state: Column, piece: Column) -> Column:
+        quoted = F.when(piece == '"', ~state["quoted"]).otherwise(state["quoted"])
+        change = F.when(state["quoted"], 0).when(piece == "{", 1).when(piece == "}", -1).otherwise(0)
+        depth = (state["depth"] + change).cast("int")
+        taken = F.struct(
+            depth.alias("depth"), (state["size"] + F.length(piece)).cast("int").alias("size"), quoted.alias("quoted"), (depth == 0).alias("done")
+        )
+        return F.when(state["done"], state).otherwise(taken)
+
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("size"), F.lit(False).alias("quoted"), F.lit(False).alias("done"))
+    end = F.aggregate(F.regexp_extract_all(value, F.lit(_PIECES), F.lit(0)), start, step)
+    return F.when(end["done"], F.substr(value, F.lit(1), end["size"]))
 
 
 def _salvage(value: Column) -> Column:
-    located = (
-        rf'(?s)"id"{_SKIP}{_QUOTED}.*?"sheet"{_SKIP}{_QUOTED}.*?"text"{_SKIP}({_braced_pattern(_NESTING)})'
-    )
+    located = rf'(?s)"id"{_SKIP}{_QUOTED}.*?"sheet"{_SKIP}{_QUOTED}.*?"text"{_SKIP}(\{{.*+)'
 
     def unescaped(group: int) -> Column:
         return F.regexp_replace(F.regexp_extract(value, located, group), r"(?s)\\(.)", "$1")
 
-    text = F.regexp_replace(F.regexp_extract(value, located, 3), r"[\r\n]+[ \t]*", "")
+    text = F.regexp_replace(_first_object(F.regexp_extract(value, located, 3)), r"[\r\n]+[ \t]*", "")
     head = F.to_json(F.struct(unescaped(1).alias("id"), unescaped(2).alias("sheet")))
     whole = F.concat(F.substr(head, F.lit(1), F.length(head) - 1), F.lit(',"text":'), text, F.lit("}"))
     return F.when(is_json_object(text), whole)

@@ -111,7 +111,7 @@ def test_rewrite_rules(spark):
 
 
 def test_salvage_of_deep_objects_and_rejects(spark):
-    deep = '{"a":' * 60 + "1" + "}" * 60
+    deep = '{"a":' * 800 + r'"1 } \" {"' + "}" * 800
     rows = objects(spark, ['{"id":"A","sheet":"S","text":' + deep + ",,}", "neither", {"id": "B", "sheet": "S", "text": {}}])
     found = trim_objects(rows).orderBy("ord").collect()
     assert [json.loads(r["trimmed"])["id"] for r in found] == ["A", "B"] and json.loads(found[0]["trimmed"])["text"] == json.loads(deep)
