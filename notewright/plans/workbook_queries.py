@@ -44,6 +44,11 @@ def _books(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+def _read(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -> DataFrame:
+    """The written books' rows; their many small sheets share partitions."""
+    return read_sheets(spark, _books(spark, sf_dir), columns, group_mb="4")
+
+
 _BOOK_SQL = f"p_brand || ' ' || (p_partkey // {_ROWS_OF_A_BOOK}) || '_references.xlsx'"
 _PRICE_SQL = """CASE WHEN p_size % 5 = 0 THEN NULL WHEN p_retailprice = floor(p_retailprice) THEN CAST(CAST(p_retailprice AS BIGINT) AS VARCHAR)
                 ELSE CAST(p_retailprice AS VARCHAR) END"""
@@ -60,7 +65,7 @@ _ROWS_SQL = f"""SELECT {_BOOK_SQL} AS file_name, p_type AS sheet, CAST(p_partkey
 )
 def workbook_cells(spark, sf_dir):
     """Cells under requested headers, which not every sheet has, at their row numbers of the sheet."""
-    rows = data_rows(read_sheets(spark, _books(spark, sf_dir), columns=["part name", "Retail Price", "Nowhere"]))
+    rows = data_rows(_read(spark, sf_dir, columns=["part name", "Retail Price", "Nowhere"]))
     cells = rows.select("file_name", "sheet", "row_index", F.explode("cells").alias("cell"))
     return cells.select("file_name", "sheet", "row_index", "cell.header", "cell.value").filter("value IS NOT NULL")
 
@@ -71,7 +76,7 @@ def workbook_cells(spark, sf_dir):
 )
 def workbook_headers(spark, sf_dir):
     """Labeled headers of every sheet, read from the files."""
-    sheets = sheet_columns(header_rows(read_sheets(spark, _books(spark, sf_dir)).withColumn("error", F.lit(None))))
+    sheets = sheet_columns(header_rows(_read(spark, sf_dir).withColumn("error", F.lit(None))))
     return sheets.select("file_name", "sheet", F.col("unlabeled"), F.array_join("columns", "|").alias("columns"))
 
 
@@ -81,7 +86,7 @@ def workbook_headers(spark, sf_dir):
 )
 def workbook_patterns(spark, sf_dir):
     """Header patterns of the written books by how many sheets share them."""
-    sheets = sheet_columns(header_rows(read_sheets(spark, _books(spark, sf_dir)).withColumn("error", F.lit(None))))
+    sheets = sheet_columns(header_rows(_read(spark, sf_dir).withColumn("error", F.lit(None))))
     ranks = rank_patterns(sheets, ("file_name", "sheet"))
     return ranks.select(F.element_at("labels", -1).alias("last"), "rank", "count")
 
@@ -89,7 +94,7 @@ def workbook_patterns(spark, sf_dir):
 @query(f"SELECT DISTINCT {_BOOK_SQL} AS file_name, p_type AS sheet FROM part WHERE p_type <> 'PROMO'")
 def workbook_exact_columns(spark, sf_dir):
     """Sheets whose labeled headers are exactly these, in this order."""
-    sheets = sheet_columns(header_rows(read_sheets(spark, _books(spark, sf_dir)).withColumn("error", F.lit(None))))
+    sheets = sheet_columns(header_rows(_read(spark, sf_dir).withColumn("error", F.lit(None))))
     return sheets_like(sheets, ["part name", "Size-Note", "Retail Price"]).select("file_name", "sheet")
 
 
@@ -101,7 +106,7 @@ def workbook_exact_columns(spark, sf_dir):
 )
 def workbook_ingestion(spark, sf_dir):
     """Rows read, written and skipped of every sheet of the written books."""
-    cells = read_sheets(spark, _books(spark, sf_dir))
+    cells = _read(spark, sf_dir)
     rows = data_rows(cells)
     sheets = sheet_columns(header_rows(cells.withColumn("error", F.lit(None))))
     return ingestion_tally(rows, records_from_workbooks(rows), sheets)
@@ -117,6 +122,6 @@ def workbook_ingestion(spark, sf_dir):
 )
 def workbook_records(spark, sf_dir):
     """Records of the written books."""
-    records = records_from_workbooks(data_rows(read_sheets(spark, _books(spark, sf_dir))))
+    records = records_from_workbooks(data_rows(_read(spark, sf_dir)))
     pairs = F.transform(F.map_entries("text"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
     return records.select("id", "sheet", F.col("metadata.row_index").alias("row_index"), F.array_join(pairs, "|").alias("text"))
