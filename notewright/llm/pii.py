@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import log2
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from notewright.session import materialised
 
 KINDS = ["email", "ip", "card", "phone"]
 TERM = "term"
-LINE_PRIOR, DOCUMENT_PRIOR = 0.5, 2.0  # how many lines or documents without the entity a term is taken to have besides those counted
+LINE_PRIOR, DOCUMENT_PRIOR = 0.5, 2.0  # lines or documents without the entity that a term is taken to have besides those counted
 
 # The patterns. Look-behinds and possessive repeats change no match; they keep the
 # work linear on long runs of matching characters and the stack flat.
@@ -19,6 +21,8 @@ EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?+[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
+NAME_INSIDE = r"(?<=[\p{L}\p{N},;]\x20[\"'(]?)\p{Lu}\p{Ll}{2,}(?!\p{L})"
+NAME_LINE = r"^\P{L}*(?:\p{Lu}\p{Ll}+\P{L}+){0,3}\p{Lu}\p{Ll}+\P{L}*$"
 IP_PARTS = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})(?:\.|$)){4}$"
 
 
@@ -68,30 +72,66 @@ def _entities(found: Column) -> Column:
     return F.array_distinct(F.transform(found, lambda x: F.concat_ws(":", x["kind"], x["hit"])))
 
 
-def _words_beside(text: Column) -> Column:
-    """Words of a text outside its direct identifiers."""
-    return _words(spans.replaced(text, base_spans(text), lambda kind: F.lit(" ")))
+def _beside(text: Column) -> Column:
+    """A text outside its direct identifiers."""
+    return spans.replaced(text, base_spans(text), lambda kind: F.lit(" "))
+
+
+def _names(line: Column) -> Column:
+    """Lower-case words of a line that are written like names: capitalised inside a sentence, or in a line of few, all capitalised words."""
+    inside = F.regexp_extract_all(line, F.lit(NAME_INSIDE), F.lit(0))
+    alone = F.when(F.rlike(line, F.lit(NAME_LINE)), F.filter(F.split(line, r"[^\p{L}]+"), lambda w: w != ""))
+    return F.transform(F.concat(inside, F.coalesce(alone, F.array().cast("array<string>"))), F.lower)
+
+
+def _of_entity(term: Column, entity: Column) -> Column:
+    """Whether the name part of an e-mail address holds the term."""
+    part = F.lower(F.regexp_extract(entity, r"^email:([^@]*)@", 1))
+    return (F.length(term) > 3) & F.contains(part, term)
+
 
+def _disclosing(pairs: DataFrame, of_term: DataFrame, of_entity: DataFrame, total: int, prior: float, least: tuple[float, float]) -> DataFrame:
+    """(term, entity, share, bits) of the pairs that reach the share, shrunk for little distinct evidence, and the bits,
+    and are either written like names or meet more often than chance lets any of all these pairs meet.
 
-def _disclosing(
-    pairs: DataFrame, of_term: DataFrame, of_entity: DataFrame, total: int, prior: float, min_share: float, min_bits: float
-) -> DataFrame:
-    """(term, entity, share, bits) of the pairs that reach both thresholds, the share when shrunk for little distinct evidence."""
+    By chance a term of d / share different contents meets an entity of ``distinct_entity`` ones
+    ``met`` times. Every term beside an entity has met it once, so the first meeting proves nothing;
+    each further one has that probability, and there are as many trials as pairs.
+    """
     share = F.least(F.col("n_both") / F.col("n_term"), F.lit(1.0))
     sure = share * F.col("distinct") / (F.col("distinct") + prior)
+    bits = F.log2(share * total / F.col("n_entity"))
+    met = F.least(F.col("distinct") / share * F.col("distinct_entity") / total, F.lit(1.0))
+    beyond_chance = -(F.col("distinct") - 1) * F.log2(met) >= log2(max(2, pairs.count()))
     return (
         pairs.join(of_term, "term")
         .join(of_entity, "entity")
-        .select("term", "entity", share.alias("share"), sure.alias("sure"), F.log2(share * total / F.col("n_entity")).alias("bits"))
-        .filter((F.col("sure") >= min_share) & (F.col("bits") >= min_bits))
-        .drop("sure")
+        .filter((sure >= least[0]) & (bits >= least[1]) & (F.col("named") | beyond_chance))
+        .select("term", "entity", share.alias("share"), bits.alias("bits"))
     )
 
 
 def _counted(rows: DataFrame) -> DataFrame:
-    """(entity, term, n_both, distinct) of rows (entity, term, mark, n): how often they meet, and on how many different contents."""
-    once = rows.groupBy("entity", "term", "mark").agg(F.sum("n").alias("n"))
-    return once.groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("distinct"))
+    """(entity, term, n_both, distinct, named) of rows (entity, term, mark, n, named): how often they meet, on how many different
+    contents, and whether the term is written like a name there. Unnamed pairs that meet on one content only are left out."""
+    once = rows.groupBy("entity", "term", "mark").agg(F.sum("n").alias("n"), F.max("named").alias("named"))
+    met = once.groupBy("entity", "term").agg(
+        F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("distinct"), F.max("named").alias("named")
+    )
+    return met.withColumn("named", F.col("named") | _of_entity(F.col("term"), F.col("entity"))).filter("named or distinct > 1")
+
+
+def _term_counts(texts: DataFrame, terms: DataFrame, documents: bool) -> DataFrame:
+    """(term, lines, documents): in how many lines and documents each of the terms stands, by one reading of all texts."""
+    of_lines = F.transform(F.split("text", "\n"), _words)
+    one = lambda line: lambda w: F.struct(w.alias("term"), F.lit(line).alias("of_line"))
+    each = F.transform(F.flatten("words"), one(True))
+    if documents:
+        each = F.concat(each, F.transform(F.array_distinct(F.flatten("words")), one(False)))
+    words = texts.select(of_lines.alias("words")).select(F.explode_outer(each).alias("word")).select("word.*")
+    return join_measured(words, terms, "term", "left_semi").groupBy("term").agg(
+        F.count_if("of_line").alias("lines"), F.count_if(~F.col("of_line")).alias("documents")
+    )
 
 
 def revealing_terms(docs: DataFrame, text_col: str = "text", min_share: float = 0.5, min_bits: float = 6.0) -> DataFrame:
@@ -102,55 +142,59 @@ def revealing_terms(docs: DataFrame, text_col: str = "text", min_share: float =
     term that meet the entity, ``bits`` how much more likely the entity is there than anywhere
     (pointwise mutual information). Both have to reach their thresholds, the share after it is shrunk by
     d / (d + prior), d the number of different lines (documents) on which they meet, so copies
-    are no further evidence. One line is enough for a term found nowhere else, be the entity
-    seen once; among all words of a document it takes two different ones.
+    are no further evidence. A rare word stands beside some entity or other by chance, so that alone
+    is no disclosure: a term has to meet the entity on several different contents, more often than chance
+    explains for any of the pairs counted, or be written like a name (``_names``), or be part of the
+    entity's own address. One line is enough for such a name found nowhere else, be the entity seen
+    once. In languages that capitalise all nouns, a rare noun beside an entity passes for a name.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     # Outer forms: for the plain ones the optimizer adds a filter on the array, below which it is computed once more.
-    lines = docs.select(F.split(text, "\n").alias("all")).select("all", F.posexplode("all").alias("at", "line"))
+    lines = docs.select(F.xxhash64(text).alias("mark"), F.split(text, "\n").alias("all"))
+    lines = lines.select("mark", "all", F.posexplode("all").alias("at", "line"))
     around = F.slice("all", F.greatest(F.col("at"), F.lit(1)), F.when(F.col("at") == 0, 2).otherwise(3))
+    # No identifier reaches over a line end, so those of the documents are those of their lines.
     protected = materialised(
         lines.filter(_likely(F.col("line")))
-        .select("line", around.alias("around"))
-        .groupBy("line", "around")
+        .select("mark", "at", "line", around.alias("around"))
+        .groupBy("mark", "at", "line", "around")
         .agg(F.count(F.lit(1)).alias("n"))
-        .select("around", "n", base_spans(F.col("line")).alias("found"))
+        .select("mark", F.xxhash64("line").alias("own"), "around", "n", base_spans(F.col("line")).alias("found"))
         .filter(F.size("found") > 0)
-        .select("around", "n", F.explode(_entities(F.col("found"))).alias("entity"))
+        .select("mark", "own", "around", "n", F.explode(_entities(F.col("found"))).alias("entity"))
     )
+    none = docs.sparkSession.createDataFrame([], "term string, entity string, share double, bits double")
+    if protected.isEmpty():
+        return none
     near = protected.select("entity", "n", F.explode("around").alias("line"))
-    near = near.select("entity", "n", F.xxhash64("line").alias("mark"), F.explode(_words_beside(F.col("line"))).alias("term"))
-    by_line = materialised(_counted(near))
+    near = near.select("entity", "n", F.xxhash64("line").alias("mark"), _beside(F.col("line")).alias("rest"))
+    near = near.select("entity", "n", "mark", _names(F.col("rest")).alias("names"), F.explode(_words(F.col("rest"))).alias("term"))
+    by_line = materialised(_counted(near.withColumn("named", F.array_contains("names", F.col("term"))).drop("names")))
+    of_line_entity = protected.groupBy("entity").agg(
+        F.sum("n").alias("n_entity"), F.count_distinct("own").alias("distinct_entity")
+    )
 
     # Entities of one document only cannot reach the share there, so words are counted only for the others.
-    marked = docs.filter(_likely(text)).select(F.xxhash64(text).alias("mark"), text.alias("text"))
-    named = marked.select("mark", F.explode_outer(_entities(base_spans(F.col("text")))).alias("entity")).filter("entity is not null")
-    named = materialised(named.groupBy("entity", "mark").agg(F.count(F.lit(1)).alias("n")))
-    of_entity = named.groupBy("entity").agg(F.sum("n").alias("n_entity"), F.count(F.lit(1)).alias("distinct"))
-    of_entity = materialised(of_entity.filter(F.col("distinct") / (F.col("distinct") + DOCUMENT_PRIOR) >= min_share).drop("distinct"))
+    named = materialised(protected.groupBy("entity", "mark").agg(F.max("n").alias("n")))
+    of_entity = named.groupBy("entity").agg(F.sum("n").alias("n_entity"), F.count(F.lit(1)).alias("distinct_entity"))
+    of_entity = of_entity.filter(F.col("distinct_entity") / (F.col("distinct_entity") + DOCUMENT_PRIOR) >= min_share)
+    of_entity = materialised(of_entity)
     named = materialised(join_measured(named, of_entity.select("entity"), "entity", "left_semi"))
+    marked = docs.select(F.xxhash64(text).alias("mark"), text.alias("text"))
     texts = join_measured(marked, named.select("mark").distinct(), "mark", "left_semi").dropDuplicates(["mark"])
-    words = texts.select("mark", F.explode_outer(_words_beside(F.col("text"))).alias("term")).filter("term is not null")
-    by_document = materialised(_counted(named.join(words.hint("merge"), "mark")))
-
-    def of_term(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-        words = texts.select(F.explode_outer(_words(F.col("text"))).alias("term"))
-        return join_measured(words, pairs.select("term").distinct(), "term", "left_semi").groupBy("term").agg(
-            F.count(F.lit(1)).alias("n_term")
-        )
-
-    found = docs.sparkSession.createDataFrame([], "term string, entity string, share double, bits double")
-    if not by_line.isEmpty():
-        of_line_entity = protected.groupBy("entity").agg(F.sum("n").alias("n_entity"))
-        each = docs.select(F.explode_outer(F.split(text, "\n")).alias("text"))
-        found = found.unionByName(
-            _disclosing(by_line, of_term(by_line, each), of_line_entity, each.count(), LINE_PRIOR, min_share, min_bits)
-        )
-    if not by_document.isEmpty():
-        each = docs.select(text.alias("text"))
-        found = found.unionByName(
-            _disclosing(by_document, of_term(by_document, each), of_entity, each.count(), DOCUMENT_PRIOR, min_share, min_bits)
-        )
+    words = texts.select("mark", F.explode_outer(_words(_beside(F.col("text")))).alias("term")).filter("term is not null")
+    by_document = materialised(_counted(named.join(words.hint("merge"), "mark").withColumn("named", F.lit(False))))
+
+    terms = by_line.select("term").unionByName(by_document.select("term")).distinct()
+    counts = materialised(_term_counts(marked.select("text"), terms, not by_document.isEmpty()))
+    n_lines = F.sum(F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1)
+    total_lines, total_documents = docs.agg(n_lines, F.count(F.lit(1))).first()
+    least = (min_share, min_bits)
+    of_lines = counts.select("term", F.col("lines").alias("n_term"))
+    of_documents = counts.select("term", F.col("documents").alias("n_term"))
+    found = _disclosing(by_line, of_lines, of_line_entity, total_lines, LINE_PRIOR, least).unionByName(
+        _disclosing(by_document, of_documents, of_entity, total_documents, DOCUMENT_PRIOR, least)
+    )
     return found.groupBy("term", "entity").agg(F.max("share").alias("share"), F.max("bits").alias("bits"))
 
 

@@ -126,3 +126,36 @@ def test_terms_beside_entities_seen_once_or_twice(spark, docs_of):
     clean = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
     assert clean[0] == "the day of [TERM], [EMAIL]" and clean[1].startswith("[TERM]\nthe day: [PHONE]")
     assert clean[2].startswith("the [TERM] day") and clean[10] == plain[6]
+
+
+def planted(names):
+    """Texts with each name on one line beside an address of its own, among rare lower-case words, and names beside none."""
+    rare = lambda k: "".join(chr(97 + (k // 26**j) % 26) for j in range(3)) + "wort"
+    kinds = (
+        "{0} please write to {1} at {2} {0}",
+        "{0} the {0}x\n{1}\n{2}",
+        "{0} ask for {1}, {2}",
+        "{1} <{2}>\n{0} plain {0}y",
+    )
+    beside = [kinds[k % 4].format(rare(k), name, f"box{k}@isle.example") for k, name in enumerate(names)]
+    plain = [f"the weather of {rare(1000 + k)} and {rare(2000 + k)}\nis plain like any other" for k in range(400)]
+    return beside + [f"a day of Placename{chr(97 + k)} and rain" for k in range(20)] + plain
+
+
+def test_planted_names_are_found_and_rare_words_left(spark, docs_of):
+    ending = lambda k: chr(97 + k // 26) + chr(97 + k % 26)
+    names = [f"Quill{ending(k)}er Marsh{ending(k)}" for k in range(60)]
+    want = {word.lower() for name in names for word in name.split()}
+    found = {r.term for r in pii.revealing_terms(docs_of(planted(names))).collect()}
+    assert len(found & want) >= 0.95 * len(want)  # recall
+    assert len(found & want) >= 0.95 * len(found)  # precision: the rare words beside the addresses stay
+
+
+def test_rare_words_beside_identifiers_are_left_alone(spark, docs_of):
+    docs = docs_of([t.lower() for t in planted([f"quill{chr(97 + k)}" for k in range(20)])])
+    assert pii.revealing_terms(docs).count() == 0
+
+
+def test_a_term_that_is_part_of_the_address(spark, docs_of):
+    docs = docs_of(["mail of oberholtzer: j.oberholtzer@isle.example or so"] + [f"mail day {k}" for k in range(200)])
+    assert {r.term for r in pii.revealing_terms(docs).collect()} == {"oberholtzer"}
