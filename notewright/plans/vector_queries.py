@@ -156,6 +156,25 @@ def knn_all_cells(spark, sf_dir):
     return search_index(spark, path, first, k=3, probes=16).select("id", F.round("score", 6).alias("score"))
 
 
+@query(
+    f"""SELECT query_id, id, round(score, 6) AS score, rank, 'vector ' || id || ' of label ' || label AS text FROM
+          (SELECT q.query_id, e.vec_id AS id, e.label, {_COSINE} AS score,
+                  row_number() OVER (PARTITION BY q.query_id ORDER BY {_COSINE} DESC, e.vec_id) AS rank
+           FROM embeddings e, (SELECT vec_id AS query_id, embedding FROM embeddings WHERE vec_id % 50 = 0) q)
+        WHERE rank <= 3"""
+)
+def knn_batch_all_cells(spark, sf_dir):
+    """A table of queries joined with the index by cell, every cell probed, and the hits' texts."""
+    vectors = table(spark, sf_dir, "embeddings")
+    path = scratch_path(spark, "index")
+    build_index(vectors, path, cells=16)
+    queries = vectors.filter("vec_id % 50 = 0").withColumnRenamed("vec_id", "query_id")
+    hits = search_batch(spark, path, queries, k=3, probes=16)
+    text = F.concat(F.lit("vector "), F.col("vec_id").cast("string"), F.lit(" of label "), F.col("label").cast("string"))
+    hits = hits.select("query_id", "id", F.round("score", 6).alias("score"), F.col("rank").cast("bigint").alias("rank"))
+    return with_payload(hits, vectors.withColumn("text", text)).select("query_id", "id", "score", "rank", "text")
+
+
 @query()
 def knn_approximate(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")

@@ -182,3 +182,33 @@ def test_default_probes_reach_the_recall(spark, tmp_path):
         one = {(50, r["id"]) for r in search_index(spark, path, matrix[50].tolist(), k).collect()}
         assert one == {pair for pair in hits if pair[0] == 50}
     assert spark.read.parquet(f"{path}/probes").filter("recall < 0.9").count() == 0
+
+
+def test_batch_by_cells_with_large_cells_and_many_queries(spark, vectors, tmp_path, monkeypatch):
+    matrix, frame = vectors
+    path = str(tmp_path / "index")
+    build_index(frame, path, cells=12)
+    monkeypatch.setattr(ann, "CELL_ROWS", 60)
+    monkeypatch.setattr(ann, "QUERY_BLOCK", 7)
+    queries = frame.filter("vec_id % 9 = 0").withColumnRenamed("vec_id", "query_id")
+    got = ann.search_batch(spark, path, queries.unionByName(queries.limit(1).select(F.lit(-1).alias("query_id"), F.lit(None).alias("embedding"))), 4, probes=12)
+    want = nearest_batch(frame, queries, 4)
+    rows = lambda found: sorted((r["query_id"], r["rank"], round(r["score"], 9)) for r in found.collect())
+    assert rows(got) == rows(want) and got.count() == 4 * queries.count()
+    plan = got._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    few = ann.search_batch(spark, path, queries.limit(2), 1500, probes=1)
+    assert few.groupBy("query_id").count().filter("count = 1500").count() == 2
+    assert ann.search_batch(spark, path, queries.limit(0), 4).count() == 0
+
+
+def test_index_built_on_samples(spark, vectors, tmp_path, monkeypatch):
+    matrix, frame = vectors
+    monkeypatch.setattr(ann, "FIT_ROWS", 300)
+    monkeypatch.setattr(ann, "MEASURED_QUERIES", 10)
+    path = str(tmp_path / "index")
+    build_index(frame, path)
+    assert spark.read.parquet(f"{path}/cells").count() == len(matrix)
+    assert spark.read.parquet(f"{path}/centres").agg(F.sum("n")).first()[0] == len(matrix)
+    everything = ann.search_batch(spark, path, frame.filter("vec_id = 42").withColumnRenamed("vec_id", "query_id"), 5, probes=10**6)
+    assert [r["id"] for r in everything.orderBy("rank").collect()] == brute(matrix, matrix[42], 5)[0]
