@@ -19,6 +19,7 @@ BANDS = 32
 _CHUNK = 8192
 _FIRST = -(2**63)
 PARTS_OF_A_TASK = 4
+TASK_BYTES = 128 * 1024 * 1024  # of text in a task that fingerprints ordered runs
 
 
 def permutations(count: int = PERMUTATIONS, seed: int = 17) -> tuple[np.ndarray, np.ndarray]:
@@ -117,6 +118,12 @@ def near_duplicates(
     return join_documents(docs, id_col, text_col, shingle, percent, find)
 
 
+def parts_for(docs: DataFrame, text_col: str = "text", least: int = 1) -> int:
+    """Parts into which ``ordered_with_next`` cuts the table, so that a task gets about ``TASK_BYTES`` of text; ``least`` or more."""
+    size = docs.agg(F.coalesce(F.sum(F.octet_length(F.col(text_col))), F.lit(0))).first()[0]
+    return PARTS_OF_A_TASK * max(least, -(-size // TASK_BYTES))
+
+
 def ordered_with_next(docs: DataFrame, parts: int) -> DataFrame:
     """Rows (part, doc_id, text, guest) such that each part, by doc_id and text, is a run of the table and ends in the next part's first row.
 
@@ -166,12 +173,12 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - changed] + following[:changed]
 
 
-def compare_edits(docs: DataFrame, parts: int, shingle: int = SHINGLE) -> DataFrame:
+def compare_edits(docs: DataFrame, parts: int | None = None, shingle: int = SHINGLE) -> DataFrame:
     """Each row's fingerprint against those of its edited text and of the next row.
 
     Returns doc_id, n_chars, edited (the text), fingerprint, edited_fingerprint, near_edited
     and near_next. Rows are ordered by doc_id (null first), then text; the last is followed by
-    the first, a single row by itself. Null texts count as empty.
+    the first, a single row by itself. Null texts count as empty. Without ``parts`` their number follows the size of the texts.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,7 +218,7 @@ def compare_edits(docs: DataFrame, parts: int, shingle: int = SHINGLE) -> DataFr
     ]
     if docs.isEmpty():
         return docs.sparkSession.createDataFrame([], _EDITS)
-    return ordered_with_next(docs, parts).mapInArrow(run, _EDITS)
+    return ordered_with_next(docs, parts or parts_for(docs)).mapInArrow(run, _EDITS)
 
 
 _EDITS = (

@@ -122,8 +122,9 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = minhash.PARTS_OF_A_TASK * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found = minhash.compare_edits(_table(spark, sf_dir, "documents").select("doc_id", "text"), parts)
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    parts = minhash.parts_for(docs, least=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    found = minhash.compare_edits(docs, parts)
     return found.select(
         "doc_id",
         "n_chars",
