@@ -21,7 +21,7 @@ EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?+[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-NAME_INSIDE = r"(?<=[\p{L}\p{N},;]\x20[\"'(]?)\p{Lu}\p{Ll}{2,}(?!\p{L})"
+NAME_INSIDE = r"(?<=[\p{L},;]\x20[\"'(]?)\p{Lu}\p{Ll}{2,}(?!\p{L})"
 NAME_LINE = r"^\P{L}*(?:\p{Lu}\p{Ll}+\P{L}+){0,3}\p{Lu}\p{Ll}+\P{L}*$"
 IP_PARTS = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})(?:\.|$)){4}$"
 
@@ -60,8 +60,8 @@ def base_spans(text: Column) -> Column:
 
 
 def _words(text: Column) -> Column:
-    """Distinct lower-case words of three letters or more."""
-    return F.filter(F.array_distinct(F.split(F.lower(text), r"[^\p{L}]+")), lambda w: F.length(w) > 2)
+    """Distinct lower-case words; those of less than three letters are no terms, and left out where terms are chosen."""
+    return F.array_distinct(F.split(F.lower(text), r"[^\p{L}]+"))
 
 
 def _likely(text: Column) -> Column:
@@ -73,8 +73,8 @@ def _entities(found: Column) -> Column:
 
 
 def _beside(text: Column) -> Column:
-    """A text outside its direct identifiers."""
-    return spans.replaced(text, base_spans(text), lambda kind: F.lit(" "))
+    """A text outside its e-mail addresses, the only direct identifiers with letters."""
+    return F.when(F.contains(text, F.lit("@")), F.regexp_replace(text, EMAIL, " ")).otherwise(text)
 
 
 def _names(line: Column) -> Column:
@@ -114,7 +114,7 @@ def _disclosing(pairs: DataFrame, of_term: DataFrame, of_entity: DataFrame, tota
 def _counted(rows: DataFrame) -> DataFrame:
     """(entity, term, n_both, distinct, named) of rows (entity, term, mark, n, named): how often they meet, on how many different
     contents, and whether the term is written like a name there. Unnamed pairs that meet on one content only are left out."""
-    once = rows.groupBy("entity", "term", "mark").agg(F.sum("n").alias("n"), F.max("named").alias("named"))
+    once = rows.filter(F.length("term") > 2).groupBy("entity", "term", "mark").agg(F.sum("n").alias("n"), F.max("named").alias("named"))
     met = once.groupBy("entity", "term").agg(
         F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("distinct"), F.max("named").alias("named")
     )
@@ -123,12 +123,11 @@ def _counted(rows: DataFrame) -> DataFrame:
 
 def _term_counts(texts: DataFrame, terms: DataFrame, documents: bool) -> DataFrame:
     """(term, lines, documents): in how many lines and documents each of the terms stands, by one reading of all texts."""
-    of_lines = F.transform(F.split("text", "\n"), _words)
-    one = lambda line: lambda w: F.struct(w.alias("term"), F.lit(line).alias("of_line"))
-    each = F.transform(F.flatten("words"), one(True))
+    piece = lambda of_line: lambda part: F.struct(part.alias("part"), F.lit(of_line).alias("of_line"))
+    pieces = F.transform(F.split("text", "\n"), piece(True))
     if documents:
-        each = F.concat(each, F.transform(F.array_distinct(F.flatten("words")), one(False)))
-    words = texts.select(of_lines.alias("words")).select(F.explode_outer(each).alias("word")).select("word.*")
+        pieces = F.concat(pieces, F.array(piece(False)(F.col("text"))))
+    words = texts.select(F.explode_outer(pieces).alias("piece")).select("piece.of_line", F.explode_outer(_words(F.col("piece.part"))).alias("term"))
     return join_measured(words, terms, "term", "left_semi").groupBy("term").agg(
         F.count_if("of_line").alias("lines"), F.count_if(~F.col("of_line")).alias("documents")
     )
@@ -141,8 +140,8 @@ def revealing_terms(docs: DataFrame, text_col: str = "text", min_share: float =
     above or below, and by documents. ``share`` is the part of the lines (documents) with the
     term that meet the entity, ``bits`` how much more likely the entity is there than anywhere
     (pointwise mutual information). Both have to reach their thresholds, the share after it is shrunk by
-    d / (d + prior), d the number of different lines (documents) on which they meet, so copies
-    are no further evidence. A rare word stands beside some entity or other by chance, so that alone
+    d / (d + prior), d the number of different lines on which they meet (by documents: of different lines
+    that name the entity), so copies are no further evidence. A rare word stands beside some entity or other by chance, so that alone
     is no disclosure: a term has to meet the entity on several different contents, more often than chance
     explains for any of the pairs counted, or be written like a name (``_names``), or be part of the
     entity's own address. One line is enough for such a name found nowhere else, be the entity seen
@@ -174,16 +173,18 @@ def revealing_terms(docs: DataFrame, text_col: str = "text", min_share: float =
         F.sum("n").alias("n_entity"), F.count_distinct("own").alias("distinct_entity")
     )
 
-    # Entities of one document only cannot reach the share there, so words are counted only for the others.
-    named = materialised(protected.groupBy("entity", "mark").agg(F.max("n").alias("n")))
-    of_entity = named.groupBy("entity").agg(F.sum("n").alias("n_entity"), F.count(F.lit(1)).alias("distinct_entity"))
+    # Documents that name an entity on the same line may be edited copies, and count as one content. Entities
+    # of one content cannot reach the share by documents, so words are counted only for the others.
+    named = materialised(protected.groupBy("entity", "mark").agg(F.max("n").alias("n"), F.min("own").alias("own")))
+    of_entity = named.groupBy("entity").agg(F.sum("n").alias("n_entity"), F.count_distinct("own").alias("distinct_entity"))
     of_entity = of_entity.filter(F.col("distinct_entity") / (F.col("distinct_entity") + DOCUMENT_PRIOR) >= min_share)
     of_entity = materialised(of_entity)
     named = materialised(join_measured(named, of_entity.select("entity"), "entity", "left_semi"))
     marked = docs.select(F.xxhash64(text).alias("mark"), text.alias("text"))
     texts = join_measured(marked, named.select("mark").distinct(), "mark", "left_semi").dropDuplicates(["mark"])
     words = texts.select("mark", F.explode_outer(_words(_beside(F.col("text")))).alias("term")).filter("term is not null")
-    by_document = materialised(_counted(named.join(words.hint("merge"), "mark").withColumn("named", F.lit(False))))
+    met = named.join(words.hint("merge"), "mark").select("entity", "term", F.col("own").alias("mark"), "n", F.lit(False).alias("named"))
+    by_document = materialised(_counted(met))
 
     terms = by_line.select("term").unionByName(by_document.select("term")).distinct()
     counts = materialised(_term_counts(marked.select("text"), terms, not by_document.isEmpty()))

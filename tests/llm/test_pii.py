@@ -159,3 +159,8 @@ def test_rare_words_beside_identifiers_are_left_alone(spark, docs_of):
 def test_a_term_that_is_part_of_the_address(spark, docs_of):
     docs = docs_of(["mail of oberholtzer: j.oberholtzer@isle.example or so"] + [f"mail day {k}" for k in range(200)])
     assert {r.term for r in pii.revealing_terms(docs).collect()} == {"oberholtzer"}
+
+
+def test_edited_copies_of_a_document_are_no_evidence(spark, docs_of):
+    copies = [f"rareword and oddword\nplain line {k}\nplain\nplain\nwrite to a@b.cd" for k in range(6)]
+    assert pii.revealing_terms(docs_of(copies + [f"plain day {k}" for k in range(600)])).count() == 0
