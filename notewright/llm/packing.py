@@ -10,12 +10,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from notewright.llm.bytebpe import byte_bpe, read_vocabulary
+from notewright.llm.bytebpe import ByteBpe, byte_bpe, read_vocabulary
 from notewright.llm.shingles import give_back, texts_of
+from notewright.session import small_batches
 
 LINEAR_COST = 1.0
 QUADRATIC_COST = 1.0 / 2048  # attention weighs as much as the linear layers at this length
-SHARD_ROWS = 2000  # rows that are packed together
+SHARD_ROWS = 2000  # rows that are packed together at most
+SHARD_TOKENS = 4_000_000  # and tokens, up to the row that reaches them
 _SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
@@ -61,9 +63,9 @@ def pack(
 
     A row's ids are those of its text (null: empty) and then ``end_id``. Runs of ``capacity``
     ids fill sequences of their own; what remains of each row is placed by ``balance`` among
-    the same ``SHARD_ROWS`` rows, so no row moves between tasks and each such shard is padded by less
-    than one sequence. Sequence ids name the partition in their upper half, so a task
-    that runs again gives the same ids.
+    the same shard of ``SHARD_ROWS`` rows or ``SHARD_TOKENS`` tokens, so no row moves between tasks and each such
+    shard is padded by less than one sequence. A shard spans Arrow batches, which are kept small. Sequence ids name
+    the partition in their upper half, so a task that runs again gives the same ids.
 
     Returns one row per piece: doc_id, start (ids of the row before it), length, ids
     (little-endian unsigned 32-bit), doc_tokens, sequence_id and offset within the sequence.
@@ -74,18 +76,25 @@ def pack(
     if capacity < 1:
         raise ValueError("capacity must be positive")
     vocabulary = read_vocabulary(vocabulary_path)
+    small_batches(docs.sparkSession)
 
-    def shards(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for at in range(0, batch.num_rows, SHARD_ROWS):
-            yield batch.slice(at, SHARD_ROWS)
+    def shards(batches: Iterator[pa.RecordBatch], encoder: ByteBpe) -> Iterator[tuple[list[int | None], list[np.ndarray]]]:
+        doc_ids, ids, tokens = [], [], 0
+        for batch in batches:
+            for doc_id, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
+                doc_ids.append(doc_id)
+                ids.append(np.append(encoder.ids(text or ""), np.uint32(end_id)))
+                tokens += len(ids[-1])
+                if len(ids) == SHARD_ROWS or tokens >= SHARD_TOKENS:
+                    yield doc_ids, ids
+                    doc_ids, ids, tokens = [], [], 0
+        if ids:
+            yield doc_ids, ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = byte_bpe(vocabulary)
         context = TaskContext.get()
         next_sequence = (context.partitionId() if context else 0) << 32
-        for batch in (part for whole in batches for part in shards(whole)):
-            doc_ids = batch.column(0).to_pylist()
-            ids = [np.append(encoder.ids(text or ""), np.uint32(end_id)) for text in texts_of(batch.column(1))]
+        for doc_ids, ids in shards(batches, byte_bpe(vocabulary)):
             sizes = np.array([len(x) for x in ids], dtype=np.int64)
             rows: list[tuple] = []  # of (row, start, length, sequence, offset)
             for row, whole in enumerate(sizes // capacity):

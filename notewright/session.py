@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def build_session(master: str | None = None, app_name: str = "notewright", **settings: str) -> SparkSession:
@@ -58,3 +59,12 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     path = scratch_path(frame.sparkSession, name)
     frame.write.parquet(path)
     return frame.sparkSession.read.parquet(path)
+
+
+def small_batches(spark: SparkSession, most: str = "4m") -> None:
+    """Have Arrow batches of texts hold ``most`` bytes at once, for the session where nothing else is set.
+
+    Spark counts rows alone otherwise, and 10,000 texts take several times their size in the executor and once more in its Python worker.
+    """
+    if spark.conf.get(_BATCH_BYTES, None) is None:
+        spark.conf.set(_BATCH_BYTES, most)

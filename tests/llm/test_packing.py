@@ -12,7 +12,7 @@ from tokenizers import Tokenizer  # noqa: E402
 
 from notewright.llm import packing  # noqa: E402
 from notewright.llm.bytebpe import ByteBpe, read_vocabulary  # noqa: E402
-from notewright.llm.queries import QUERIES  # noqa: E402
+from notewright.llm.queries import QUERIES, packed  # noqa: E402
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 ODD = [None, "", " ", "a", "<|endoftext|>x", "  two  \n\nlines\t", "é🙂" * 40, "word " * 3000, "z" * 5000, "a", "a"]
@@ -76,3 +76,25 @@ def test_query_on_table(spark, small_sf, encoders):
 
 def test_empty_table(spark, docs_of):
     assert packing.pack(docs_of([]), PATH).count() == 0
+
+
+def test_shards_span_small_batches(spark, docs_of, encoders):
+    """Batches of few rows or bytes bound the memory; they must not cost padding."""
+    texts = [f"text {i} " * (1 + i % 40) for i in range(300)]
+    docs = docs_of(texts).coalesce(1)
+    rows_of_batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(rows_of_batch)
+    spark.conf.set(rows_of_batch, "10")
+    try:
+        sequences = check_pieces(packed(docs).collect(), texts, encoders[1], 1024)
+    finally:
+        spark.conf.set(rows_of_batch, before)
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "4m"
+    assert sum(1024 - sum(n for _, n in s) for s in sequences.values()) < 1024
+
+
+def test_shards_end_at_their_tokens(spark, docs_of, encoders, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_TOKENS", 2000)
+    texts = ["word " * 300] * 40
+    sequences = check_pieces(packed(docs_of(texts).coalesce(1)).collect(), texts, encoders[1], 1024)
+    assert len(sequences) > -(-40 * 302 // 1024)  # each shard ends with a sequence of its own
