@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from notewright.llm.shingles import texts_of
-from notewright.session import stored
+from notewright.session import Scratch
 
 CLASSES, PER_CLASS = 32, 16
 CONTEXTS = CLASSES * PER_CLASS
@@ -397,23 +397,28 @@ def fit(texts: DataFrame, rounds: int = 1) -> Model:
     The classes are seated over one table for each pair first; pairs are drawn under their
     probabilities, and the classes are then seated again over the tables drawn.
     """
+    scratch = Scratch(texts.sparkSession)
+    stored = scratch.stored
     pairs = stored(pair_counts(texts), "lm-pairs")
     tokens, once, twice = pairs.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first()
     discount = float(np.clip(once / max(once + 2 * twice, 1), 0.05, 0.95))
-    before = stored(pairs.groupBy("v").agg(F.sum("c").alias("customers"), F.count(F.lit(1)).cast("double").alias("tables")), "lm-before")
+    alone = stored(pairs.groupBy("v").agg(F.sum("c").alias("customers"), F.count(F.lit(1)).cast("double").alias("tables")), "lm-before")
     counts = stored(class_counts(pairs), "lm-counts")
-    drawn = stored(draw_pairs(pairs, before, _words(counts, _add_up(counts, None)), discount), "lm-drawn")
+    drawn = stored(draw_pairs(pairs, alone, _words(counts, _add_up(counts, None)), discount), "lm-drawn")
+    scratch.drop(counts)
 
     more = drawn.groupBy("v").agg(F.sum(F.col("mean") - 1).alias("more"))
     before = stored(
-        before.join(more, "v", "left").select("v", "customers", (F.col("tables") + F.coalesce("more", F.lit(0.0))).alias("tables")),
+        alone.join(more, "v", "left").select("v", "customers", (F.col("tables") + F.coalesce("more", F.lit(0.0))).alias("tables")),
         "lm-before",
     )
+    scratch.drop(alone)
     counts = stored(class_counts(pairs, drawn), "lm-counts")
     totals = _add_up(counts, None)
     for _ in range(rounds):
         totals = _add_up(counts, totals)
     words = stored(_words(counts, totals), "lm-words")
+    scratch.drop(counts)
 
     seated = pairs.filter("c = 1").select("w", "v", "x", "c", F.lit(1.0).alias("mean"))
     seated = seated.unionByName(drawn.select("w", "v", "x", "c", "mean"))
@@ -424,7 +429,9 @@ def fit(texts: DataFrame, rounds: int = 1) -> Model:
         .join(_by_context(words).hint("merge"), ["w", "x"])
         .select("w", "v", "c", "n", F.log10(F.col("own") + F.col("back") * F.col("p")).alias("lp"))
     )
-    return Model(replace(totals, tokens=float(tokens)), words, stored(seen, "lm-seen"), before, discount)
+    seen = stored(seen, "lm-seen")
+    scratch.drop(pairs, drawn)
+    return Model(replace(totals, tokens=float(tokens)), words, seen, before, discount)
 
 
 def _pair_keys(words: np.ndarray, before: np.ndarray) -> np.ndarray:
@@ -446,7 +453,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     Tokens of the most frequent pairs are scored where they are read, from a table of fixed
     size. The others move to their pair's row of the model; those whose pair was never seen go on to
     the row of the word before and to their word's row. Probabilities are added up
-    per row of ``docs``; a row that tells the id and what was scored in place goes along. Null and empty
+    per row of ``docs``; a row that tells the id and what was scored in place goes along. What met its pair is
+    stored when this is called, so ``docs`` are read once. Null and empty
     texts are one end token; repeated rows are scored each for itself; an empty table gives no
     rows. Without training texts every token has the base's probability of an unknown word.
     """
@@ -511,19 +519,20 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     alone = F.coalesce("lp0", F.lit(float(np.log10(totals.unknown()))))
     in_class = F.coalesce(listed("x1", "lp1", kind), F.get(b1, kind.cast("int")) + alone)
     in_context = F.coalesce(listed("x2", "lp2", F.col("x")), F.get(b2, F.col("x").cast("int")) + in_class)
-    # Both parts read the same columns, so that what moved is moved once.
+    # Stored, as Spark would run the tokens and their exchange anew for each of the two parts.
     met = moved.join(model.pairs.select("w", "v", "n", "lp").hint("merge"), ["w", "v"], "left")
-    found = F.coalesce(F.col("lp") + F.col("n"), F.when(F.col("x") < 0, 0.0))
+    done = F.col("n").isNotNull() | F.col("info").isNotNull()
+    met = met.select("row", "info", "n", "lp", *[F.when(~done, F.col(k)).alias(k) for k in ("w", "v", "x")])
+    met = Scratch(docs.sparkSession).stored(met, "lm-met")
     based = lambda n: F.log10((n + 1) / F.lit(spread))
-    token = F.col("x") >= 0
-    seen = met.filter(found.isNotNull()).select(
+    seen = met.filter(done).select(
         "row",
         "info",
-        F.when(token, F.col("lp")).otherwise(F.col("info.score")).alias("score"),
-        F.when(token, based(F.col("n"))).otherwise(F.col("info.base")).alias("base"),
-        F.when(token, F.lit(1).cast("long")).otherwise(F.col("info.known")).alias("known"),
+        F.coalesce("info.score", "lp").alias("score"),
+        F.coalesce("info.base", based(F.col("n"))).alias("base"),
+        F.coalesce("info.known", F.lit(1).cast("long")).alias("known"),
     )
-    unseen = met.filter(found.isNull()).select("w", "v", "x", "row", "info")
+    unseen = met.filter(~done).select("w", "v", "x", "row", "info")
     unseen = unseen.join(model.before.select("v", F.log10(model.backoff()).alias("back")).hint("merge"), "v", "left")
     unseen = unseen.join(model.words.hint("merge"), "w", "left").select(
         "row",

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def build_session(master: str | None = None, app_name: str = "notewright", **settings: str) -> SparkSession:
@@ -68,3 +69,34 @@ def small_batches(spark: SparkSession, most: str = "4m") -> None:
     """
     if spark.conf.get(_BATCH_BYTES, None) is None:
         spark.conf.set(_BATCH_BYTES, most)
+
+
+class Scratch:
+    """Tables of one computation in the shared folder. Shuffles end with the write they served, tables when they are dropped."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self._paths: dict[int, tuple[DataFrame, str]] = {}
+
+    def stored(self, frame: DataFrame, name: str) -> DataFrame:
+        """The frame as a table, like ``stored``."""
+        path = scratch_path(self.spark, name)
+        before = self.spark.conf.get(_FREE_SHUFFLES, None)
+        self.spark.conf.set(_FREE_SHUFFLES, "true")
+        try:
+            frame.write.parquet(path)
+        finally:
+            if before is None:
+                self.spark.conf.unset(_FREE_SHUFFLES)
+            else:
+                self.spark.conf.set(_FREE_SHUFFLES, before)
+        table = self.spark.read.parquet(path)
+        self._paths[id(table)] = table, path
+        return table
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete tables that nothing reads any more."""
+        for table in tables:
+            _, path = self._paths.pop(id(table))
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -134,3 +134,31 @@ def test_probabilities_after_a_word_add_up(spark, docs_of):
             in_class = 10 ** r.lp1[r.x1.index(x // lm.PER_CLASS)] if x // lm.PER_CLASS in r.x1 else b1 * 10**r.lp0
             total += back * (10 ** r.lp2[r.x2.index(x)] if x in r.x2 else b2 * in_class)
     assert abs(total - 1) < 0.02
+
+
+def test_fit_leaves_no_shuffles_and_no_spent_tables(spark, small_sf):
+    from pathlib import Path
+
+    from notewright.session import shared_dir
+
+    shared = Path(shared_dir(spark).removeprefix("file:"), "notewright")
+    there = set(shared.glob("lm-*"))
+    docs = spark.read.parquet(f"{small_sf}/documents.parquet")
+    model = lm.fit(docs.select("text"))
+    left = sorted(p.name.rsplit("-", 1)[0] for p in set(shared.glob("lm-*")) - there)
+    assert left == ["lm-before", "lm-seen", "lm-words"]
+    assert model.pairs.count() and model.words.count() and model.before.count()
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) is None
+
+
+def test_texts_are_read_once_to_score(spark, docs_of):
+    model = lm.fit(docs_of(["a b c", "a b d"]).select("text"))
+    docs, read = docs_of(["a b c", "a x d", None]), spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    assert len(lm.score(docs.mapInArrow(count, docs.schema), model).collect()) == 3
+    assert read.value == 3
